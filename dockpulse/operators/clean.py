@@ -19,7 +19,9 @@ def clean(df: DataFrame) -> DataFrame:
     return df.where(is_clean())
 
 
-def dedupe_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+def dedupe_first(
+    df: DataFrame, keys: Sequence[str], order_cols: Sequence[str | Column]
+) -> DataFrame:
     """The first row of each key by ``order_cols``.
 
     Spark limits each group to one row per task before the shuffle, so that a key with

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dockpulse.functions.calendar import calendar_features
 from dockpulse.functions.scalars import iso_text
+from dockpulse.operators.clean import dedupe_first
 
 
 def latest_state(
@@ -16,10 +17,8 @@ def latest_state(
     key: str = "station_id",
     order_cols: Sequence[str] = ("observed_at", "seq"),
 ) -> DataFrame:
-    """The last row of each key by ``order_cols``; aggregated before the shuffle."""
-    rest = [c for c in df.columns if c != key]
-    last = F.max_by(F.struct(*rest), F.struct(*order_cols))
-    return df.groupBy(key).agg(last.alias("_last")).select(key, "_last.*")
+    """The last row of each key by ``order_cols``; one row per key and task is shuffled."""
+    return dedupe_first(df, [key], [F.col(c).desc_nulls_last() for c in order_cols])
 
 
 def snapshot_features(current: DataFrame, tz: str | None = None) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from dockpulse.operators.ordered import series_window
@@ -28,65 +30,66 @@ def ts_features(
     target column are dropped.
     ``serve``: every row is kept, missing predecessors count as zero, means have a fixed divisor.
     """
-    if mode == "train":
-        return _train(df, key, order_cols, value, lags, windows, horizon_rows)
-    if mode == "serve":
-        wide = previous_counts(df, key, order_cols, value, max(lags, max(windows) - 1))
+    if mode not in ("train", "serve"):
+        raise ValueError(f"mode must be 'train' or 'serve', not {mode!r}")
+    train = mode == "train"
+    depth = max(lags, max(windows) - 1, 2)
+    wide = previous_counts(df, key, order_cols, value, depth, horizon_rows if train else 0)
+    if not train:
         return serve_columns(wide, value, lags, windows).drop("previous")
-    raise ValueError(f"mode must be 'train' or 'serve', not {mode!r}")
-
-
-def _train(df, key, order_cols, value, lags, windows, horizon_rows):
-    def columns(w: WindowSpec):
-        now = F.col(value)
-        return [
-            *[c.alias(f"{value}_lag_{k}") for k, c in enumerate(_lags(w, value, lags), 1)],
-            *[F.avg(value).over(w.rowsBetween(1 - n, 0)).alias(f"{value}_ma_{n}") for n in windows],
-            *[(now - F.lag(value, k).over(w)).alias(f"{value}_diff_{k}") for k in (1, 2)],
-            F.lead(value, horizon_rows).over(w).alias(LABEL),
-        ]
-
-    wide = series_window(
-        df,
-        key,
-        order_cols,
-        columns,
-        [value],
-        before=max(lags, 2, max(windows) - 1),
-        after=horizon_rows,
-    )
-    made = [f"{value}_lag_{k}" for k in range(1, lags + 1)]
-    made += [f"{value}_diff_{k}" for k in (1, 2)]
-    return wide.dropna(subset=[key, *order_cols, value, *made, LABEL])
+    made = train_columns(wide, value, lags, windows).drop("previous")
+    needed = [f"{value}_lag_{k}" for k in range(1, lags + 1)]
+    needed += [f"{value}_diff_{k}" for k in (1, 2)]
+    return made.dropna(subset=[key, *order_cols, value, *needed, LABEL])
 
 
 def previous_counts(
-    df: DataFrame, key: str, order_cols: Sequence[str], value: str, depth: int
+    df: DataFrame,
+    key: str,
+    order_cols: Sequence[str],
+    value: str,
+    depth: int,
+    horizon: int = 0,
 ) -> DataFrame:
-    """Add ``previous``: the ``depth`` earlier values of the key, newest first, null if missing."""
+    """Add ``previous``: the ``depth`` earlier values of the key, newest first, null if missing.
+
+    With a ``horizon``, ``target`` is the value that many rows later. Everything else is made
+    from these by plain columns: offsets cost a window much less than sliding frames.
+    """
 
     def columns(w: WindowSpec):
-        return [F.array(*_lags(w, value, depth)).alias("previous")]
+        made = [F.array(*_lags(w, value, depth)).alias("previous")]
+        if horizon:
+            made.append(F.lead(value, horizon).over(w).alias(LABEL))
+        return made
 
-    return series_window(df, key, order_cols, columns, [value], before=depth)
+    return series_window(df, key, order_cols, columns, [value], before=depth, after=horizon)
 
 
-def serve_columns(
+def train_columns(
     df: DataFrame, value: str, lags: int = 3, windows: Sequence[int] = (3, 6)
 ) -> DataFrame:
-    """Zero-filled serving features from the array ``previous``."""
+    """Training features from the array ``previous``: nulls stay, means are of present rows."""
+    now = F.col(value)
+    made = {f"{value}_lag_{k}": _earlier(k) for k in range(1, lags + 1)}
+    for n in windows:
+        slots = [now, *[_earlier(k) for k in range(1, n)]]
+        present = _sum([s.isNotNull().cast("int") for s in slots])
+        made[f"{value}_ma_{n}"] = F.try_divide(_total(slots), present)
+    for k in (1, 2):
+        made[f"{value}_diff_{k}"] = now - _earlier(k)
+    return df.withColumns(made)
 
-    def earlier(k: int):
-        return F.coalesce(F.get("previous", F.lit(k - 1)), F.lit(0))
 
-    now = F.col(value)
-    made = {f"{value}_lag_{k}": earlier(k) for k in range(1, lags + 1)}
+def serve_columns(
+    df: DataFrame, value: str, lags: int = 3, windows: Sequence[int] = (3, 6)
+) -> DataFrame:
+    """Serving features from the array ``previous``: a missing value counts as zero."""
+    now, zero = F.col(value), F.lit(0)
+    made = {f"{value}_lag_{k}": F.coalesce(_earlier(k), zero) for k in range(1, lags + 1)}
     for n in windows:
-        total = now
-        for k in range(1, n):
-            total = total + earlier(k)
-        made[f"{value}_ma_{n}"] = total / n
-    made[f"{value}_diff_1"] = now - earlier(1)
+        made[f"{value}_ma_{n}"] = _total([now, *[_earlier(k) for k in range(1, n)]]) / n
+    made[f"{value}_diff_1"] = now - F.coalesce(_earlier(1), zero)
     return df.withColumns(made)
 
 
@@ -108,3 +111,15 @@ def history_register(
 
 def _lags(w: WindowSpec, value: str, depth: int) -> list:
     return [F.lag(value, k).over(w) for k in range(1, depth + 1)]
+
+
+def _earlier(k: int) -> Column:
+    return F.get("previous", F.lit(k - 1))
+
+
+def _total(slots: list[Column]) -> Column:
+    return _sum([F.coalesce(s, F.lit(0)).cast("double") for s in slots])
+
+
+def _sum(terms: list[Column]) -> Column:
+    return reduce(operator.add, terms)

@@ -44,24 +44,19 @@ def decode_json(
     """
     others = [c for c in df.columns if c != value_col]
     text = F.col(value_col).cast("string")
-    decoded = df.select(*others, text.alias("raw"), F.from_json(text, schema).alias("data"))
+    # As a one-row generator the message is parsed once; as a struct it would be parsed per field.
+    fields = F.inline(F.array(F.from_json(text, schema)))
     if not quarantine:
-        return decoded.select("data.*", *others)
+        return df.select(*others, fields)
+    present = [F.col(name).cast("string") for name in schema.fieldNames()]
     reason = (
         F.when(is_clean(), None)
-        .when(F.col("_all_null"), "unreadable")
+        .when(F.coalesce(*present).isNull(), "unreadable")
         .when(F.col("station_id").isNull(), "no station")
         .otherwise("bad count")
     )
-    nothing = F.lit(True)
-    for field in schema.fieldNames():
-        nothing = nothing & F.col(f"data.{field}").isNull()
-    return (
-        decoded.withColumn("_all_null", nothing)
-        .select("data.*", *others, "raw", "_all_null")
-        .withColumn("reject_reason", reason)
-        .drop("_all_null")
-    )
+    decoded = df.select(*others, text.alias("raw"), fields)
+    return decoded.withColumn("reject_reason", reason)
 
 
 def with_event_order(df: DataFrame) -> DataFrame:

@@ -68,7 +68,8 @@ class StationStore:
         """One row per station; empty before the first write."""
         live = self._live(self.versions())
         if not live:
-            return self.spark.createDataFrame([], STATE)
+            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in STATE.fields]
+            return self.spark.range(1).where(F.lit(False)).select(*nothing)
         rows = self.spark.read.schema(VERSIONED).parquet(*[f"{self.path}/{v.folder}" for v in live])
         if len(live) == 1:
             return rows.drop("version")

@@ -79,7 +79,8 @@ def upsert_batch(
         before = store.read()
         scored = score_batch(rows, before, model).withColumn("day", F.to_date("observed_at"))
         target = f"{obs_path.rstrip('/')}/batch={query}-{batch_id}"
-        scored.write.mode("overwrite").partitionBy("day").parquet(target)
+        # Few files per day, and several for a day that holds much of the batch.
+        scored.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(target)
         # The state is made from the written rows, so the features are not computed again.
         written = spark.read.schema(scored.schema).parquet(target)
         store.write(merge_state(before, written), query, batch_id)
