@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from dockpulse.session import int_conf, stage
 
-HOT_KEY_ROWS = 4_000_000  # spark.dockpulse.hotKeyRows
+HOT_KEY_ROWS = 4_000_000  # spark.dockpulse.hotKeyRows; 0 for data known to have no hot key
 PIECE_ROWS = 2_000_000  # spark.dockpulse.pieceRows
 MAX_LISTED_KEYS = 50_000  # hot keys that are listed and broadcast; beyond it every key is laid out
 
@@ -39,7 +39,7 @@ def series_window(
     """
     spark = df.sparkSession
     limit = int_conf(spark, "spark.dockpulse.hotKeyRows", HOT_KEY_ROWS)
-    listed = hot_keys(df, key, limit)
+    listed = hot_keys(df, key, limit) if limit else []
     plain = Window.partitionBy(key).orderBy(*order_cols)
     if not listed:
         return df.select("*", *columns(plain))

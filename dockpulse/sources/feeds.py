@@ -16,10 +16,9 @@ def read_feed(spark: SparkSession, path: str, streaming: bool = False, **options
 
 
 def decode_feed(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Feed documents given as text."""
-    return df.withColumns(
-        {"rentBikeStatus": F.from_json(value_col, FEED)["rentBikeStatus"]}
-    ).drop(value_col)
+    """Feed documents given as text, each parsed once."""
+    others = [c for c in df.columns if c != value_col]
+    return df.select(*others, F.inline(F.array(F.from_json(value_col, FEED))))
 
 
 def explode_feed(
@@ -34,19 +33,16 @@ def explode_feed(
     reads only the first entries of each document. A count that is no integer drops the
     station; with ``strict`` it, or a missing name, drops the whole document.
     """
+    others = [c for c in df.columns if c != "rentBikeStatus"]
     rows = F.col("rentBikeStatus.row")
-    named = F.forall(rows, lambda r: r["stationName"].isNotNull())
     if limit is not None:
         rows = F.slice(rows, 1, limit)
-    if name_contains:
-        rows = F.filter(rows, lambda r: F.contains(r["stationName"], F.lit(name_contains)))
-    others = [c for c in df.columns if c != "rentBikeStatus"]
-    listed = df.select(*others, rows.alias("_rows"), named.alias("_named"))
     if strict:
-        listed = listed.where(F.col("_named") & F.forall("_rows", _counts_readable))
-    out = listed.select(*others, F.explode("_rows").alias("_s")).where(
-        _counts_readable(F.col("_s"))
-    )
+        df = df.where(F.forall(rows, lambda r: _readable(r, name_contains)))
+    out = df.select(*others, F.explode(rows).alias("_s"))
+    if name_contains:
+        out = out.where(F.contains(F.col("_s.stationName"), F.lit(name_contains)))
+    out = out.where(_counts_readable(F.col("_s")))
     stations = out.select(
         *others,
         F.col("_s.stationId").alias("station_id"),
@@ -59,6 +55,14 @@ def explode_feed(
     return stations.withColumn("timestamp", iso_text(F.current_timestamp()))
 
 
+def _readable(row, name_contains):
+    """False for a row that makes its whole document unusable."""
+    fine = _counts_readable(row)
+    if name_contains:
+        fine = fine | ~F.contains(row["stationName"], F.lit(name_contains))
+    return F.coalesce(row["stationName"].isNotNull() & fine, F.lit(False))
+
+
 def _counts_readable(row):
     return (
         row["parkingBikeTotCnt"].try_cast("int").isNotNull()

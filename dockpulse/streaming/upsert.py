@@ -65,8 +65,8 @@ def upsert_batch(
 ) -> None:
     """Append the scored rows of a batch, then bring the state of its stations up to date.
 
-    Both writes are named after ``query`` and ``batch_id``: a batch that is run again
-    replaces its own rows, or does nothing once its state is complete.
+    Rows go to ``day=/batch=`` folders, and a batch that is run again replaces its own; once
+    its state is complete it does nothing.
     """
     spark = df.sparkSession
     store = StationStore(spark, state_path, compact_every)
@@ -77,17 +77,24 @@ def upsert_batch(
         if rows.isEmpty():
             return
         before = store.read()
-        scored = score_batch(rows, before, model).withColumn("day", F.to_date("observed_at"))
-        target = f"{obs_path.rstrip('/')}/batch={query}-{batch_id}"
-        # Few files per day, and several for a day that holds much of the batch.
-        scored.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(target)
-        # The state is made from the written rows, so the features are not computed again.
-        written = spark.read.schema(scored.schema).parquet(target)
-        store.write(merge_state(before, written), query, batch_id)
+        scored = score_batch(rows, before, model).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            append_scored(scored, obs_path, f"{query}-{batch_id}")
+            store.write(merge_state(before, scored), query, batch_id)
+        finally:
+            scored.unpersist()
     finally:
         rows.unpersist()
 
 
+def append_scored(scored: DataFrame, obs_path: str, batch: str) -> None:
+    """Write rows below their day, in few files, and in several where a day holds many rows."""
+    dated = scored.withColumns({"day": F.to_date("observed_at"), "batch": F.lit(batch)})
+    dated.hint("rebalance", "day").write.partitionBy("day", "batch").mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).parquet(obs_path)
+
+
 def merge_state(before: DataFrame, scored: DataFrame) -> DataFrame:
     """New state of the stations in ``scored``.
 
@@ -109,6 +116,7 @@ def merge_state(before: DataFrame, scored: DataFrame) -> DataFrame:
     )
 
 
-def read_scored(spark, obs_path: str) -> DataFrame:
-    """Every scored observation so far; ``day`` prunes the files that are read."""
-    return spark.read.parquet(obs_path)
+def read_scored(spark, obs_path: str, day: str | None = None) -> DataFrame:
+    """Scored observations so far; with ``day`` only that day's folder is listed and read."""
+    reader = spark.read.option("basePath", obs_path)
+    return reader.parquet(f"{obs_path.rstrip('/')}/day={day}" if day else obs_path)

@@ -214,3 +214,14 @@ def test_groups_are_cut_before_the_shuffle(spark, make):
     plan = make(series(spark, [1, 2, 3]))._jdf.queryExecution().executedPlan().toString()
     below = plan.split("Exchange hashpartitioning")[1]
     assert "WindowGroupLimit" in below and "Partial" in below
+
+
+def test_feed_strict_needs_every_name(spark):
+    df = feed(spark, listed(station("A역"), station(None)), listed(station("B역")))
+    assert rows(explode_feed(df, "역", strict=True), "station_name") == [("B역",)]
+
+
+def test_a_document_is_parsed_once(spark):
+    df = feed(spark, listed(station("A")))
+    plan = explode_feed(df, "A")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1

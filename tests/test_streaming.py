@@ -249,3 +249,11 @@ def test_stream_repeats_are_dropped_also_after_a_restart(spark, site):
     assert run() == [("a", 1), ("a", 3), ("b", 2), ("b", 4)]
     site.send(("a", 1, 1), ("c", 5, 3))
     assert run() == [("a", 1), ("a", 3), ("b", 2), ("b", 4), ("c", 5)]
+
+
+def test_one_day_is_read_from_its_own_folder(spark, site):
+    site.send(("a", 1, 0), ("a", 2, 86400))
+    site.run()
+    day = read_scored(spark, str(site.folder / "obs"), "2025-12-27")
+    assert rows(day, "parking_count", "parking_count_lag_1") == [(2, 1)]
+    assert len(day.inputFiles()) == 1
