@@ -53,6 +53,27 @@ def baseline_compare(spark, sf_dir):
     return errors.select(*[F.round(c, 6).alias(c) for c in errors.columns])
 
 
+@query(
+    f"""WITH {TRAIN}, cut AS (SELECT quantile_disc(observed_at, 0.8) AS at FROM train)
+    SELECT seq, observed_at > cut.at AS is_test FROM train, cut"""
+)
+def training_split_by_time(spark, sf_dir):
+    """Which side of the split each training row is on; the cut is exact on small tables."""
+    train, test = forecast.training_split(training_rows(spark, sf_dir), ["observed_at"], by="time")
+    return _sides(train, test)
+
+
+@query()
+def training_split_by_key(spark, sf_dir):
+    train, test = forecast.training_split(training_rows(spark, sf_dir), ["station_id", "seq"])
+    return _sides(train, test)
+
+
+def _sides(train, test):
+    held = test.select("seq", F.lit(True).alias("is_test"))
+    return train.select("seq", F.lit(False).alias("is_test")).unionByName(held)
+
+
 def fitted(spark, sf_dir):
     """Staged training rows split in two, and the model of the first part."""
     rows = stage(training_rows(spark, sf_dir).select("seq", *FEATURE_COLS, LABEL), "training")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dockpulse.operators import clean, latest
-from dockpulse.plans.registry import ISO, OBS, query
+from dockpulse.plans.registry import ISO, OBS, TEXT_ID, query
 from dockpulse.schemas import SUBWAY_MARKER
 from dockpulse.session import shared_path
 from dockpulse.sources import feeds, snapshots
@@ -37,7 +37,7 @@ def mixed_messages(spark, sf_dir):
 
 
 @query(
-    f"""WITH {OBS} SELECT seq, station_id, station_name, parking_count, rack_total,
+    f"""WITH {OBS} SELECT seq, {TEXT_ID}, station_name, parking_count, rack_total,
       {ISO} AS timestamp
     FROM obs WHERE event_type IN ('click', 'purchase') AND parking_count >= 0"""
 )
@@ -59,7 +59,7 @@ def json_quarantine(spark, sf_dir):
 
 
 @query(
-    f"""WITH {OBS} SELECT seq, station_id, station_name, parking_count, rack_total,
+    f"""WITH {OBS} SELECT seq, {TEXT_ID}, station_name, parking_count, rack_total,
       {ISO} AS timestamp,
       '{{"station_id":"' || station_id || '","station_name":"' || station_name
       || '","parking_count":' || parking_count || ',"rack_total":' || rack_total
@@ -75,7 +75,7 @@ def json_roundtrip(spark, sf_dir):
 
 
 @query(
-    f"""WITH {OBS} SELECT seq, station_id, station_name || '역' AS station_name,
+    f"""WITH {OBS} SELECT seq, {TEXT_ID}, station_name || '역' AS station_name,
       parking_count, rack_total
     FROM obs WHERE event_type <> 'error'"""
 )
@@ -87,7 +87,7 @@ def explode_feed(spark, sf_dir):
 
     def entry(name, count):
         return F.struct(
-            F.col("station_id").alias("stationId"),
+            F.col("station_id").cast("string").alias("stationId"),
             name.alias("stationName"),
             count.alias("parkingBikeTotCnt"),
             F.col("rack_total").cast("string").alias("rackTotCnt"),
@@ -108,7 +108,7 @@ _AS_OF = "TIMESTAMP '2024-01-16 00:00:00'"
 
 
 def _snapshot_sql(where: str) -> str:
-    return f"""SELECT station_id, {ISO} AS timestamp, parking_count,
+    return f"""SELECT {TEXT_ID}, {ISO} AS timestamp, parking_count,
       CAST(hour(observed_at) AS INT) AS hour,
       CAST(isodow(observed_at) - 1 AS INT) AS day_of_week,
       CAST(isodow(observed_at) >= 6 AS INT) AS is_weekend

@@ -13,7 +13,7 @@ ORACLES: dict[str, str] = {}
 
 # events as observations of stations, in SQL
 OBS = """obs AS (
-  SELECT CAST(user_id AS VARCHAR) AS station_id, 'Dock ' || user_id AS station_name,
+  SELECT user_id AS station_id, 'Dock ' || user_id AS station_name,
          CAST(trunc(value) AS INT) AS parking_count, CAST(props->>'k' AS INT) AS rack_total,
          ts AS observed_at, event_id AS seq, event_type
   FROM events)"""
@@ -29,6 +29,7 @@ CALENDAR = """CAST(hour(observed_at) AS INT) AS hour,
   cos(2 * pi() * (isodow(observed_at) - 1) / 7) AS dow_cos"""
 
 RULE = "CAST(trunc(parking_count * CAST(0.85 AS DOUBLE)) AS INT)"
+TEXT_ID = "CAST(station_id AS VARCHAR) AS station_id"
 ISO = "strftime(observed_at, '%Y-%m-%dT%H:%M:%S.%f')"
 
 

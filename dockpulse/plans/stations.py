@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from dockpulse.functions import calendar, scalars
 from dockpulse.operators import clean, latest, series, serving
-from dockpulse.plans.registry import CALENDAR, ISO, OBS, RULE, query
+from dockpulse.plans.registry import CALENDAR, ISO, OBS, RULE, TEXT_ID, query
 from dockpulse.schemas import LOW_STOCK
 from dockpulse.sources.warehouse import as_messages, observations
 from dockpulse.streaming import jobs
@@ -159,11 +159,11 @@ def station_list(spark, sf_dir):
 
 @query(
     f"""WITH {LISTED} SELECT *, predicted_count - parking_count AS change
-    FROM listed WHERE station_id = '42'"""
+    FROM listed WHERE station_id = 42"""
 )
 def station_detail(spark, sf_dir):
     return serving.station_detail(
-        current_state(spark, sf_dir), prediction_state(spark, sf_dir), "42"
+        current_state(spark, sf_dir), prediction_state(spark, sf_dir), 42
     )
 
 
@@ -198,7 +198,7 @@ def change_badges(spark, sf_dir):
 
 @query(
     f"""WITH {LISTED} SELECT station_id,
-      '{{"station_id":"' || station_id || '","station_name":"' || station_name
+      '{{"station_id":' || station_id || ',"station_name":"' || station_name
       || '","current":{{"parking_count":' || parking_count || ',"timestamp":"'
       || strftime(current_at, '%Y-%m-%dT%H:%M:%S.%f')
       || '"}},"prediction":{{"predicted_count":' || predicted_count
@@ -236,7 +236,7 @@ def dedupe_first(spark, sf_dir):
 
 
 @query(
-    f"""WITH {OBS} SELECT DISTINCT station_id, {ISO} AS timestamp, parking_count
+    f"""WITH {OBS} SELECT DISTINCT {TEXT_ID}, {ISO} AS timestamp, parking_count
     FROM obs ORDER BY station_id, timestamp"""
 )
 def merge_snapshots(spark, sf_dir):
@@ -258,7 +258,7 @@ def format_time(spark, sf_dir):
 
 @query(
     f"""WITH {OBS} SELECT seq, 'station:' || station_id || ':current' AS state_key,
-      station_id AS key_id FROM obs"""
+      CAST(station_id AS VARCHAR) AS key_id FROM obs"""
 )
 def key_codec(spark, sf_dir):
     return scalars.key_codec(observations(spark, sf_dir)).select("seq", "state_key", "key_id")

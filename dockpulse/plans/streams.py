@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dockpulse.plans.ingest import WIRE
-from dockpulse.plans.registry import ISO, OBS, RULE, query
+from dockpulse.plans.registry import ISO, OBS, RULE, TEXT_ID, query
 from dockpulse.plans.stations import SERIES_COLS, SERIES_NAMES, SERVE
 from dockpulse.session import shared_path
 from dockpulse.sources import observations as messages
@@ -45,7 +45,7 @@ def run_to_files(spark, frame, name):
 
 
 @query(
-    f"""WITH {SERVE} SELECT station_id, seq, parking_count, {SERIES_COLS}, history,
+    f"""WITH {SERVE} SELECT {TEXT_ID}, seq, parking_count, {SERIES_COLS}, history,
       {RULE} AS predicted_count, 'simple' AS model
     FROM serve WHERE parking_count >= 0"""
 )
@@ -67,7 +67,7 @@ def stream_scored_observations(spark, sf_dir):
     f"""WITH {SERVE}, latest AS (
       SELECT *, {ISO} AS timestamp, row_number() OVER (PARTITION BY station_id
         ORDER BY observed_at DESC, seq DESC) AS rn FROM serve WHERE parking_count >= 0)
-    SELECT station_id, station_name, parking_count, rack_total, timestamp,
+    SELECT {TEXT_ID}, station_name, parking_count, rack_total, timestamp,
       {RULE} AS predicted_count, 'simple' AS model, history
     FROM latest WHERE rn = 1"""
 )
@@ -78,7 +78,7 @@ def stream_station_state(spark, sf_dir):
 
 
 @query(
-    f"""WITH {OBS} SELECT seq, station_id, station_name, parking_count, rack_total,
+    f"""WITH {OBS} SELECT seq, {TEXT_ID}, station_name, parking_count, rack_total,
       {ISO} AS timestamp FROM obs WHERE parking_count < 10"""
 )
 def stream_low_stock(spark, sf_dir):
@@ -86,7 +86,7 @@ def stream_low_stock(spark, sf_dir):
 
 
 @query(
-    f"""WITH {OBS} SELECT station_id, station_name, parking_count, {RULE} AS predicted_count
+    f"""WITH {OBS} SELECT {TEXT_ID}, station_name, parking_count, {RULE} AS predicted_count
     FROM obs"""
 )
 def stream_rule_prediction(spark, sf_dir):

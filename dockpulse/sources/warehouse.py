@@ -19,7 +19,7 @@ def observations(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
 def as_observations(events: DataFrame, *extra: str) -> DataFrame:
     """Each user as a station and each event as an observation of it, with ``extra`` columns."""
     return events.select(
-        F.col("user_id").cast("string").alias("station_id"),
+        F.col("user_id").alias("station_id"),  # uncast, so that key filters reach the scan
         F.concat(F.lit("Dock "), F.col("user_id")).alias("station_name"),
         F.col("value").cast("int").alias("parking_count"),
         F.from_json("props", "k int")["k"].alias("rack_total"),
@@ -41,5 +41,7 @@ def observation_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def as_messages(df: DataFrame) -> DataFrame:
-    """Observations with the time as the text that goes on the wire."""
-    return df.withColumn("timestamp", iso_text("observed_at"))
+    """Observations with id and time as the texts that go on the wire."""
+    return df.withColumns(
+        {"station_id": F.col("station_id").cast("string"), "timestamp": iso_text("observed_at")}
+    )
