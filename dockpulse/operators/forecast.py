@@ -35,7 +35,8 @@ def training_split(
     """Train and test rows.
 
     ``hash`` puts a row on the same side in every run and on every cluster size.
-    ``time`` tests on the latest rows by the last of ``keys``. ``random`` draws each row.
+    ``time`` tests on the last part of the period, by the last of ``keys``. ``random`` draws
+    each row.
     """
     if by == "random":
         train, held = df.randomSplit([1 - test, test], seed)
@@ -45,8 +46,10 @@ def training_split(
         is_test = slot < round(test * 1_000_000)
     elif by == "time":
         micros = F.unix_micros(F.col(keys[-1]).cast("timestamp"))
-        cut = df.agg(F.percentile_approx(micros, 1 - test, 100_000)).first()[0]
-        is_test = micros > F.lit(cut)
+        first, last = df.agg(F.min(micros), F.max(micros)).first()
+        if last is None:
+            return df, df
+        is_test = micros > F.lit(int(last - (last - first) * test))
     else:
         raise ValueError(f"by must be 'hash', 'random' or 'time', not {by!r}")
     return df.where(~is_test), df.where(is_test)
