@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockpulse.functions.scalars import rule_count
@@ -146,8 +146,9 @@ def error_by_round(model: PipelineModel, df: DataFrame, every: int = 10) -> list
     return [(i, e) for i, e in enumerate(errors) if i % every == 0 or i == last]
 
 
-def importances(spark, model: PipelineModel, k: int | None = None) -> DataFrame:
+def importances(model: PipelineModel, k: int | None = None) -> DataFrame:
     """Features by importance, highest first; a table as long as the feature list."""
+    spark = SparkSession.active()
     names = model.stages[0].getInputCols()
     values = model.stages[-1].featureImportances.toArray().tolist()
     table = spark.createDataFrame(list(zip(names, values)), "feature string, importance double")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +17,14 @@ def latest_state(
     df: DataFrame,
     key: str = "station_id",
     order_cols: Sequence[str] = ("observed_at", "seq"),
+    as_of: datetime | None = None,
 ) -> DataFrame:
-    """The last row of each key by ``order_cols``; one row per key and task is shuffled."""
+    """The last row of each key by ``order_cols``; one row per key and task is shuffled.
+
+    With ``as_of``, the state at that moment: later rows of the first order column do not count.
+    """
+    if as_of is not None:
+        df = df.where(F.col(order_cols[0]) <= F.lit(as_of).cast("timestamp_ntz"))
     return dedupe_first(df, [key], [F.col(c).desc_nulls_last() for c in order_cols])
 
 

@@ -96,4 +96,4 @@ def gbt_forecast(spark, sf_dir):
 @query()
 def top_k_importance(spark, sf_dir):
     model, _ = fitted(spark, sf_dir)
-    return forecast.importances(spark, model, 5)
+    return forecast.importances(model, 5)

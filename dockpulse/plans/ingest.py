@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from dockpulse.operators import clean, latest
@@ -104,7 +106,7 @@ def explode_feed(spark, sf_dir):
     return stations.drop("timestamp")
 
 
-_AS_OF = "TIMESTAMP '2024-01-16 00:00:00'"
+AS_OF = datetime(2024, 1, 16)
 
 
 def _snapshot_sql(where: str) -> str:
@@ -117,15 +119,14 @@ def _snapshot_sql(where: str) -> str:
 
 
 @query(
-    f"""WITH {OBS} {_snapshot_sql(f"observed_at <= {_AS_OF}")}
+    f"""WITH {OBS} {_snapshot_sql(f"observed_at <= TIMESTAMP '{AS_OF}'")}
     UNION {_snapshot_sql("true")}"""
 )
 def snapshot_csv_merge(spark, sf_dir):
     """Snapshots of two moments as CSV files, read by a glob and merged."""
     obs = observations(spark, sf_dir)
     folder = shared_path(spark, "snapshots")
-    middle = obs.where(F.col("observed_at") <= F.expr(_AS_OF.replace("TIMESTAMP", "TIMESTAMP_NTZ")))
-    for i, rows in enumerate((middle, obs)):
-        snapshot = latest.snapshot_features(latest.latest_state(rows))
+    for i, moment in enumerate((AS_OF, None)):
+        snapshot = latest.snapshot_features(latest.latest_state(obs, as_of=moment))
         snapshots.write_snapshot_csv(snapshot, f"{folder}/snapshot_{i}.csv")
     return clean.merge_snapshots([snapshots.read_snapshots(spark, f"{folder}/snapshot_*.csv")])

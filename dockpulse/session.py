@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,11 +52,39 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     Cuts the lineage and fixes values such as partition ids; survives lost executors.
     """
     path = shared_path(df.sparkSession, name)
+    if _staged.get() is not None:
+        _staged.get().append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def dropping_stages(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was staged inside, for jobs that run for long."""
+    mark = _staged.set([])
+    try:
+        yield
+    finally:
+        for path in _staged.get():
+            delete_path(spark, path)
+        _staged.reset(mark)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system, whatever storage it is on."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    found, fs = hadoop_path(spark, path)
+    fs.delete(found, True)

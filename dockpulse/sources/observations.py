@@ -14,7 +14,7 @@ from dockpulse.schemas import OBSERVATION
 def read_observations(
     spark: SparkSession, fmt: str, streaming: bool = True, **options
 ) -> DataFrame:
-    """Messages as a column ``value``, with their position ``seq`` where the source has one.
+    """Messages as a column ``value``; from ``kafka`` also their offset ``seq`` and ``arrived_at``.
 
     ``fmt`` is ``kafka`` (which needs Spark's Kafka connector; a stream starts at the latest
     message unless told otherwise) or any file format with a ``value`` column, such as ``text``.
@@ -27,7 +27,8 @@ def read_observations(
         reader = reader.schema("value string")
     raw = reader.load(path) if path else reader.load()
     if "offset" in raw.columns:
-        return raw.select("value", F.col("offset").alias("seq"))
+        arrived = F.col("timestamp").alias("arrived_at")
+        return raw.select("value", F.col("offset").alias("seq"), arrived)
     return raw.select("value")
 
 

@@ -49,12 +49,16 @@ def station_job(
     checkpoint: str,
     model: PipelineModel | None = None,
     trigger: str | None = "30 seconds",
+    order: str = "event",
 ) -> StreamingQuery:
-    """Clean, score and store a stream of decoded observations."""
+    """Clean, score and store a stream of decoded observations.
+
+    ``order="arrival"`` lets the message that came last win, as the source numbered them.
+    """
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
         query = query_id(df, checkpoint)
-        upsert_batch(df, batch_id, state_path, obs_path, model, query)
+        upsert_batch(df, batch_id, state_path, obs_path, model, query, order=order)
 
     return build_query(clean(observations), on_batch, trigger, checkpoint)
 

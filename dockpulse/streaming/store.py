@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockpulse.schemas import OBSERVATION
+from dockpulse.session import delete_path, hadoop_path
 
 STATE = T.StructType(
     [
@@ -49,15 +50,14 @@ class StationStore:
 
     def versions(self) -> list[Version]:
         """Complete versions, oldest first."""
-        root = self._hadoop_path()
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        root, fs = hadoop_path(self.spark, self.path)
         if not fs.exists(root):
             return []
         found = []
         for status in fs.listStatus(root):
-            folder = status.getPath()
-            if fs.exists(self._hadoop_path(folder.getName(), "_SUCCESS")):
-                number, kind, query, batch = folder.getName().split(".")
+            name = status.getPath().getName()
+            if fs.exists(hadoop_path(self.spark, f"{self.path}/{name}/_SUCCESS")[0]):
+                number, kind, query, batch = name.split(".")
                 found.append(Version(int(number), kind, query, int(batch)))
         return sorted(found)
 
@@ -107,14 +107,10 @@ class StationStore:
         live = self._live(done)
         for version in done:
             if live and version.number < live[0].number:
-                target = self._hadoop_path(version.folder)
-                target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+                delete_path(self.spark, f"{self.path}/{version.folder}")
 
     @staticmethod
     def _live(done: list[Version]) -> list[Version]:
         """The newest whole table and the changes after it."""
         start = max((v.number for v in done if v.kind == "full"), default=0)
         return [v for v in done if v.number >= start]
-
-    def _hadoop_path(self, *parts: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *parts]))

@@ -7,7 +7,8 @@ columns, so a station with a large part of the batch is split like any hot key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -20,12 +21,25 @@ from dockpulse.operators.forecast import score_with_fallback
 from dockpulse.operators.latest import latest_state
 from dockpulse.operators.series import previous_counts, serve_columns
 from dockpulse.schemas import HISTORY_DEPTH
+from dockpulse.session import dropping_stages
 from dockpulse.sources.observations import with_event_order
 from dockpulse.streaming.store import COMPACT_EVERY, STATE, StationStore
 
 ORDER = ("observed_at", "seq")
 
 
+def order_columns(df: DataFrame, order: str) -> list[str]:
+    """Columns that order a batch: by ``event`` time, or by ``arrival`` at the source."""
+    if order == "event":
+        return list(ORDER)
+    if order != "arrival":
+        raise ValueError(f"order must be 'event' or 'arrival', not {order!r}")
+    arrival = [c for c in ("arrived_at", "seq") if c in df.columns]
+    if not arrival:
+        raise ValueError("order of arrival needs a source that numbers its messages")
+    return arrival
+
+
 def stateful_lags(
     batch: DataFrame,
     state: DataFrame,
@@ -46,9 +60,15 @@ def stateful_lags(
     return wide.where(F.col("_slot") == 1).drop("_slot")
 
 
-def score_batch(batch: DataFrame, state: DataFrame, model: PipelineModel | None) -> DataFrame:
+def score_batch(
+    batch: DataFrame,
+    state: DataFrame,
+    model: PipelineModel | None,
+    order_cols: Sequence[str] = ORDER,
+) -> DataFrame:
     """Serving features, forecast and the history after each row."""
-    wide = serve_columns(stateful_lags(batch, state), "parking_count")
+    lagged = stateful_lags(batch, state, order_cols=order_cols)
+    wide = serve_columns(lagged, "parking_count")
     register = F.concat(F.array("parking_count"), F.col("previous"))
     wide = wide.withColumn("history", F.array_compact(register)).drop("previous")
     return score_with_fallback(model, calendar_features(wide, "observed_at"))
@@ -62,6 +82,7 @@ def upsert_batch(
     model: PipelineModel | None = None,
     query: str = "batch",
     compact_every: int = COMPACT_EVERY,
+    order: str = "event",
 ) -> None:
     """Append the scored rows of a batch, then bring the state of its stations up to date.
 
@@ -72,19 +93,24 @@ def upsert_batch(
     store = StationStore(spark, state_path, compact_every)
     if store.holds(query, batch_id):
         return
-    rows = with_event_order(clean(df)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    order_cols = order_columns(df, order)
+    with dropping_stages(spark), kept(with_event_order(clean(df))) as rows:
         if rows.isEmpty():
             return
         before = store.read()
-        scored = score_batch(rows, before, model).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with kept(score_batch(rows, before, model, order_cols)) as scored:
             append_scored(scored, obs_path, f"{query}-{batch_id}")
-            store.write(merge_state(before, scored), query, batch_id)
-        finally:
-            scored.unpersist()
+            store.write(merge_state(before, scored, order_cols), query, batch_id)
+
+
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` held for several readers; a lost part is computed again from the source."""
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
     finally:
-        rows.unpersist()
+        df.unpersist()
 
 
 def append_scored(scored: DataFrame, obs_path: str, batch: str) -> None:
@@ -95,21 +121,25 @@ def append_scored(scored: DataFrame, obs_path: str, batch: str) -> None:
     ).parquet(obs_path)
 
 
-def merge_state(before: DataFrame, scored: DataFrame) -> DataFrame:
+def merge_state(
+    before: DataFrame, scored: DataFrame, order_cols: Sequence[str] = ORDER
+) -> DataFrame:
     """New state of the stations in ``scored``.
 
-    The last observation by event time stays current, also against the state before; the
-    history follows the order of arrival.
+    By event time the last observation stays current, also against the state before; by
+    arrival the new one does. The history follows the order of arrival of the batches.
     """
     names = STATE.fieldNames()
-    fresh = latest_state(scored.select(*names), "station_id", ORDER)
+    fresh = latest_state(scored, "station_id", order_cols).select(*names)
     known = before.join(fresh.select("station_id"), "station_id", "left_semi")
     both = fresh.withColumn("_new", F.lit(1)).unionByName(known.withColumn("_new", F.lit(0)))
     shown = [c for c in names if c not in ("station_id", "history")]
+    by_event = list(order_cols) == list(ORDER)
+    last = F.struct(*ORDER, "_new") if by_event else F.col("_new")
     return (
         both.groupBy("station_id")
         .agg(
-            F.max_by(F.struct(*shown), F.struct(*ORDER, "_new")).alias("_row"),
+            F.max_by(F.struct(*shown), last).alias("_row"),
             F.max_by("history", "_new").alias("history"),
         )
         .select("station_id", "_row.*", "history")

@@ -101,11 +101,11 @@ def test_saved_model_scores_the_same(spark, model, parts, tmp_path):
     assert a.exceptAll(forecast.score_with_fallback(loaded, parts[1])).isEmpty()
 
 
-def test_importances(spark, model):
-    top = forecast.importances(spark, model, 5).collect()
+def test_importances(model):
+    top = forecast.importances(model, 5).collect()
     assert [r["importance"] for r in top] == sorted((r["importance"] for r in top), reverse=True)
     assert len(top) == 5
-    whole = forecast.importances(spark, model)
+    whole = forecast.importances(model)
     assert {r["feature"] for r in whole.collect()} == set(FEATURE_COLS)
     assert math.isclose(whole.agg(F.sum("importance")).first()[0], 1.0)
 

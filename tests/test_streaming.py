@@ -12,7 +12,13 @@ from dockpulse.operators.clean import clean, dedupe_stream
 from dockpulse.operators.forecast import fit_forecaster
 from dockpulse.operators.series import ts_features
 from dockpulse.schemas import FEATURE_COLS
-from dockpulse.sources.observations import decode_json, read_observations, with_event_order
+from dockpulse.sources.feeds import explode_feed, read_feed
+from dockpulse.sources.observations import (
+    decode_json,
+    encode_json,
+    read_observations,
+    with_event_order,
+)
 from dockpulse.streaming import jobs
 from dockpulse.streaming.store import StationStore
 from dockpulse.streaming.upsert import read_scored, upsert_batch
@@ -257,3 +263,59 @@ def test_one_day_is_read_from_its_own_folder(spark, site):
     day = read_scored(spark, str(site.folder / "obs"), "2025-12-27")
     assert rows(day, "parking_count", "parking_count_lag_1") == [(2, 1)]
     assert len(day.inputFiles()) == 1
+
+
+def test_order_of_arrival(spark, site):
+    """The message that came last wins, whatever its time; a plain file has no such order."""
+    state, obs = str(site.folder / "state"), str(site.folder / "obs")
+    first = decoded(spark, ("a", 9, 100), ("a", 4, 50)).withColumn(
+        "seq", F.when(F.col("parking_count") == 9, 1).otherwise(2).cast("long")
+    )
+    upsert_batch(first, 0, state, obs, order="arrival")
+    assert site.state("parking_count", "history") == [("a", 4, [4, 9])]
+    late = decoded(spark, ("a", 7, 10)).withColumn("seq", F.lit(3).cast("long"))
+    upsert_batch(late, 1, state, obs, order="arrival")
+    assert site.state("parking_count", "history") == [("a", 7, [7, 4, 9])]
+    with pytest.raises(ValueError):
+        upsert_batch(decoded(spark, ("a", 1, 1)), 2, state, obs, order="arrival")
+
+
+def test_from_landed_feed_to_state(spark, site):
+    """Polls land as feed documents, are published as messages, and end in the state."""
+    landing, out = site.folder / "landing", site.folder / "published"
+    landing.mkdir()
+    for i, count in enumerate((12, 8)):
+        listed = [("ST-1", "A역", count), ("ST-2", "Park", 5), ("ST-3", "B역", "x")]
+        entries = [
+            {"stationId": s, "stationName": n, "parkingBikeTotCnt": str(c), "rackTotCnt": "20"}
+            for s, n, c in listed
+        ]
+        document = {"rentBikeStatus": {"row": entries}}
+        (landing / f"{i}.json").write_text(json.dumps(document, ensure_ascii=False))
+        time.sleep(0.02)
+        polls = explode_feed(read_feed(spark, str(landing), streaming=True), "역")
+        jobs.build_query(
+            encode_json(polls), "text", None, str(site.folder / "published-cp"), path=str(out)
+        ).awaitTermination()
+    messages = read_observations(spark, "text", path=str(out))
+    jobs.station_job(
+        decode_json(messages),
+        str(site.folder / "state"),
+        str(site.folder / "obs"),
+        str(site.folder / "cp"),
+        trigger=None,
+    ).awaitTermination()
+    got = site.state("station_name", "parking_count", "rack_total", "history")
+    assert got == [("ST-1", "A역", 8, 20, [8, 12])]
+
+
+def test_a_long_job_leaves_no_staged_pieces(spark, site, small_pieces):
+    from dockpulse.session import shared_dir
+    from pathlib import Path
+
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(shared.iterdir())
+    site.send(*[("a", i, i) for i in range(40)])
+    site.run()
+    assert site.scored().count() == 40
+    assert set(shared.iterdir()) == before
