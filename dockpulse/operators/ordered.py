@@ -31,15 +31,18 @@ def series_window(
     inputs: Sequence[str],
     before: int = 0,
     after: int = 0,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Add ``columns(window)`` to every row of ``df``.
 
     ``order_cols`` must be a total order within a key. The columns may read ``inputs`` of at
-    most ``before`` earlier and ``after`` later rows.
+    most ``before`` earlier and ``after`` later rows. Where it is known that no key has more
+    than ``at_most`` rows, the keys need not be counted.
     """
     spark = df.sparkSession
     limit = int_conf(spark, "spark.dockpulse.hotKeyRows", HOT_KEY_ROWS)
-    listed = hot_keys(df, key, limit) if limit else []
+    even = limit == 0 or (at_most is not None and at_most <= limit)
+    listed = [] if even else hot_keys(df, key, limit)
     plain = Window.partitionBy(key).orderBy(*order_cols)
     if not listed:
         return df.select("*", *columns(plain))

@@ -50,6 +50,7 @@ def previous_counts(
     value: str,
     depth: int,
     horizon: int = 0,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Add ``previous``: the ``depth`` earlier values of the key, newest first, null if missing.
 
@@ -63,7 +64,7 @@ def previous_counts(
             made.append(F.lead(value, horizon).over(w).alias(LABEL))
         return made
 
-    return series_window(df, key, order_cols, columns, [value], before=depth, after=horizon)
+    return series_window(df, key, order_cols, columns, [value], depth, horizon, at_most)
 
 
 def train_columns(

@@ -62,13 +62,15 @@ def baseline_compare(spark, sf_dir):
 )
 def training_split_by_time(spark, sf_dir):
     """Which side of the split each training row is on."""
-    train, test = forecast.training_split(training_rows(spark, sf_dir), ["observed_at"], by="time")
+    rows = stage(training_rows(spark, sf_dir).select("seq", "observed_at"), "training")
+    train, test = forecast.training_split(rows, ["observed_at"], by="time")
     return _sides(train, test)
 
 
 @query()
 def training_split_by_key(spark, sf_dir):
-    train, test = forecast.training_split(training_rows(spark, sf_dir), ["station_id", "seq"])
+    rows = training_rows(spark, sf_dir).select("station_id", "seq")
+    train, test = forecast.training_split(stage(rows, "training"), ["station_id", "seq"])
     return _sides(train, test)
 
 

@@ -8,7 +8,7 @@ from dockpulse.functions import calendar, scalars
 from dockpulse.operators import clean, latest, series, serving
 from dockpulse.plans.registry import CALENDAR, ISO, OBS, RULE, TEXT_ID, query
 from dockpulse.schemas import LOW_STOCK
-from dockpulse.sources.warehouse import as_messages, observations
+from dockpulse.sources.warehouse import as_messages, as_observations, observations, table
 from dockpulse.streaming import jobs
 
 W = "OVER (PARTITION BY station_id ORDER BY observed_at, seq)"
@@ -71,16 +71,21 @@ LISTED = f"""{LATEST}, {PREDICTED}, listed AS (
   FROM latest JOIN predicted USING (station_id))"""
 
 
+def last_events(events):
+    """The last event of each station, before anything is decoded or computed from it."""
+    return latest.latest_state(events, "user_id", ("ts", "event_id"))
+
+
 def current_state(spark, sf_dir):
-    return latest.latest_state(observations(spark, sf_dir))
+    return as_observations(last_events(table(spark, sf_dir, "events")))
 
 
 def prediction_state(spark, sf_dir):
     """Latest rule forecast, made at purchases only."""
-    bought = observations(spark, sf_dir, "event_type").where(F.col("event_type") == "purchase")
-    scored = scalars.rule_prediction(bought).withColumn("model", F.lit("simple"))
-    return latest.latest_state(
-        scored.select("station_id", "predicted_count", "model", "observed_at", "seq")
+    bought = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    scored = scalars.rule_prediction(as_observations(last_events(bought)))
+    return scored.select(
+        "station_id", "predicted_count", F.lit("simple").alias("model"), "observed_at", "seq"
     )
 
 
@@ -241,10 +246,10 @@ def dedupe_first(spark, sf_dir):
 )
 def merge_snapshots(spark, sf_dir):
     """All observations, once more those of low stock, and each only once."""
-    rows = as_messages(observations(spark, sf_dir)).select(
-        "station_id", "timestamp", "parking_count"
-    )
-    return clean.merge_snapshots([rows, jobs.low_stock(rows)])
+    rows = observations(spark, sf_dir).select("station_id", "observed_at", "parking_count")
+    merged = clean.merge_snapshots([rows, jobs.low_stock(rows)], ("station_id", "observed_at"))
+    # Text is made last: times are compared and sorted as numbers.
+    return as_messages(merged).drop("observed_at")
 
 
 @query(

@@ -47,6 +47,7 @@ def stateful_lags(
     order_cols: Sequence[str] = ORDER,
     value: str = "parking_count",
     depth: int = HISTORY_DEPTH,
+    batch_rows: int | None = None,
 ) -> DataFrame:
     """Add ``previous``: earlier values from this batch, then from the ``history`` in ``state``.
 
@@ -56,7 +57,10 @@ def stateful_lags(
     slots = state.join(seen, key, "left_semi").select(key, F.posexplode("history"))
     carried = slots.select(key, (-F.col("pos")).alias("_slot"), F.col("col").alias(value))
     rows = batch.withColumn("_slot", F.lit(1)).unionByName(carried, allowMissingColumns=True)
-    wide = previous_counts(rows, key, ["_slot", *order_cols], value, depth - 1)
+    at_most = None if batch_rows is None else batch_rows + depth
+    wide = previous_counts(
+        rows, key, ["_slot", *order_cols], value, depth - 1, at_most=at_most
+    )
     return wide.where(F.col("_slot") == 1).drop("_slot")
 
 
@@ -65,9 +69,10 @@ def score_batch(
     state: DataFrame,
     model: PipelineModel | None,
     order_cols: Sequence[str] = ORDER,
+    batch_rows: int | None = None,
 ) -> DataFrame:
     """Serving features, forecast and the history after each row."""
-    lagged = stateful_lags(batch, state, order_cols=order_cols)
+    lagged = stateful_lags(batch, state, order_cols=order_cols, batch_rows=batch_rows)
     wide = serve_columns(lagged, "parking_count")
     register = F.concat(F.array("parking_count"), F.col("previous"))
     wide = wide.withColumn("history", F.array_compact(register)).drop("previous")
@@ -95,10 +100,11 @@ def upsert_batch(
         return
     order_cols = order_columns(df, order)
     with dropping_stages(spark), kept(with_event_order(clean(df))) as rows:
-        if rows.isEmpty():
+        count = rows.count()
+        if not count:
             return
         before = store.read()
-        with kept(score_batch(rows, before, model, order_cols)) as scored:
+        with kept(score_batch(rows, before, model, order_cols, count)) as scored:
             append_scored(scored, obs_path, f"{query}-{batch_id}")
             store.write(merge_state(before, scored, order_cols), query, batch_id)
 
