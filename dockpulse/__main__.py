@@ -25,7 +25,8 @@ def parser() -> argparse.ArgumentParser:
     source = {"servers": None, "topic": None, "messages": None, "starting": "latest"}
     pace = {"trigger": "30 seconds"}
     add("publish", "landing", "checkpoint", servers=None, topic=None, out=None, **pace)
-    add("stream", "state", "observations", "checkpoint", model=None, order="event", **source, **pace)
+    kept = ("state", "observations", "checkpoint")
+    add("stream", *kept, model=None, order="event", **source, **pace)
     add("plain", **source, **pace)
     add("snapshot", "state", "out")
     add("merge", "snapshots", "out")

@@ -15,18 +15,16 @@ from dockpulse.session import stage
 @pytest.fixture(scope="module")
 def training(spark):
     """Ten stations whose counts follow the hour: the last values foretell the next."""
-    hour = F.col("id") % 96
-    wave = 20 + 15 * F.sin(2 * math.pi * hour / 96) + F.pmod(F.xxhash64("id", "s"), F.lit(3))
-    obs = (
-        spark.range(192)
-        .crossJoin(spark.range(10).withColumnRenamed("id", "s"))
-        .select(
-            F.col("s").cast("string").alias("station_id"),
-            wave.cast("int").alias("parking_count"),
-            F.expr("timestamp_ntz'2025-12-01 00:00:00' + make_dt_interval(0, 0, cast(id as int) * 15)").alias("observed_at"),
-            F.col("id").alias("seq"),
-        )
+    step, station = F.floor(F.col("id") / 10), F.col("id") % 10
+    noise = F.pmod(F.xxhash64("id"), F.lit(3))
+    wave = 20 + 15 * F.sin(2 * math.pi * step / 96) + noise
+    minutes = "make_dt_interval(0, 0, cast(seq * 15 as int))"
+    obs = spark.range(1920).select(
+        station.cast("string").alias("station_id"),
+        wave.cast("int").alias("parking_count"),
+        step.alias("seq"),
     )
+    obs = obs.withColumn("observed_at", F.expr(f"timestamp_ntz'2025-12-01 00:00:00' + {minutes}"))
     return stage(calendar_features(ts_features(obs, mode="train"), "observed_at"), "fixture")
 
 

@@ -59,9 +59,9 @@ def test_binary_messages_keep_other_columns(spark):
 
 
 def test_encode_keeps_other_scripts(spark):
-    df = spark.createDataFrame([("a", "강변 역", 3)], "station_id string, station_name string, n int")
+    df = spark.createDataFrame([("a", "솔밭 역", 3)], "station_id string, station_name string, n int")
     value = encode_json(df).first()["value"]
-    assert value == '{"station_id":"a","station_name":"강변 역","n":3}'
+    assert value == '{"station_id":"a","station_name":"솔밭 역","n":3}'
 
 
 def test_publish_and_read_back(spark, tmp_path):
@@ -111,8 +111,8 @@ def test_feed_without_rows(spark, document):
 
 
 def test_feed_name_filter(spark):
-    df = feed(spark, listed(station("강변역 1"), station("Park")))
-    assert rows(explode_feed(df, "역"), "station_name") == [("강변역 1",)]
+    df = feed(spark, listed(station("솔밭역 1"), station("Park")))
+    assert rows(explode_feed(df, "역"), "station_name") == [("솔밭역 1",)]
 
 
 @pytest.mark.parametrize("bad", ["x", "15.0", "", None])

@@ -19,7 +19,7 @@ from dockpulse.operators.serving import (
 
 @pytest.fixture(scope="module")
 def current(spark):
-    data = [("1", "Elm Station", 10), ("2", "강변역", 3), ("3", "Oak", 0), ("4", "Yew", 44)]
+    data = [("1", "Elm Station", 10), ("2", "솔밭역", 3), ("3", "Oak", 0), ("4", "Yew", 44)]
     return spark.createDataFrame(
         data, "station_id string, station_name string, parking_count int"
     ).withColumn("observed_at", F.lit(START).cast("timestamp_ntz"))
@@ -49,7 +49,7 @@ def test_documents(current, prediction):
     document = json.loads(station_documents(stations).first()["document"])
     assert document == {
         "station_id": "2",
-        "station_name": "강변역",
+        "station_name": "솔밭역",
         "current": {"parking_count": 3, "timestamp": "2025-12-26T08:00:00.000000"},
         "prediction": {
             "predicted_count": 5,
