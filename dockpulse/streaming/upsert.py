@@ -99,7 +99,7 @@ def upsert_batch(
     if store.holds(query, batch_id):
         return
     order_cols = order_columns(df, order)
-    with dropping_stages(spark), kept(with_event_order(clean(df))) as rows:
+    with dropping_stages(spark), kept(with_event_order(numbered(clean(df)))) as rows:
         count = rows.count()
         if not count:
             return
@@ -109,6 +109,15 @@ def upsert_batch(
             store.write(merge_state(before, scored, order_cols), query, batch_id)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """Number the rows by their place in the source files, unless the source has done so.
+
+    A batch that is run again reads the same files and gives the same numbers. Copies of one
+    message get numbers of their own, so that many of them can be split like other rows.
+    """
+    return df if "seq" in df.columns else df.withColumn("seq", F.monotonically_increasing_id())
+
+
 @contextmanager
 def kept(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` held for several readers; a lost part is computed again from the source."""
@@ -132,8 +141,8 @@ def merge_state(
 ) -> DataFrame:
     """New state of the stations in ``scored``.
 
-    By event time the last observation stays current, also against the state before; by
-    arrival the new one does. The history follows the order of arrival of the batches.
+    By event time the last observation stays current, also against the state before (of the same
+    moment, the new one); by arrival the new one does. The history follows the order of arrival of the batches.
     """
     names = STATE.fieldNames()
     fresh = latest_state(scored, "station_id", order_cols).select(*names)
@@ -141,7 +150,7 @@ def merge_state(
     both = fresh.withColumn("_new", F.lit(1)).unionByName(known.withColumn("_new", F.lit(0)))
     shown = [c for c in names if c not in ("station_id", "history")]
     by_event = list(order_cols) == list(ORDER)
-    last = F.struct(*ORDER, "_new") if by_event else F.col("_new")
+    last = F.struct("observed_at", "_new") if by_event else F.col("_new")
     return (
         both.groupBy("station_id")
         .agg(

@@ -319,3 +319,30 @@ def test_a_long_job_leaves_no_staged_pieces(spark, site, small_pieces):
     site.run()
     assert site.scored().count() == 40
     assert set(shared.iterdir()) == before
+
+
+def test_copies_of_one_message_are_split_too(spark, site, small_pieces, monkeypatch):
+    from dockpulse.operators import ordered
+    from dockpulse.session import stage
+
+    sizes = []
+
+    def keep(df, name):
+        laid = stage(df, name)
+        sizes.extend(r["count"] for r in laid.groupBy("_piece").count().collect())
+        return laid
+
+    monkeypatch.setattr(ordered, "stage", keep)
+    site.send(*[("a", 3, 1)] * 60)
+    site.run()
+    assert sum(sizes) == 60 and max(sizes) < 20
+    got = site.scored().groupBy("parking_count_lag_1", "parking_count_lag_3").count()
+    assert rows(got) == [(0, 0, 1), (3, 0, 2), (3, 3, 57)]
+    assert site.state("history") == [("a", [3] * 6)]
+
+
+def test_of_one_moment_the_new_batch_is_current(spark, site):
+    site.send(("a", 9, 100))
+    site.send(("a", 4, 100))
+    site.run()
+    assert site.state("parking_count", "history") == [("a", 4, [4, 9])]
