@@ -24,7 +24,8 @@ def latest_state(
     With ``as_of``, the state at that moment: later rows of the first order column do not count.
     """
     if as_of is not None:
-        df = df.where(F.col(order_cols[0]) <= F.lit(as_of).cast("timestamp_ntz"))
+        # As text, because a datetime literal would be moved into the session's time zone.
+        df = df.where(F.col(order_cols[0]) <= F.lit(as_of.isoformat()).cast("timestamp_ntz"))
     return dedupe_first(df, [key], [F.col(c).desc_nulls_last() for c in order_cols])
 
 

@@ -33,3 +33,15 @@ def test_forecast_queries_cover_the_test_rows(spark):
     assert scored.where("predicted_count IS NULL OR predicted_count < 0").isEmpty()
     assert {r["model"] for r in scored.select("model").distinct().collect()} == {"xgboost"}
     assert queries()["top_k_importance"](spark, SF_DIR).count() == 5
+
+
+@pytest.mark.parametrize(
+    "name", ["training_split_by_time", "snapshot_csv_merge", "format_time", "calendar_features"]
+)
+def test_results_do_not_depend_on_the_time_zone(spark, con, name):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert compare(spark, con, SF_DIR, name).startswith("ok")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
