@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dockpulse.llm import bpe
+from dockpulse.llm import bpe, token_shards
 from dockpulse.llm.common import table
 
 QUERIES = {}
@@ -32,3 +32,12 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         keep=["doc_id"],
     )
     return found.select("doc_id", "bpe.*")
+
+
+@query()
+def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as binary token shards, read back through their perfect hash index."""
+    manifest = token_shards.write_token_shards(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2
+    )
+    return token_shards.read_token_shards(manifest)
