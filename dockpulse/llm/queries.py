@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dockpulse.llm import bpe, token_shards
+from dockpulse.llm import bpe, decontaminate, token_shards
 from dockpulse.llm.common import table
 
 QUERIES = {}
@@ -41,3 +42,19 @@ def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2
     )
     return token_shards.read_token_shards(manifest)
+
+
+@query(decontaminate.SQL)
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside windows of the benchmark, and which are contaminated."""
+    found = decontaminate.find_windows(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"]
+    )
+    return found.select(
+        "doc_id",
+        "hits.n_words",
+        "hits.n_hit",
+        F.size("hits.items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "hits.items"), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+    )
