@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockpulse.llm import bpe, decontaminate, token_shards
-from dockpulse.llm.common import table
+from dockpulse.llm import bpe, decontaminate, language, token_shards
+from dockpulse.llm.common import held_out, table
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -58,3 +58,14 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "hits.items"), 256).alias("items_sha256"),
         decontaminate.contaminated().alias("contaminated"),
     )
+
+
+@query()
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    sample = language.training_sample(docs, ~held_out("doc_id"))
+    found = language.predict_language(docs, sample, keep=["doc_id"])
+    return found.select(
+        "doc_id", held_out("doc_id").alias("held_out"), "language.lang_pred", "language.score"
+    )
