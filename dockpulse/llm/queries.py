@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockpulse.llm import bpe, decontaminate, language, token_shards
+from dockpulse.llm import bpe, decontaminate, language, token_shards, warc
 from dockpulse.llm.common import held_out, table
 
 QUERIES = {}
@@ -69,3 +69,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", held_out("doc_id").alias("held_out"), "language.lang_pred", "language.score"
     )
+
+
+@query(warc.SQL)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record of a packaged archive, read back from the archives."""
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(manifest, with_payload=False).drop("url")
