@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockpulse.llm import bpe, decontaminate, language, token_shards, warc
+from dockpulse.llm import bpe, decontaminate, language, neardup, token_shards, warc
 from dockpulse.llm.common import held_out, table
 
 QUERIES = {}
@@ -76,3 +76,9 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a record of a packaged archive, read back from the archives."""
     manifest = warc.write_archives(table(spark, sf_dir, "pages"))
     return warc.read_archives(manifest, with_payload=False).drop("url")
+
+
+@query()
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of every document over two-word shingles, and which document of it stays."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
