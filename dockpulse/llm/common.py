@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,6 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver has it.
+
+    On a cluster the package is installed, or sent along with ``--py-files``, as usual.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or the first of ``name_``, ``name__``, ... that is no column of ``df``."""
     taken = {c.lower() for c in df.columns}

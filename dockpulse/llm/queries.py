@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockpulse.llm import bpe, decontaminate, language, neardup, token_shards, warc
-from dockpulse.llm.common import held_out, table
+from dockpulse.llm import bpe, decontaminate, language, neardup, token_shards, toxicity, warc
+from dockpulse.llm.common import held_out, importable, table
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -15,10 +17,15 @@ ORACLES: dict[str, str] = {}
 
 def query(sql: str | None = None):
     def register(run):
-        QUERIES[run.__name__] = run
+        @wraps(run)
+        def started(spark: SparkSession, sf_dir: str) -> DataFrame:
+            importable(spark)
+            return run(spark, sf_dir)
+
+        QUERIES[run.__name__] = started
         if sql is not None:
             ORACLES[run.__name__] = sql
-        return run
+        return started
 
     return register
 
@@ -82,3 +89,21 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of every document over two-word shingles, and which document of it stays."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+TOXIC_FROM = 0.3
+
+
+@query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    fitted = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), ~held_out("doc_id"))
+    found = toxicity.score_toxicity(docs, fitted, keep=["doc_id"])
+    score = F.col("toxicity.score")
+    return found.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        score.alias("score"),
+        (score >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
