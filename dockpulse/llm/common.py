@@ -95,3 +95,18 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
 
 def is_held_out(doc_id: object) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 4 == 2
+
+
+SHARES = 1 << 30
+
+
+def hash_place(*cols: str) -> Column:
+    return F.pmod(F.xxhash64(*cols), F.lit(SHARES))
+
+
+def hash_cutoff(n: int, wanted: int) -> int:
+    """Below this place stand the first ``wanted`` of ``n`` rows by hash, with room to spare.
+
+    A sample taken below it is cut down where the rows are, and is the same in any layout.
+    """
+    return SHARES if n <= 2 * wanted + 100 else SHARES * (2 * wanted + 100) // n

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from dockpulse.llm.common import annotate
+from dockpulse.llm.common import SHARES, annotate, hash_cutoff, hash_place
 
 ORDER = 4
 TRAIN_DOCS = 400
@@ -198,18 +198,23 @@ def training_sample(
     lang: str = "lang",
     train_docs: int = TRAIN_DOCS,
 ) -> dict[str, list[bytes]]:
-    """The documented sample, per language. Each task keeps at most its own first rows."""
+    """The documented sample, per language. The languages, labels of the table, are few."""
     rows = docs.where(usable & F.col(lang).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("body")
     )
     rows = rows.where(F.length("body").between(1, TRAIN_DOC_CHARS))
-    languages = max(1, rows.agg(F.count_distinct("lang")).first()[0])
-    each = max(1, min(train_docs, TRAIN_CHARS // (TRAIN_DOC_CHARS * languages)))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("body"), "body")
-    sample: dict[str, dict[bytes, None]] = {}
-    for r in rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= each).collect():
-        sample.setdefault(r["lang"], {})[r["body"].encode()] = None
-    return {name: list(bodies) for name, bodies in sample.items()}
+    counts = dict(tuple(r) for r in rows.groupBy("lang").count().collect())
+    each = max(1, min(train_docs, TRAIN_CHARS // (TRAIN_DOC_CHARS * max(1, len(counts)))))
+    place, limit = hash_place("body"), F.lit(SHARES)
+    for name, n in counts.items():
+        limit = F.when(F.col("lang") == name, hash_cutoff(n, 2 * each)).otherwise(limit)
+    first = rows.where(place < limit).groupBy("lang", place.alias("place"))
+    first = first.agg(F.min("body").alias("body"))  # copies are gone before the shuffle
+    order = Window.partitionBy("lang").orderBy("place")
+    sample: dict[str, list[bytes]] = {}
+    for r in first.withColumn("n", F.row_number().over(order)).where(F.col("n") <= each).collect():
+        sample.setdefault(r["lang"], []).append(r["body"].encode())
+    return {name: sorted(bodies) for name, bodies in sample.items()}
 
 
 LANGUAGE = T.StructType(

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockpulse.llm import bpe, decontaminate, language, neardup, token_shards, toxicity, warc
+from dockpulse.llm import (
+    bpe,
+    codes,
+    decontaminate,
+    language,
+    licenses,
+    neardup,
+    token_shards,
+    toxicity,
+    transcripts,
+    warc,
+)
 from dockpulse.llm.common import held_out, importable, table
 
 QUERIES = {}
@@ -107,3 +118,40 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         score.alias("score"),
         (score >= TOXIC_FROM).cast("int").alias("predicted"),
     )
+
+
+@query(licenses.SQL)
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every document, with the highest Dice coefficient."""
+    found = licenses.scan_licences(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        F.concat_ws(",", "licence.licences").alias("licences"),
+        F.size("licence.licences").cast("long").alias("n_licences"),
+        F.array_max("licence.scores").alias("best"),
+    )
+
+
+@query()
+def op7_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as a plain transcript, its roles recovered and its turns rendered."""
+    turns = table(spark, sf_dir, "conversations")
+    model = transcripts.fit_turns(turns, ~held_out("conv_id"))
+    plain = transcripts.plain_transcripts(turns)
+    found = transcripts.format_chats(plain, model, keep=["conv_id", "part", "roles"])
+    return found.select(
+        "conv_id",
+        "part",
+        held_out("conv_id").alias("held_out"),
+        "chat.n_turns",
+        F.col("chat.roles").alias("roles"),
+        (F.col("chat.roles") == F.col("roles")).alias("as_given"),
+        "chat.rendered_sha256",
+    )
+
+
+@query(codes.SQL)
+def op10_nearest_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest codes of every hundredth vector among all vectors, ties by id."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return codes.nearest_codes(vectors, vectors.where("vec_id % 100 = 0"), k=10)

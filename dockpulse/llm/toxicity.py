@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dockpulse.llm.common import annotate, pieces
+from dockpulse.llm.common import annotate, hash_cutoff, hash_place, pieces
 from dockpulse.session import stage
 
 TRAIN_DOCS = 30_000
@@ -207,7 +207,9 @@ def training_sample(
     """Text and label of the documented sample. Its ids are few, so the texts need no shuffle."""
     marked = labels.where(usable & F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     marked = marked.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
-    marked = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
+    place = hash_place("doc_id")
+    marked = marked.where(place < hash_cutoff(marked.count(), train_docs))
+    marked = marked.orderBy(place, "doc_id").limit(train_docs)
     rows = docs.select("doc_id", F.col("text").alias("text"))
     return stage(rows.join(F.broadcast(marked), "doc_id").select("text", "label"), "labelled")
 
