@@ -73,6 +73,7 @@ class GramTable:
             slot[wrong] = (slot[wrong] + 1) & ((1 << self.bits) - 1)
             found[wrong] = self.rows[slot[wrong]]
             wrong = wrong[(found[wrong] >= 0) & (self.keys[found[wrong]] != keys[wrong])]
+        found[wrong] = -1  # not among as many cells as any key was moved by
         return found
 
 
