@@ -1,0 +1,143 @@
+"""Groups against brute force, and the signatures against the rule of each shingle's permutation."""
+
+import random
+
+import numpy as np
+import pytest
+
+from dockpulse.llm import neardup
+from dockpulse.llm.files import mix64
+
+SCHEMA = "doc_id long, text string, component_id string, bands int, node string"
+
+
+def sets_of(rows, words):
+    out = []
+    for key, text, *_ in rows:
+        parts = (text or "").encode().lower().split()
+        whole = [tuple(parts[i : i + words]) for i in range(len(parts) - words + 1)]
+        out.append((key, frozenset(whole or ([tuple(parts)] if parts else []))))
+    return out
+
+
+def brute(rows, words, percent=80):
+    """The least id that is reachable from each row, by comparing all pairs."""
+    found = sets_of(rows, words)
+    parent = list(range(len(found)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, (a_id, a) in enumerate(found):
+        for j in range(i):
+            b_id, b = found[j]
+            if a and b and None not in (a_id, b_id) and 100 * len(a & b) >= percent * len(a | b):
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (key, _) in enumerate(found):
+        if key is not None:
+            least[root(i)] = min(key, least.get(root(i), key))
+    return [(key, len(s), least.get(root(i)) if key is not None else None) for i, (key, s) in enumerate(found)]
+
+
+def check(spark, rows, words, percent=80):
+    df = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], SCHEMA)
+    got = neardup.near_duplicates(df, words=words, percent=percent).collect()
+    found = sorted(((r[0], r[1], r[2]) for r in got), key=str)
+    assert found == sorted(brute(rows, words, percent), key=str)
+    assert all(r["kept"] == (r["doc_id"] is None or r["doc_id"] == r["component_id"]) for r in got)
+
+
+def copies(rng, base, n, most):
+    """Copies of a text with words replaced, left out or cut from the end."""
+    out = []
+    for _ in range(n):
+        words = list(base)
+        for _ in range(rng.randint(0, most)):
+            at = rng.randrange(len(words))
+            kind = rng.random()
+            if kind < 0.6:
+                words[at] = f"w{rng.randrange(10**6)}"
+            elif kind < 0.8:
+                del words[at]
+            else:
+                words.insert(at, rng.choice(base))
+        if rng.random() < 0.2:
+            words = words[: rng.randint(len(words) * 7 // 10, len(words))]
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("words", [2, 5])
+def test_groups_of_many_near_copies(spark, words):
+    rng = random.Random(words)
+    texts = []
+    for size, most in [(120, 14), (60, 5), (40, 25)]:
+        base = [f"v{rng.randrange(400)}" for _ in range(120)]
+        texts += copies(rng, base, size, most)
+    texts += ["one two three"] * 30 + ["ONE two  three", "one two", "one", "ONE", "", None, " \n", "á b", "Á b"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    rng.shuffle(rows)
+    rows += [(None, "one two three"), (None, None), rows[0], rows[1]]
+    check(spark, rows, words)
+
+
+def test_members_far_from_the_hub_are_linked(spark):
+    """A chain in which neighbours are linked and others are not, below one hub in every bucket."""
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for i in range(12):
+        words = list(base)
+        words[i * 6 : i * 6 + 6] = [f"c{j}" for j in range(6)]
+        for j in range(i):
+            words[100 + j * 4 : 104 + j * 4] = [f"d{j}{k}" for k in range(4)]
+        rows.append((i, " ".join(words)))
+    check(spark, rows, 2)
+    check(spark, rows, 2, percent=90)
+
+
+def test_long_and_empty(spark):
+    long = " ".join(f"k{i}" for i in range(60_000))
+    check(spark, [(1, long), (2, long + " end"), (3, long[: len(long) // 2]), (4, "")], 5)
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert neardup.near_duplicates(empty).count() == 0
+
+
+def test_signature_is_the_least_rank_of_all_permutations():
+    rng = np.random.default_rng(5)
+    sets = [rng.integers(0, 1 << 62, n, dtype=np.uint64) for n in (1, 3, 40, 900)]
+    got = neardup.super_minhash(sets, 32)
+    for row, shingles in zip(got, sets, strict=True):
+        least = [1 << 64] * 32
+        for s in shingles:
+            order = list(range(32))
+            for rank in range(32):
+                draw = int(mix64(np.array([s]), rank)[0])
+                pick = rank + ((draw >> 32) * (32 - rank) >> 32)
+                order[rank], order[pick] = order[pick], order[rank]
+                part = int(mix64(np.array([draw], np.uint64), 77)[0]) >> 11
+                least[order[rank]] = min(least[order[rank]], rank << 53 | part)
+        assert row.tolist() == least
+
+
+def test_signatures_estimate_similarity():
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 62, 1000, dtype=np.uint64)
+    other = np.concatenate([base[:800], rng.integers(0, 1 << 62, 200, dtype=np.uint64)])
+    a, b = neardup.super_minhash([base, other], 400)
+    assert abs((a == b).mean() - 800 / 1200) < 0.08
+
+
+def test_components_of_paths_and_stars(spark):
+    rng = random.Random(3)
+    edges = [(i, i + 1) for i in range(0, 400) if i % 50 != 49]
+    edges += [(1000, 1000 + i) for i in range(1, 300)] + [(1299, 1400), (1400, 1400)]
+    rng.shuffle(edges)
+    edges = [e if rng.random() < 0.5 else e[::-1] for e in edges]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(7)
+    found = {r["node"]: r["root"] for r in neardup.components(df).collect()}
+    for node in [*range(401), *range(1000, 1300), 1400]:
+        root = node // 50 * 50 if node < 401 else 1000
+        assert found.get(node, node) == root
