@@ -11,6 +11,9 @@ from dockpulse.sources.observations import decode_json, read_observations
 from dockpulse.streaming.jobs import plain_streams, station_job
 
 
+SHOWN = 20
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="dockpulse")
     job = top.add_subparsers(dest="job", required=True)
@@ -23,15 +26,17 @@ def parser() -> argparse.ArgumentParser:
             one.add_argument(f"--{option}", default=default)
 
     source = {"servers": None, "topic": None, "messages": None, "starting": "latest"}
+    source |= {"files": 100, "offsets": 1_000_000}  # at most so many in a micro-batch
     pace = {"trigger": "30 seconds"}
-    add("publish", "landing", "checkpoint", servers=None, topic=None, out=None, **pace)
+    sink = {"servers": None, "topic": None, "out": None, "files": 100}
+    add("publish", "landing", "checkpoint", **sink, **pace)
     kept = ("state", "observations", "checkpoint")
     add("stream", *kept, model=None, order="event", **source, **pace)
     add("plain", **source, **pace)
     add("snapshot", "state", "out")
     add("merge", "snapshots", "out")
     add("train", "snapshots", "model", split="hash")
-    add("stations", "state", search="")
+    add("stations", "state", search="", out=None)
     add("station", "state", "id")
     add("stats", "state")
     return top
@@ -40,9 +45,10 @@ def parser() -> argparse.ArgumentParser:
 def messages(spark, args):
     """Decoded messages of a topic, or of a folder of text files."""
     if args.messages:
-        return decode_json(read_observations(spark, "text", path=args.messages))
+        pace = {"maxFilesPerTrigger": args.files}
+        return decode_json(read_observations(spark, "text", path=args.messages, **pace))
     options = {"kafka.bootstrap.servers": args.servers, "subscribe": args.topic}
-    options["startingOffsets"] = args.starting
+    options |= {"startingOffsets": args.starting, "maxOffsetsPerTrigger": args.offsets}
     return decode_json(read_observations(spark, "kafka", **options))
 
 
@@ -55,7 +61,7 @@ def run(spark, args) -> None:
             sink = "kafka"
             options = {"kafka.bootstrap.servers": args.servers, "topic": args.topic}
         jobs.publish_feed(
-            spark, args.landing, sink, args.checkpoint, trigger=trigger, **options
+            spark, args.landing, sink, args.checkpoint, trigger=trigger, files=args.files, **options
         ).awaitTermination()
     elif args.job == "stream":
         model = load_model(args.model) if args.model else None
@@ -69,7 +75,9 @@ def run(spark, args) -> None:
             args.order,
         ).awaitTermination()
     elif args.job == "plain":
-        started = plain_streams(messages(spark, args), trigger=trigger)
+        decoded = messages(spark, args)
+        decoded.printSchema()
+        started = plain_streams(decoded, trigger=trigger)
         for query in started.values():
             query.awaitTermination()
     elif args.job == "snapshot":
@@ -78,10 +86,15 @@ def run(spark, args) -> None:
         jobs.merge_files(spark, args.snapshots, args.out)
     elif args.job == "train":
         done = jobs.train(spark, args.snapshots, args.model, args.split)
-        for report in (done.metrics, done.comparison, done.importances):
-            report.show(truncate=False)
+        for report in (done.metrics, done.comparison, done.importances, done.rounds):
+            report.show(report.count(), truncate=False)  # one row per part, feature or round
     elif args.job == "stations":
-        jobs.stations(spark, args.state, args.search).show(1000, truncate=False)
+        listed = jobs.stations(spark, args.state, args.search)
+        if args.out:  # every station, as JSON lines; printing shows the first ones only
+            listed.write.json(args.out)
+            listed = spark.read.schema(listed.schema).json(args.out)
+        print(f"{listed.count()} stations, of which the first {SHOWN}:")
+        listed.orderBy("station_id").show(SHOWN, truncate=False)
     elif args.job == "station":
         jobs.station(spark, args.state, args.id).show(truncate=False)
     elif args.job == "stats":

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from dockpulse.functions.calendar import calendar_features
 from dockpulse.functions.scalars import change_badges, format_time
 from dockpulse.operators import forecast, serving
-from dockpulse.operators.clean import dedupe_first, merge_snapshots
+from dockpulse.operators.clean import clean, dedupe_first, merge_snapshots
 from dockpulse.operators.latest import snapshot_features
 from dockpulse.operators.series import ts_features
 from dockpulse.schemas import FEATURE_COLS, LABEL, SUBWAY_MARKER
 from dockpulse.session import stage
 from dockpulse.sources.feeds import explode_feed, read_feed
-from dockpulse.sources.observations import encode_json, with_event_order
+from dockpulse.sources.observations import encode_json, keyed_json, with_event_order
 from dockpulse.sources.snapshots import read_snapshots, write_snapshot_csv
 from dockpulse.streaming.jobs import build_query
 from dockpulse.streaming.store import StationStore
@@ -34,7 +34,8 @@ def publish_feed(
 ):
     """Stream landed feed documents into messages, one per station."""
     polls = read_feed(spark, landing, streaming=True, maxFilesPerTrigger=options.pop("files", 100))
-    messages = encode_json(explode_feed(polls, name_contains))
+    rows = explode_feed(polls, name_contains)
+    messages = keyed_json(rows) if sink == "kafka" else encode_json(rows)
     return build_query(messages, sink, trigger, checkpoint, **options)
 
 
@@ -51,18 +52,24 @@ class Trained(NamedTuple):
     metrics: DataFrame
     comparison: DataFrame
     importances: DataFrame
+    rounds: DataFrame
 
 
 def train(
     spark: SparkSession, glob: str, model_path: str, split: str = "hash", **trees
 ) -> Trained:
-    """Fit and save a forecast from snapshot files; errors of both parts of the split."""
+    """Fit and save a forecast from snapshot files; errors of both parts, also by round."""
     files = read_snapshots(spark, glob).select("station_id", "timestamp", "parking_count")
-    seen = dedupe_first(files, ["station_id", "timestamp"], ["parking_count"])
-    wide = calendar_features(ts_features(with_event_order(seen)), "observed_at")
-    kept = ["station_id", "observed_at", *FEATURE_COLS, LABEL]
+    seen = dedupe_first(clean(files), ["station_id", "timestamp"], ["parking_count"])
+    seen = stage(seen, "snapshots")  # the texts are read once, not once per pass below
+    wide = calendar_features(
+        ts_features(with_event_order(seen), target_time=True), "observed_at"
+    )
+    kept = ["station_id", "observed_at", "target_at", *FEATURE_COLS, LABEL]
     rows = stage(wide.select(*kept), "training")
-    parts = forecast.training_split(rows, ["station_id", "observed_at"], by=split)
+    parts = forecast.training_split(
+        rows, ["station_id", "observed_at"], by=split, target_at="target_at"
+    )
     model = forecast.fit_forecaster(parts[0], **trees)
     forecast.save_model(model, model_path)
     errors = [
@@ -74,20 +81,27 @@ def train(
         errors[0].unionByName(errors[1]),
         forecast.baseline_compare(model.transform(parts[1])),
         forecast.importances(model),
+        spark.createDataFrame(
+            [
+                (name, i, error)
+                for name, part in zip(("train", "test"), parts)
+                for i, error in forecast.error_by_round(model, part)
+            ],
+            "part string, round int, rmse double",
+        ),
     )
 
 
 def stations(spark: SparkSession, state: str, text: str = "") -> DataFrame:
     """Every station with its forecast, change and labels; ``text`` searches the names."""
-    store = StationStore(spark, state)
-    listed = serving.station_list(store.current(), store.prediction())
+    listed = serving.listed(StationStore(spark, state).read())
     shown = change_badges(serving.station_change(serving.search_by_name(listed, text)))
     return format_time(shown, "current_at")
 
 
 def station(spark: SparkSession, state: str, station_id: str) -> DataFrame:
-    store = StationStore(spark, state)
-    return serving.station_detail(store.current(), store.prediction(), station_id)
+    wanted = StationStore(spark, state).read().where(F.col("station_id") == F.lit(station_id))
+    return serving.station_change(serving.listed(wanted))
 
 
 def stats(spark: SparkSession, state: str) -> DataFrame:

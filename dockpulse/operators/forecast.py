@@ -23,6 +23,7 @@ TREES = {
     "featureSubsetStrategy": "0.8",
     "seed": 42,
 }
+# End of fixed values.
 
 
 def training_split(
@@ -31,12 +32,14 @@ def training_split(
     test: float = 0.2,
     seed: int = 42,
     by: str = "hash",
+    target_at: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test rows.
 
-    ``hash`` puts a row on the same side in every run and on every cluster size.
-    ``time`` tests on the last part of the period, by the last of ``keys``. ``random`` draws
-    each row.
+    ``hash`` puts a row on the same side in every run and on every cluster size, and so does
+    ``md5``, which other systems can compute as well. ``time`` tests on the last part of the
+    period, by the last of ``keys``; rows before it whose target, by the time in ``target_at``,
+    lies in it are on neither side. ``random`` draws each row.
     """
     if by == "random":
         train, held = df.randomSplit([1 - test, test], seed)
@@ -44,14 +47,23 @@ def training_split(
     if by == "hash":
         slot = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1_000_000))
         is_test = slot < round(test * 1_000_000)
+    elif by == "md5":
+        digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+        slot = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 1_000_000
+        is_test = slot < round(test * 1_000_000)
     elif by == "time":
         micros = F.unix_micros(F.col(keys[-1]).cast("timestamp"))
         first, last = df.agg(F.min(micros), F.max(micros)).first()
         if last is None:
             return df, df
-        is_test = micros > F.lit(int(last - (last - first) * test))
+        cut = F.lit(int(last - (last - first) * test))
+        is_test = micros > cut
+        if target_at is not None:
+            held = df.where(is_test)
+            ahead = F.unix_micros(F.col(target_at).cast("timestamp"))
+            return df.where(~is_test & (ahead <= cut)), held
     else:
-        raise ValueError(f"by must be 'hash', 'random' or 'time', not {by!r}")
+        raise ValueError(f"by must be 'hash', 'md5', 'random' or 'time', not {by!r}")
     return df.where(~is_test), df.where(is_test)
 
 
@@ -83,8 +95,8 @@ def score_with_fallback(
 ) -> DataFrame:
     """Add ``predicted_count`` and ``model``.
 
-    The forecast is cut to an integer of zero or more. Rows with a missing feature, and all
-    rows when there is no model, get the rule.
+    The forecast is cut to an integer of zero or more. Rows with a feature that is missing or
+    no number, and all rows when there is no model, get the rule.
     """
     rule = rule_count(value, factor)
     if model is None:
@@ -92,8 +104,11 @@ def score_with_fallback(
     assemble, trees = model.stages[0], model.stages[-1]
     out = trees.getPredictionCol()
     missing = F.lit(False)
+    kinds = dict(df.dtypes)
     for name in assemble.getInputCols():
         missing = missing | F.col(name).isNull()
+        if kinds.get(name) in ("double", "float"):
+            missing = missing | F.isnan(name)
     forecast = F.greatest(F.lit(0), F.col(out).cast("int"))
     return (
         model.transform(df)

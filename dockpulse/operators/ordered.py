@@ -18,7 +18,7 @@ from dockpulse.session import int_conf, stage
 
 HOT_KEY_ROWS = 4_000_000  # spark.dockpulse.hotKeyRows; 0 for data known to have no hot key
 PIECE_ROWS = 2_000_000  # spark.dockpulse.pieceRows
-MAX_LISTED_KEYS = 50_000  # hot keys that are listed and broadcast; beyond it every key is laid out
+MOST_PIECES = 20_000  # pieces grow beyond PIECE_ROWS where there would be more of them
 
 WindowColumns = Callable[[WindowSpec], list[Column]]
 
@@ -41,30 +41,19 @@ def series_window(
     """
     spark = df.sparkSession
     limit = int_conf(spark, "spark.dockpulse.hotKeyRows", HOT_KEY_ROWS)
-    even = limit == 0 or (at_most is not None and at_most <= limit)
-    listed = [] if even else hot_keys(df, key, limit)
     plain = Window.partitionBy(key).orderBy(*order_cols)
-    if not listed:
+    if limit == 0 or (at_most is not None and at_most <= limit):
         return df.select("*", *columns(plain))
-
+    counts = df.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_rows"))
+    hot = stage(counts.where(F.col("_rows") > limit), "hot-keys")
+    rows = hot.agg(F.sum("_rows")).first()[0]
+    if not rows:
+        return df.select("*", *columns(plain))
+    # How the hot keys meet the rows is left to Spark: it knows the size of the staged table.
+    same = df[key].eqNullSafe(hot["_hot"])
+    calm = df.join(hot, same, "left_anti").select("*", *columns(plain))
     pieces = _pieces(columns, key, order_cols, inputs, before, after)
-    if len(listed) > MAX_LISTED_KEYS:
-        return pieces(df, df.count())
-    keys = spark.createDataFrame(
-        [(row[0],) for row in listed], df.select(F.col(key).alias("_hot")).schema
-    )
-    same = df[key].eqNullSafe(keys["_hot"])
-    calm = df.join(F.broadcast(keys), same, "left_anti")
-    busy = df.join(F.broadcast(keys), same, "left_semi")
-    return calm.select("*", *columns(plain)).unionByName(
-        pieces(busy, sum(row["count"] for row in listed))
-    )
-
-
-def hot_keys(df: DataFrame, key: str, limit: int) -> list:
-    """Keys with more than ``limit`` rows; at most one more than can be listed."""
-    counts = df.groupBy(key).count().where(F.col("count") > limit)
-    return counts.limit(MAX_LISTED_KEYS + 1).collect()
+    return calm.unionByName(pieces(df.join(hot, same, "left_semi"), rows))
 
 
 def _pieces(columns, key, order_cols, inputs, before, after):
@@ -72,6 +61,7 @@ def _pieces(columns, key, order_cols, inputs, before, after):
 
     def run(df: DataFrame, rows: int) -> DataFrame:
         size = int_conf(df.sparkSession, "spark.dockpulse.pieceRows", PIECE_ROWS)
+        size = max(size, math.ceil(rows / MOST_PIECES))
         laid = df.repartitionByRange(math.ceil(rows / size) + 1, key, *order_cols)
         # Staged, because the piece of a row must be the same for all readers below.
         laid = stage(laid.withColumn("_piece", F.spark_partition_id()), "pieces")

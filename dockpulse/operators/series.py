@@ -22,19 +22,22 @@ def ts_features(
     lags: int = 3,
     windows: Sequence[int] = (3, 6),
     horizon_rows: int = 2,
+    target_time: bool = False,
 ) -> DataFrame:
     """Series features in one of two forms.
 
     ``train``: missing predecessors stay null, means use the rows there are, a target
     ``horizon_rows`` ahead is added, and rows with a null in a base, lag, difference or
-    target column are dropped.
+    target column are dropped. With ``target_time``, ``target_at`` is the time of the target.
     ``serve``: every row is kept, missing predecessors count as zero, means have a fixed divisor.
     """
     if mode not in ("train", "serve"):
         raise ValueError(f"mode must be 'train' or 'serve', not {mode!r}")
     train = mode == "train"
     depth = max(lags, max(windows) - 1, 2)
-    wide = previous_counts(df, key, order_cols, value, depth, horizon_rows if train else 0)
+    horizon = horizon_rows if train else 0
+    timed = target_time and train
+    wide = previous_counts(df, key, order_cols, value, depth, horizon, target_time=timed)
     if not train:
         return serve_columns(wide, value, lags, windows).drop("previous")
     made = train_columns(wide, value, lags, windows).drop("previous")
@@ -51,6 +54,7 @@ def previous_counts(
     depth: int,
     horizon: int = 0,
     at_most: int | None = None,
+    target_time: bool = False,
 ) -> DataFrame:
     """Add ``previous``: the ``depth`` earlier values of the key, newest first, null if missing.
 
@@ -62,6 +66,8 @@ def previous_counts(
         made = [F.array(*_lags(w, value, depth)).alias("previous")]
         if horizon:
             made.append(F.lead(value, horizon).over(w).alias(LABEL))
+        if target_time:
+            made.append(F.lead(order_cols[0], horizon).over(w).alias("target_at"))
         return made
 
     return series_window(df, key, order_cols, columns, [value], depth, horizon, at_most)

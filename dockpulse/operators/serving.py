@@ -29,6 +29,19 @@ def station_list(current: DataFrame, prediction: DataFrame) -> DataFrame:
     return now.join(ahead, "station_id")
 
 
+def listed(state: DataFrame) -> DataFrame:
+    """The same from one table that holds both sides; rows without a prediction are left out."""
+    return state.where(F.col("predicted_count").isNotNull()).select(
+        "station_id",
+        "station_name",
+        "parking_count",
+        F.col("observed_at").alias("current_at"),
+        "predicted_count",
+        "model",
+        F.col("observed_at").alias("predicted_at"),
+    )
+
+
 def station_change(stations: DataFrame) -> DataFrame:
     return stations.withColumn("change", F.col("predicted_count") - F.col("parking_count"))
 

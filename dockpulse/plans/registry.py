@@ -11,12 +11,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-# events as observations of stations, in SQL
-OBS = """obs AS (
+# events as observations of stations, in SQL: as they are, and cleaned
+RAW = """raw AS (
   SELECT user_id AS station_id, 'Dock ' || user_id AS station_name,
-         CAST(trunc(value) AS INT) AS parking_count, CAST(props->>'k' AS INT) AS rack_total,
+         TRY_CAST(trunc(value) AS INT) AS parking_count, CAST(props->>'k' AS INT) AS rack_total,
          ts AS observed_at, event_id AS seq, event_type
   FROM events)"""
+OBS = f"""{RAW}, obs AS (
+  SELECT * FROM raw WHERE station_id IS NOT NULL AND parking_count >= 0)"""
 
 CALENDAR = """CAST(hour(observed_at) AS INT) AS hour,
   CAST(isodow(observed_at) - 1 AS INT) AS day_of_week,

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from dockpulse.functions import calendar, scalars
 from dockpulse.operators import clean, latest, series, serving
 from dockpulse.plans.registry import CALENDAR, ISO, OBS, RULE, TEXT_ID, query
-from dockpulse.schemas import LOW_STOCK
-from dockpulse.sources.warehouse import as_messages, as_observations, observations, table
+from dockpulse.schemas import LOW_STOCK, RULE_TAG
+from dockpulse.session import using
+from dockpulse.sources.warehouse import as_messages, as_observations, clean_events, observations
 from dockpulse.streaming import jobs
 
 W = "OVER (PARTITION BY station_id ORDER BY observed_at, seq)"
@@ -58,17 +59,11 @@ LATEST = f"""{OBS}, latest AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station_id
     ORDER BY observed_at DESC, seq DESC) AS rn FROM obs) WHERE rn = 1)"""
 
-# the rule's forecast of each station's last purchase: not every station has one
-PREDICTED = f"""predicted AS (
-  SELECT station_id, {RULE} AS predicted_count, 'simple' AS model, observed_at AS predicted_at
-  FROM (SELECT *, row_number() OVER (PARTITION BY station_id
-    ORDER BY observed_at DESC, seq DESC) AS rn FROM obs WHERE event_type = 'purchase')
-  WHERE rn = 1)"""
-
-LISTED = f"""{LATEST}, {PREDICTED}, listed AS (
-  SELECT station_id, station_name, parking_count, latest.observed_at AS current_at,
-         predicted_count, model, predicted_at
-  FROM latest JOIN predicted USING (station_id))"""
+# every station with the rule's forecast from its last observation
+LISTED = f"""{LATEST}, listed AS (
+  SELECT station_id, station_name, parking_count, observed_at AS current_at,
+         {RULE} AS predicted_count, 'simple' AS model, observed_at AS predicted_at
+  FROM latest)"""
 
 
 def last_events(events):
@@ -77,20 +72,17 @@ def last_events(events):
 
 
 def current_state(spark, sf_dir):
-    return as_observations(last_events(table(spark, sf_dir, "events")))
+    return as_observations(last_events(clean_events(spark, sf_dir)))
 
 
-def prediction_state(spark, sf_dir):
-    """Latest rule forecast, made at purchases only."""
-    bought = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
-    scored = scalars.rule_prediction(as_observations(last_events(bought)))
-    return scored.select(
-        "station_id", "predicted_count", F.lit("simple").alias("model"), "observed_at", "seq"
-    )
+def scored_state(spark, sf_dir):
+    """The last observation of every station with the rule's forecast from it."""
+    scored = scalars.rule_prediction(current_state(spark, sf_dir))
+    return scored.withColumn("model", F.lit(RULE_TAG))
 
 
 def listed_stations(spark, sf_dir):
-    return serving.station_list(current_state(spark, sf_dir), prediction_state(spark, sf_dir))
+    return serving.listed(scored_state(spark, sf_dir))
 
 
 @query(
@@ -102,6 +94,17 @@ def ts_features_train(spark, sf_dir):
     return series.ts_features(obs, mode="train")
 
 
+@query(
+    f"""WITH {TRAIN} SELECT station_id, seq, observed_at, parking_count, {SERIES_COLS},
+    parking_count_diff_2, target FROM train"""
+)
+def ts_features_split(spark, sf_dir):
+    """The same training features with the larger stations cut into pieces."""
+    settings = {"spark.dockpulse.hotKeyRows": "60", "spark.dockpulse.pieceRows": "1000"}
+    with using(spark, settings):
+        return ts_features_train(spark, sf_dir)
+
+
 @query(
     f"""WITH {SERVE} SELECT station_id, seq, observed_at, parking_count, {SERIES_COLS}
     FROM serve"""
@@ -167,9 +170,8 @@ def station_list(spark, sf_dir):
     FROM listed WHERE station_id = 42"""
 )
 def station_detail(spark, sf_dir):
-    return serving.station_detail(
-        current_state(spark, sf_dir), prediction_state(spark, sf_dir), 42
-    )
+    listed = serving.listed(scored_state(spark, sf_dir).where("station_id = 42"))
+    return serving.station_change(listed)
 
 
 @query(f"WITH {LISTED} SELECT *, predicted_count - parking_count AS change FROM listed")

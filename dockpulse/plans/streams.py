@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dockpulse.plans.ingest import WIRE
-from dockpulse.plans.registry import ISO, OBS, RULE, TEXT_ID, query
+from dockpulse.plans.registry import ISO, RAW, RULE, TEXT_ID, query
 from dockpulse.plans.stations import SERIES_COLS, SERIES_NAMES, SERVE
 from dockpulse.session import shared_path
 from dockpulse.sources import observations as messages
@@ -47,7 +47,7 @@ def run_to_files(spark, frame, name):
 @query(
     f"""WITH {SERVE} SELECT {TEXT_ID}, seq, parking_count, {SERIES_COLS}, history,
       {RULE} AS predicted_count, 'simple' AS model
-    FROM serve WHERE parking_count >= 0"""
+    FROM serve"""
 )
 def stream_scored_observations(spark, sf_dir):
     """Every observation with the features and forecast it got in the stream."""
@@ -66,7 +66,7 @@ def stream_scored_observations(spark, sf_dir):
 @query(
     f"""WITH {SERVE}, latest AS (
       SELECT *, {ISO} AS timestamp, row_number() OVER (PARTITION BY station_id
-        ORDER BY observed_at DESC, seq DESC) AS rn FROM serve WHERE parking_count >= 0)
+        ORDER BY observed_at DESC, seq DESC) AS rn FROM serve)
     SELECT {TEXT_ID}, station_name, parking_count, rack_total, timestamp,
       {RULE} AS predicted_count, 'simple' AS model, history
     FROM latest WHERE rn = 1"""
@@ -78,16 +78,16 @@ def stream_station_state(spark, sf_dir):
 
 
 @query(
-    f"""WITH {OBS} SELECT seq, {TEXT_ID}, station_name, parking_count, rack_total,
-      {ISO} AS timestamp FROM obs WHERE parking_count < 10"""
+    f"""WITH {RAW} SELECT seq, {TEXT_ID}, station_name, parking_count, rack_total,
+      {ISO} AS timestamp FROM raw WHERE parking_count < 10"""
 )
 def stream_low_stock(spark, sf_dir):
     return run_to_files(spark, jobs.low_stock(decoded_stream(spark, sf_dir)), "low-stock")
 
 
 @query(
-    f"""WITH {OBS} SELECT {TEXT_ID}, station_name, parking_count, {RULE} AS predicted_count
-    FROM obs"""
+    f"""WITH {RAW} SELECT {TEXT_ID}, station_name, parking_count, {RULE} AS predicted_count
+    FROM raw"""
 )
 def stream_rule_prediction(spark, sf_dir):
     return run_to_files(spark, jobs.rule_stream(decoded_stream(spark, sf_dir)), "rule")

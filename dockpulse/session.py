@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -31,14 +32,30 @@ def int_conf(spark: SparkSession, name: str, default: int) -> int:
     return int(spark.conf.get(name, str(default)))
 
 
+@contextmanager
+def using(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold inside the block only."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it gets a folder of its own.
+    Only a session whose executor is this process may go without; it gets a folder of its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\[\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="dockpulse-")
         spark.conf.set("spark.checkpoint.dir", path)

@@ -10,9 +10,13 @@ from dockpulse.schemas import FEED
 
 
 def read_feed(spark: SparkSession, path: str, streaming: bool = False, **options) -> DataFrame:
-    """Landed feed documents, one file each; a stream takes ``maxFilesPerTrigger`` at a time."""
+    """Landed feed documents, one file each; a stream takes ``maxFilesPerTrigger`` at a time.
+
+    ``polled_at`` is when the file was landed, so that polls read together keep their own times.
+    """
     reader = (spark.readStream if streaming else spark.read).schema(FEED)
-    return reader.options(**{"multiLine": "true", **options}).json(path)
+    documents = reader.options(**{"multiLine": "true", **options}).json(path)
+    return documents.select("*", F.col("_metadata.file_modification_time").alias("polled_at"))
 
 
 def decode_feed(df: DataFrame, value_col: str = "value") -> DataFrame:
@@ -31,28 +35,32 @@ def explode_feed(
 
     A document without the list gives no rows. ``name_contains`` keeps stations by name, ``limit``
     reads only the first entries of each document. A count that is no integer drops the
-    station; with ``strict`` it, or a missing name, drops the whole document.
+    station; with ``strict`` it, or a missing name, drops the whole document. The time is that of
+    the poll, ``polled_at``, and only without such a column the present.
     """
-    others = [c for c in df.columns if c != "rentBikeStatus"]
+    others = [c for c in df.columns if c not in ("rentBikeStatus", "polled_at")]
+    stamp = F.col("polled_at") if "polled_at" in df.columns else F.current_timestamp()
+    df = df.withColumn("_stamp", stamp)
     rows = F.col("rentBikeStatus.row")
     if limit is not None:
         rows = F.slice(rows, 1, limit)
     if strict:
         df = df.where(F.forall(rows, lambda r: _readable(r, name_contains)))
-    out = df.select(*others, F.explode(rows).alias("_s"))
-    if name_contains:
-        out = out.where(F.contains(F.col("_s.stationName"), F.lit(name_contains)))
+    if name_contains:  # before the list becomes rows
+        rows = F.filter(rows, lambda r: F.contains(r["stationName"], F.lit(name_contains)))
+    out = df.select(*others, "_stamp", F.explode(rows).alias("_s"))
     out = out.where(_counts_readable(F.col("_s")))
     stations = out.select(
         *others,
+        "_stamp",
         F.col("_s.stationId").alias("station_id"),
         F.col("_s.stationName").alias("station_name"),
         F.col("_s.parkingBikeTotCnt").try_cast("int").alias("parking_count"),
         F.col("_s.rackTotCnt").try_cast("int").alias("rack_total"),
     )
-    if "timestamp" in others:
-        return stations
-    return stations.withColumn("timestamp", iso_text(F.current_timestamp()))
+    if "timestamp" not in others:
+        stations = stations.withColumn("timestamp", iso_text("_stamp"))
+    return stations.drop("_stamp")
 
 
 def _readable(row, name_contains):

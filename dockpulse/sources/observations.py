@@ -14,7 +14,10 @@ from dockpulse.schemas import OBSERVATION
 def read_observations(
     spark: SparkSession, fmt: str, streaming: bool = True, **options
 ) -> DataFrame:
-    """Messages as a column ``value``; from ``kafka`` also their offset ``seq`` and ``arrived_at``.
+    """Messages as a column ``value``, with columns that say where in the source they stand.
+
+    From ``kafka`` these are ``source_part`` (the partition), ``seq`` (the offset) and ``arrived_at``;
+    from files ``source_part`` and ``source_block``, the file and the start of its part that is read.
 
     ``fmt`` is ``kafka`` (which needs Spark's Kafka connector; a stream starts at the latest
     message unless told otherwise) or any file format with a ``value`` column, such as ``text``.
@@ -28,8 +31,13 @@ def read_observations(
     raw = reader.load(path) if path else reader.load()
     if "offset" in raw.columns:
         arrived = F.col("timestamp").alias("arrived_at")
-        return raw.select("value", F.col("offset").alias("seq"), arrived)
-    return raw.select("value")
+        part = F.format_string("%06d", "partition").alias("source_part")
+        return raw.select("value", part, F.col("offset").alias("seq"), arrived)
+    return raw.select(
+        "value",
+        F.col("_metadata.file_path").alias("source_part"),
+        F.col("_metadata.file_block_start").alias("source_block"),
+    )
 
 
 def decode_json(
@@ -73,13 +81,23 @@ def encode_json(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.select(json_text(cols or df.columns).alias("value"))
 
 
+def keyed_json(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """The same with the station as ``key``."""
+    key = F.col("station_id").cast("string").alias("key")
+    return df.select(key, json_text(cols or df.columns).alias("value"))
+
+
 def json_text(cols: list[str]) -> Column:
     return F.to_json(F.struct(*cols))
 
 
 def publish(df: DataFrame, fmt: str, cols: list[str] | None = None, **options) -> None:
-    """Write each row as one JSON message, to ``kafka`` or to files such as ``text``."""
+    """Write each row as one JSON message, to ``kafka`` or to files such as ``text``.
+
+    In Kafka the key is the station, so that its messages keep their order in one partition.
+    """
     path = options.pop("path", None)
     if fmt == "kafka":
         options = {"kafka.acks": "all", "kafka.retries": "3", **options}
-    encode_json(df, cols).write.format(fmt).mode("append").options(**options).save(path)
+    sent = keyed_json(df, cols) if fmt == "kafka" else encode_json(df, cols)
+    sent.write.format(fmt).mode("append").options(**options).save(path)

@@ -14,30 +14,35 @@ from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from dockpulse.functions.calendar import calendar_features
 from dockpulse.operators.clean import clean
 from dockpulse.operators.forecast import score_with_fallback
 from dockpulse.operators.latest import latest_state
 from dockpulse.operators.series import previous_counts, serve_columns
-from dockpulse.schemas import HISTORY_DEPTH
-from dockpulse.session import dropping_stages
+from dockpulse.schemas import HISTORY_DEPTH, OBSERVATION
+from dockpulse.session import dropping_stages, hadoop_path
 from dockpulse.sources.observations import with_event_order
 from dockpulse.streaming.store import COMPACT_EVERY, STATE, StationStore
 
 ORDER = ("observed_at", "seq")
+PLACE = ("source_part", "source_block", "seq")  # offsets count within a partition or file only
 
 
 def order_columns(df: DataFrame, order: str) -> list[str]:
-    """Columns that order a batch: by ``event`` time, or by ``arrival`` at the source."""
+    """Columns that order a batch: by ``event`` time, or by ``arrival`` at the source.
+
+    Messages of one time follow their place in the source, which no two messages share.
+    """
+    place = [c for c in PLACE if c in df.columns]
     if order == "event":
-        return list(ORDER)
+        return ["observed_at", *place]
     if order != "arrival":
         raise ValueError(f"order must be 'event' or 'arrival', not {order!r}")
-    arrival = [c for c in ("arrived_at", "seq") if c in df.columns]
-    if not arrival:
+    if not place:
         raise ValueError("order of arrival needs a source that numbers its messages")
-    return arrival
+    return [*(c for c in ("arrived_at",) if c in df.columns), *place]
 
 
 def stateful_lags(
@@ -98,8 +103,10 @@ def upsert_batch(
     store = StationStore(spark, state_path, compact_every)
     if store.holds(query, batch_id):
         return
-    order_cols = order_columns(df, order)
+    if order == "arrival":
+        order_columns(df, order)  # before numbers of our own could stand in for the source's
     with dropping_stages(spark), kept(with_event_order(numbered(clean(df)))) as rows:
+        order_cols = order_columns(rows, order)
         count = rows.count()
         if not count:
             return
@@ -112,8 +119,9 @@ def upsert_batch(
 def numbered(df: DataFrame) -> DataFrame:
     """Number the rows by their place in the source files, unless the source has done so.
 
-    A batch that is run again reads the same files and gives the same numbers. Copies of one
-    message get numbers of their own, so that many of them can be split like other rows.
+    Within a part of a file the numbers rise with the lines, however files are dealt to tasks, so
+    (file, start of the part, number) orders the rows alike on every cluster. Copies of one message
+    get numbers of their own, so that many of them can be split like other rows.
     """
     return df if "seq" in df.columns else df.withColumn("seq", F.monotonically_increasing_id())
 
@@ -149,7 +157,7 @@ def merge_state(
     known = before.join(fresh.select("station_id"), "station_id", "left_semi")
     both = fresh.withColumn("_new", F.lit(1)).unionByName(known.withColumn("_new", F.lit(0)))
     shown = [c for c in names if c not in ("station_id", "history")]
-    by_event = list(order_cols) == list(ORDER)
+    by_event = order_cols[0] == "observed_at"
     last = F.struct("observed_at", "_new") if by_event else F.col("_new")
     return (
         both.groupBy("station_id")
@@ -162,6 +170,15 @@ def merge_state(
 
 
 def read_scored(spark, obs_path: str, day: str | None = None) -> DataFrame:
-    """Scored observations so far; with ``day`` only that day's folder is listed and read."""
+    """Scored observations so far; with ``day`` only that day's folder is listed and read.
+
+    Before the first row is written the table is empty.
+    """
+    found, fs = hadoop_path(spark, obs_path)
+    if not fs.exists(found):
+        nothing = spark.createDataFrame([], StructType([*OBSERVATION.fields]))
+        rows = with_event_order(numbered(nothing))
+        scored = score_batch(rows, StationStore(spark, f"{obs_path}/none").read(), None)
+        return scored.withColumns({"day": F.to_date("observed_at"), "batch": F.lit("")})
     reader = spark.read.option("basePath", obs_path)
     return reader.parquet(f"{obs_path.rstrip('/')}/day={day}" if day else obs_path)

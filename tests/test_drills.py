@@ -8,92 +8,79 @@ from dockpulse.operators.serving import usage_rate
 
 
 @pytest.fixture(scope="module")
-def members(spark):
+def crew(spark):
     data = [
-        ("North", "Ana", 21, 173, "2001-02-03", "보컬"),
-        ("North", "Bea", 22, 172, "2000-05-06", "보컬과 기타"),
-        ("North", "Cleo", 18, 166, "2004-07-08", "서브 보컬"),
-        ("South", "Dana", 29, 163, "1993-03-04", "보컬 및 랩"),
-        ("South", "Emi", 28, 167, "1994-09-10", "랩 담당"),
-        ("South", "Fay", 28, 168, "1994-11-12", "보컬 트레이너"),
+        ("Red", "Ida", 34, 181, "lead guitar"),
+        ("Red", "Jo", 45, 158, "drums"),
+        ("Red", "Kit", 19, 177, "bass guitar"),
+        ("Blue", "Lu", 27, 169, "keys"),
+        ("Blue", "Max", 31, 190, "guitar tech"),
+        ("Green", "Noa", 52, 164, "manager"),
+        ("Green", "Oli", 40, 172, "sound"),
+        ("Green", "Pia", 23, 155, "drums and sound"),
     ]
-    return spark.createDataFrame(data, ["group", "name", "age", "height", "birth", "role"])
+    return spark.createDataFrame(data, ["team", "name", "age", "height", "role"])
 
 
 @pytest.fixture(scope="module")
-def racks(spark):
-    data = [
-        ("Elm", 20, 15, "2024-03-05 10:00:00"),
-        ("Elm", 20, 12, "2024-03-05 11:00:00"),
-        ("Elm", 20, 8, "2024-03-05 12:00:00"),
-        ("Oak", 15, 10, "2024-03-05 10:00:00"),
-        ("Oak", 15, 7, "2024-03-05 11:00:00"),
-        ("Yew", 25, 20, "2024-03-05 10:00:00"),
-        ("Yew", 25, 18, "2024-03-05 11:00:00"),
+def docks(spark):
+    data = [("Fir", 12, 9), ("Ash", 30, 6), ("Elm", 16, 4), ("Fir", 12, 3), ("Bay", 8, 1), ("Elm", 16, 16)]
+    return spark.createDataFrame(data, ["stationName", "rackTotCnt", "parkingBikeTotCnt"])
+
+
+def test_inferred_integers_are_long(crew):
+    assert dict(crew.dtypes)["age"] == "bigint"
+
+
+@pytest.mark.parametrize(
+    "condition, names",
+    [
+        ("age <= 30", {"Kit", "Lu", "Pia"}),
+        ("age >= 30 AND age <= 40", {"Ida", "Max", "Oli"}),
+        ("age BETWEEN 30 AND 40", {"Ida", "Max", "Oli"}),
+        ("contains(role, 'guitar')", {"Ida", "Kit", "Max"}),
+        ("role LIKE '%sound%'", {"Oli", "Pia"}),
+        ("team = 'Blue'", {"Lu", "Max"}),
+    ],
+)
+def test_filters(crew, condition, names):
+    assert {r["name"] for r in crew.where(condition).collect()} == names
+
+
+def test_grouped_means(crew):
+    means = [F.round(F.avg(c), 4).alias(c) for c in ("age", "height")]
+    assert rows(crew.groupBy("team").agg(*means, F.count("*").alias("n"))) == [
+        ("Blue", 29.0, 179.5, 2),
+        ("Green", 38.3333, 163.6667, 3),
+        ("Red", 32.6667, 172.0, 3),
     ]
-    return spark.createDataFrame(
-        data, ["stationName", "rackTotCnt", "parkingBikeTotCnt", "timestamp"]
-    )
-
-
-def test_inferred_integers_are_long(members):
-    assert dict(members.dtypes)["age"] == "bigint"
 
 
-def test_filters(members):
-    assert members.where(F.col("age") <= 20).count() == 1
-    assert members.where((F.col("age") >= 20) & (F.col("age") <= 22)).count() == 2
-    assert members.where("age BETWEEN 20 AND 22").count() == 2
-    assert members.where(F.col("role").contains("보컬")).count() == 5
-    assert members.where("role LIKE '%랩%'").count() == 2
-    assert members.where(F.col("group") == "North").count() == 3
+def test_flag_and_order(crew):
+    flagged = crew.withColumn("long_reach", F.col("height") >= 175)
+    assert {r["name"] for r in flagged.where("long_reach").collect()} == {"Ida", "Kit", "Max"}
+    names = [r["name"] for r in crew.orderBy(F.desc("height")).collect()]
+    assert names == ["Max", "Ida", "Kit", "Oli", "Lu", "Noa", "Jo", "Pia"]
 
 
-def test_grouped_means(members):
-    out = members.groupBy("group").agg(
-        F.avg("age").alias("a"), F.avg("height").alias("h"), F.count("*").alias("n")
-    )
-    assert [(g, round(a, 4), round(h, 4), n) for g, a, h, n in rows(out)] == [
-        ("North", 20.3333, 170.3333, 3),
-        ("South", 28.3333, 166.0, 3),
+def test_sql_over_a_view(spark, crew):
+    crew.createOrReplaceTempView("crew_rows")
+    assert rows(spark.sql("SELECT team, count(*) AS n FROM crew_rows GROUP BY team")) == [
+        ("Blue", 2),
+        ("Green", 3),
+        ("Red", 3),
     ]
 
 
-def test_flag_and_order(members):
-    tall = members.withColumn("is_tall", F.col("height") >= 170).where("is_tall")
-    assert rows(tall, "height") == [(172,), (173,)]
-    heights = [r["height"] for r in members.orderBy(F.col("height").desc()).collect()]
-    assert heights == [173, 172, 168, 167, 166, 163]
-
-
-def test_sql_over_a_view(spark, members):
-    members.createOrReplaceTempView("member_rows")
-    out = spark.sql(
-        "SELECT group, COUNT (*) AS cnt FROM member_rows GROUP BY group ORDER BY cnt DESC"
-    )
-    assert rows(out) == [("North", 3), ("South", 3)]
+def test_station_sums(docks):
+    bikes = F.col("parkingBikeTotCnt")
+    out = docks.groupBy("stationName").agg(F.avg(bikes), F.sum(bikes), F.count(bikes))
+    assert rows(out) == [("Ash", 6.0, 6, 1), ("Bay", 1.0, 1, 1), ("Elm", 10.0, 20, 2), ("Fir", 6.0, 12, 2)]
 
 
-def test_station_sums(racks):
-    out = racks.groupBy("stationName").agg(
-        F.avg("parkingBikeTotCnt").alias("평균_자전거"),
-        F.sum("parkingBikeTotCnt").alias("총_자전거"),
-        F.count("*").alias("측정_횟수"),
-    )
-    assert [(s, round(a, 4), t, n) for s, a, t, n in rows(out)] == [
-        ("Elm", 11.6667, 35, 3),
-        ("Oak", 8.5, 17, 2),
-        ("Yew", 19.0, 38, 2),
-    ]
-
-
-def test_usage_is_a_mean_of_ratios_highest_first(racks):
-    out = usage_rate(racks, "stationName", "parkingBikeTotCnt", "rackTotCnt").collect()
-    assert [(s, round(u, 4)) for s, u in out] == [
-        ("Yew", 76.0),
-        ("Elm", 58.3333),
-        ("Oak", 56.6667),
-    ]
+def test_usage_is_a_mean_of_ratios_highest_first(docks):
+    out = usage_rate(docks, "stationName", "parkingBikeTotCnt", "rackTotCnt").collect()
+    assert [tuple(r) for r in out] == [("Elm", 62.5), ("Fir", 50.0), ("Ash", 20.0), ("Bay", 12.5)]
 
 
 def test_usage_without_racks_is_null(spark):

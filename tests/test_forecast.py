@@ -123,3 +123,18 @@ def test_metrics_by_hand(spark):
     assert math.isclose(both["simple_mae"], (0.15 + 3.5) / 2)
     assert math.isclose(both["persistence_mae"], 2.5)
     assert math.isclose(both["improvement_pct"], (1.825 - 2) / 1.825 * 100)
+
+
+def test_not_a_number_gets_the_rule(model, parts):
+    odd = parts[1].limit(5).withColumn("hour_sin", F.lit(float("nan")))
+    assert {r["model"] for r in forecast.score_with_fallback(model, odd).collect()} == {"simple"}
+
+
+def test_time_split_leaves_out_rows_that_see_the_tested_part(spark):
+    rows = spark.range(100).selectExpr(
+        "timestamp_ntz'2025-01-01 00:00:00' + make_dt_interval(0, CAST(id AS INT)) AS observed_at",
+        "timestamp_ntz'2025-01-01 00:00:00' + make_dt_interval(0, CAST(id + 2 AS INT)) AS target_at",
+    )
+    train, test = forecast.training_split(rows, ["observed_at"], by="time", target_at="target_at")
+    assert train.count() + test.count() == 98
+    assert train.agg(F.max("target_at")).first()[0] < test.agg(F.min("observed_at")).first()[0]

@@ -1,15 +1,19 @@
 """The jobs one after the other, as their users start them."""
 
 import json
+import os
 
 import pytest
 from conftest import rows
 
 from dockpulse import jobs
 from dockpulse.__main__ import parser, run
+from dockpulse.operators.clean import merge_snapshots
 from dockpulse.operators.forecast import load_model
 from dockpulse.schemas import SNAPSHOT
+from dockpulse.sources.observations import decode_json, read_observations
 from dockpulse.sources.snapshots import read_snapshots, write_snapshot_csv
+from dockpulse.streaming.store import StationStore
 
 
 @pytest.fixture(scope="module")
@@ -79,3 +83,42 @@ def test_training_from_snapshot_files(spark, tmp_path):
     assert sum(r["n"] for r in done.metrics.collect()) == 25 * 7
     assert done.comparison.first()["model_mae"] is not None
     assert load_model(str(tmp_path / "model")).stages[-1].getNumTrees == 3
+
+
+def test_every_station_is_written(spark, tmp_path, capsys):
+    state = spark.range(1500).selectExpr(
+        "CAST(id AS STRING) AS station_id", "'Stop' AS station_name", "CAST(id % 9 AS INT) AS parking_count",
+        "9 AS rack_total", "'' AS timestamp", "TIMESTAMP_NTZ'2025-01-01 00:00:00' AS observed_at",
+        "id AS seq", "3 AS predicted_count", "'simple' AS model", "array(1) AS history",
+    )
+    StationStore(spark, str(tmp_path / "state")).write(state, "q", 0)
+    arguments = ["stations", "--state", str(tmp_path / "state"), "--out", str(tmp_path / "out")]
+    run(spark, parser().parse_args(arguments))
+    assert "1500 stations" in capsys.readouterr().out
+    assert spark.read.json(str(tmp_path / "out")).select("station_id").distinct().count() == 1500
+
+
+def test_polls_published_together_keep_their_times(spark, tmp_path):
+    (tmp_path / "landing").mkdir()
+    for i, count in enumerate((12, 8, 5)):
+        row = {"stationId": "S", "stationName": "Elm역", "parkingBikeTotCnt": str(count), "rackTotCnt": "20"}
+        path = tmp_path / "landing" / f"{9 - i}.json"
+        path.write_text(json.dumps({"rentBikeStatus": {"row": [row]}}), encoding="utf-8")
+        os.utime(path, (1_700_000_000 + 30 * i, 1_700_000_000 + 30 * i))
+    arguments = ["publish", "--landing", str(tmp_path / "landing"), "--out", str(tmp_path / "messages")]
+    arguments += ["--checkpoint", str(tmp_path / "cp"), "--trigger", "once"]
+    run(spark, parser().parse_args(arguments))
+    decoded = decode_json(read_observations(spark, "text", streaming=False, path=str(tmp_path / "messages")))
+    merged = merge_snapshots([decoded]).collect()
+    assert [r["parking_count"] for r in merged] == [12, 8, 5]
+
+
+def test_rounds_of_both_parts(spark, tmp_path):
+    for i in range(12):
+        data = [(f"s{k}", f"2025-12-26T{8 + i:02d}:00:00", (3 * k + i) % 17, 8 + i, 4, 0) for k in range(25)]
+        data.append(("s0", f"2025-12-26T{8 + i:02d}:30:00", -5, 8 + i, 4, 0))
+        write_snapshot_csv(spark.createDataFrame(data, SNAPSHOT), str(tmp_path / f"snapshot_{i}.csv"))
+    done = jobs.train(spark, str(tmp_path / "snapshot_*.csv"), str(tmp_path / "model"), split="time", maxIter=3)
+    assert {r["part"] for r in done.rounds.collect()} == {"train", "test"}
+    # Seven rows a station remain; the two whose target lies in the tested part are on neither side.
+    assert sum(r["n"] for r in done.metrics.collect()) == 25 * 5

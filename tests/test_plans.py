@@ -2,10 +2,12 @@
 
 import pytest
 
+from dockpulse import jobs
 from dockpulse.plans import QUERIES
+from dockpulse.streaming.store import StationStore
 
 SF_DIR = "/root/testdata/sf0.001"
-PLAIN = sorted(n for n in QUERIES if not n.startswith(("stream_", "gbt_", "top_k_importance")))
+PLAIN = sorted(n for n in QUERIES if not n.startswith(("stream_", "gbt_", "top_k_importance", "importance_", "ts_features_split")))
 
 
 def plan(df):
@@ -43,12 +45,18 @@ def test_groups_are_combined_before_the_shuffle(plans, name):
 
 def test_filters_reach_the_scan(plans):
     assert "EqualTo(user_id,42)" in plans["station_detail"]
-    assert "EqualTo(event_type,purchase)" in plans["station_list"]
+    assert "IsNotNull(user_id)" in plans["station_list"]
     assert "LessThanOrEqual(p_size,20)" in plans["filter_compare"]
     assert "GreaterThanOrEqual(p_size,20)" in plans["filter_between_sql"]
     assert "EqualTo(c_mktsegment,BUILDING)" in plans["filter_equals"]
 
 
+def test_serving_reads_its_table_once(spark, plans, tmp_path):
+    assert plans["station_list"].count("FileScan") == 1
+    StationStore(spark, str(tmp_path)).write(StationStore(spark, str(tmp_path)).read(), "q", 0)
+    assert plan(jobs.stations(spark, str(tmp_path))).count("FileScan") == 1
+
+
 def test_scans_read_only_what_is_used(plans):
     assert "ReadSchema: struct<event_type:string>" in plans["sql_group_count"]
     assert "props" not in plans["ts_features_train"]

@@ -1,6 +1,7 @@
-"""Series features against hand-made values, pandas, and the plain window."""
+"""Series features against hand-made values and the plain window."""
 
 import math
+from datetime import timedelta
 
 import pytest
 from conftest import START, rows, series
@@ -18,21 +19,6 @@ LAGS = [f"parking_count_lag_{k}" for k in (1, 2, 3)]
 SERIES = [*LAGS, "parking_count_ma_3", "parking_count_ma_6", "parking_count_diff_1"]
 
 
-def pandas_train(pdf):
-    """The training features, one column at a time."""
-    pdf = pdf.sort_values(["station_id", "observed_at", "seq"]).copy()
-    count = pdf.groupby("station_id")["parking_count"]
-    for k in (1, 2, 3):
-        pdf[f"parking_count_lag_{k}"] = count.shift(k)
-    for n in (3, 6):
-        means = count.rolling(n, min_periods=1).mean()
-        pdf[f"parking_count_ma_{n}"] = means.reset_index(level=0, drop=True)
-    for k in (1, 2):
-        pdf[f"parking_count_diff_{k}"] = count.diff(k)
-    pdf[LABEL] = count.shift(-2)
-    return pdf.dropna()
-
-
 def close(left, right):
     return len(left) == len(right) and all(
         (a is None and b is None) or (a == b) or math.isclose(a, b, abs_tol=1e-9)
@@ -52,12 +38,12 @@ def random_walks(spark, sizes):
     return whole
 
 
-def test_train_features_match_pandas(spark):
-    df = random_walks(spark, [1, 5, 6, 12, 30])
-    cols = ["seq", *SERIES, "parking_count_diff_2", LABEL]
-    ours = ts_features(df, mode="train").orderBy("station_id", "seq").select(cols).collect()
-    theirs = pandas_train(df.toPandas())[cols].itertuples(index=False)
-    assert close([tuple(r) for r in ours], [tuple(r) for r in theirs])
+def test_train_features_by_hand(spark):
+    df = series(spark, [4, 10, 1, 7, 7, 0], "a").unionByName(series(spark, [9, 9, 9, 9, 9], "b"))
+    cols = ["station_id", "seq", *SERIES, "parking_count_diff_2", LABEL, "target_at"]
+    made = ts_features(df, mode="train", target_time=True).select(cols)
+    later = START + timedelta(seconds=150)
+    assert close(rows(made), [("a", 3, 1, 10, 4, 6.0, 5.5, 6, -3, 0, later)])
 
 
 def test_train_means_use_present_rows(spark):
@@ -139,9 +125,14 @@ def test_pieces_of_one_row_reach_far_neighbours(spark, small_pieces):
     assert split_equals_plain(spark, random_walks(spark, [23, 2]), MAKERS[0])
 
 
-def test_too_many_hot_keys_to_list(spark, small_pieces, monkeypatch):
-    monkeypatch.setattr(ordered, "MAX_LISTED_KEYS", 1)
-    assert split_equals_plain(spark, random_walks(spark, [12, 9, 8, 2]), MAKERS[0])
+def test_many_hot_keys(spark, small_pieces):
+    sizes = [6 + i % 5 for i in range(40)] + [1, 2, 3]
+    assert split_equals_plain(spark, random_walks(spark, sizes), MAKERS[0])
+
+
+def test_pieces_grow_where_there_would_be_too_many(spark, small_pieces, monkeypatch):
+    monkeypatch.setattr(ordered, "MOST_PIECES", 2)
+    assert split_equals_plain(spark, random_walks(spark, [30, 25, 2]), MAKERS[0])
 
 
 def test_a_hot_key_is_spread_over_pieces(spark, small_pieces):
@@ -149,8 +140,10 @@ def test_a_hot_key_is_spread_over_pieces(spark, small_pieces):
     seen = []
 
     def keep(df, name):
-        seen.append(stage(df, name))
-        return seen[-1]
+        laid = stage(df, name)
+        if name == "pieces":
+            seen.append(laid)
+        return laid
 
     patched = pytest.MonkeyPatch()
     patched.setattr(ordered, "stage", keep)

@@ -329,7 +329,8 @@ def test_copies_of_one_message_are_split_too(spark, site, small_pieces, monkeypa
 
     def keep(df, name):
         laid = stage(df, name)
-        sizes.extend(r["count"] for r in laid.groupBy("_piece").count().collect())
+        if name == "pieces":
+            sizes.extend(r["count"] for r in laid.groupBy("_piece").count().collect())
         return laid
 
     monkeypatch.setattr(ordered, "stage", keep)
@@ -346,3 +347,31 @@ def test_of_one_moment_the_new_batch_is_current(spark, site):
     site.send(("a", 4, 100))
     site.run()
     assert site.state("parking_count", "history") == [("a", 4, [4, 9])]
+
+
+def test_equal_times_and_offsets_in_two_partitions(spark, tmp_path):
+    """The order in which messages are handed over does not matter."""
+    sent = [(part, offset, 10 * part + offset) for part in (0, 1) for offset in (5, 6)]
+    found = []
+    for i, order in enumerate((sent, sent[::-1], sent[2:] + sent[:2])):
+        rows_in = [
+            (f"{part:06d}", offset, "a", "Stop", count, None, START.isoformat())
+            for part, offset, count in order
+        ]
+        batch = spark.createDataFrame(
+            rows_in,
+            "source_part string, seq long, station_id string, station_name string, parking_count int, "
+            "rack_total int, timestamp string",
+        )
+        state, obs = str(tmp_path / f"state{i}"), str(tmp_path / f"obs{i}")
+        upsert_batch(batch, 0, state, obs)
+        found.append(rows(StationStore(spark, state).read(), "parking_count", "history"))
+        assert read_scored(spark, obs).count() == 4
+    assert found == [[(16, [16, 15, 6, 5])]] * 3
+
+
+def test_nothing_written_is_an_empty_table(spark, site):
+    site.send(("a", -1, 0))
+    site.run()
+    assert site.scored().count() == 0
+    assert {"day", "batch", "history", "predicted_count"} <= set(site.scored().columns)
