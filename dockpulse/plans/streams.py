@@ -9,7 +9,13 @@ from dockpulse.plans.registry import ISO, RAW, RULE, TEXT_ID, query
 from dockpulse.plans.stations import SERIES_COLS, SERIES_NAMES, SERVE
 from dockpulse.session import shared_path
 from dockpulse.sources import observations as messages
-from dockpulse.sources.warehouse import as_messages, observation_stream
+from dockpulse.sources.warehouse import (
+    as_messages,
+    as_observations,
+    observation_stream,
+    table,
+    table_stream,
+)
 from dockpulse.streaming import jobs
 from dockpulse.streaming.store import StationStore
 from dockpulse.streaming.upsert import read_scored
@@ -35,6 +41,28 @@ def run_station_job(spark, sf_dir):
     return folder
 
 
+def run_in_slices(spark, sf_dir, slices=3):
+    """The events sent in slices of time; the job runs after each, over one checkpoint."""
+    folder = shared_path(spark, "slices")
+    events = table(spark, sf_dir, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    rows = as_messages(as_observations(events))
+    sent = rows.select(messages.json_text(WIRE).cast("binary").alias("value"), "seq", "observed_at")
+    for i in range(slices if first else 0):
+        low, high = (first + (last - first) * k / slices for k in (i, i + 1))
+        until = F.col("observed_at") < high if i + 1 < slices else F.col("observed_at") <= last
+        part = sent.where((F.col("observed_at") >= low) & until).drop("observed_at")
+        part.write.mode("append").parquet(f"{folder}/messages")
+        jobs.station_job(
+            messages.decode_json(table_stream(spark, f"{folder}/messages")),
+            state_path=f"{folder}/state",
+            obs_path=f"{folder}/observations",
+            checkpoint=f"{folder}/checkpoint",
+            trigger=None,
+        ).awaitTermination()
+    return folder
+
+
 def run_to_files(spark, frame, name):
     folder = shared_path(spark, name)
     job = jobs.build_query(
@@ -44,14 +72,24 @@ def run_to_files(spark, frame, name):
     return spark.read.schema(frame.schema).parquet(f"{folder}/rows")
 
 
-@query(
-    f"""WITH {SERVE} SELECT {TEXT_ID}, seq, parking_count, {SERIES_COLS}, history,
+SCORED = f"""WITH {SERVE} SELECT {TEXT_ID}, seq, parking_count, {SERIES_COLS}, history,
       {RULE} AS predicted_count, 'simple' AS model
     FROM serve"""
-)
+
+
+@query(SCORED)
 def stream_scored_observations(spark, sf_dir):
     """Every observation with the features and forecast it got in the stream."""
-    scored = read_scored(spark, f"{run_station_job(spark, sf_dir)}/observations")
+    return scored_columns(read_scored(spark, f"{run_station_job(spark, sf_dir)}/observations"))
+
+
+@query(SCORED)
+def stream_carried_history(spark, sf_dir):
+    """The same from three runs of the job: each goes on with the history that the last one left."""
+    return scored_columns(read_scored(spark, f"{run_in_slices(spark, sf_dir)}/observations"))
+
+
+def scored_columns(scored):
     return scored.select(
         "station_id",
         "seq",
