@@ -17,6 +17,7 @@ rows, so what is broadcast at a time is bounded; every block sees every document
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -87,8 +88,8 @@ HITS = T.StructType(
 )
 
 
-def blocks_of(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> list[list]:
-    """The distinct items, in blocks that each fit a broadcast."""
+def blocks_of(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list]:
+    """The distinct items, in blocks that each fit a broadcast; one at a time on the driver."""
     items = benchmark.select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("item"),
         F.col(text).alias("body"),
@@ -97,7 +98,8 @@ def blocks_of(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -
     size = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     n = max(1, -(-size // block_bytes))
     block = F.pmod(F.xxhash64("item", "body"), F.lit(n))
-    return [[tuple(r) for r in items.where(block == i).collect()] for i in range(n)]
+    for i in range(n):
+        yield [tuple(r) for r in items.where(block == i).collect()]
 
 
 def find_windows(
