@@ -134,18 +134,19 @@ def bpe_encode(
 def bpe_decode(df: DataFrame, ranks_path: str, pattern: str, ids: str, into: str) -> DataFrame:
     """Append the bytes of an array column of ids as the binary column ``into`` (null: empty)."""
     get = shipped_codec(df, ranks_path, pattern)
-    schema = T.StructType([*df.schema.fields, T.StructField(into, T.BinaryType())])
+    kept = [c for c in df.columns if c.lower() != into.lower()]
+    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(into, T.BinaryType())])
 
     def run(batches):
         import pyarrow as pa
 
         decode = get().decode
         for batch in batches:
-            lists = batch.column(batch.schema.names.index(ids)).to_pylist()
+            names = batch.schema.names
+            lists = batch.column(names.index(ids)).to_pylist()
             made = pa.array([decode(x or []) for x in lists], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, made], names=[*batch.schema.names, into]
-            )
+            others = [batch.column(names.index(c)) for c in kept]
+            yield pa.RecordBatch.from_arrays([*others, made], names=[*kept, into])
 
     return df.mapInArrow(run, schema)
 

@@ -64,12 +64,11 @@ def annotate(
     """Append the struct column ``into``, computed from the text column of each row.
 
     ``make`` runs once per task and returns a function from a list of texts (None for null) to one
-    sequence of values per field. ``keep`` names the columns that are returned (all by default).
+    sequence of values per field. ``keep`` names the columns that are returned (all by default); one
+    called like ``into`` gives way to it, see ``fresh`` for a name that is free.
     Rows are neither dropped, moved nor joined: one narrow pass, whatever other columns there are.
     """
-    keep = list(df.columns if keep is None else keep)
-    if into in keep:
-        raise ValueError(f"the column {into} is there already; see fresh()")
+    keep = [c for c in (df.columns if keep is None else keep) if c.lower() != into.lower()]
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(into, fields)])
     kinds = [pa.field(f.name, to_arrow_type(f.dataType)) for f in fields]
 

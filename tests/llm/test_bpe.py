@@ -57,6 +57,15 @@ def test_rows(spark):
     assert [bytes(r["body"]).decode() for r in back] == ["", "", "Hello world", ""]
 
 
+def test_a_column_of_the_same_name_gives_way(spark):
+    df = spark.createDataFrame([(1, "a b", "old")], "doc_id long, text string, IDS string")
+    coded = bpe.bpe_encode(df, RANKS, public_tokenizers.PATTERN, into="ids")
+    assert coded.columns == ["doc_id", "text", "ids"]
+    own = coded.select("text", "ids.ids")
+    back = bpe.bpe_decode(own, RANKS, public_tokenizers.PATTERN, "ids", "text")
+    assert back.columns == ["ids", "text"] and bytes(back.first()["text"]) == b"a b"
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.bpe_round_trip(df, RANKS, public_tokenizers.PATTERN).count() == 0
