@@ -18,6 +18,9 @@ shingle. Two documents are linked if their sets share at least ``percent`` perce
    itself confirms them. No pair is dropped, and members that share nothing beside the hub never meet.
 5. Union-find over the links within each task, then rounds of star contraction between tasks.
 
+Sums by bucket, hub or node are staged before they are joined back. Joined directly they would share
+the layout of the sum, in which all rows of a hot key stand in one task; this way Spark can split them.
+
 Words are runs of bytes other than ASCII white space, A-Z lower-cased. Null, empty and wordless
 texts have an empty set and no links. A row with a null id is not linked; its component is null and
 it is kept. Rows are judged by their text: if an id comes more than once, each row has the result of
@@ -212,7 +215,7 @@ def bucket_pairs(classes: DataFrame) -> DataFrame:
         .groupBy("bucket")
         .agg(F.max_by("node", F.struct("meets", "node")).alias("hub"))
     )
-    stars = crowd.join(hubs, "bucket").select("hub", "node", F.lit(True).alias("flagged"))
+    stars = crowd.join(stage(hubs, "hubs"), "bucket").select("hub", "node", F.lit(True).alias("flagged"))
     both = twos.unionByName(stars).where("hub <> node")
     return both.groupBy("hub", "node").agg(F.max("flagged").alias("flagged"))
 
@@ -223,7 +226,7 @@ def links_beside_hubs(found: DataFrame, percent: int) -> DataFrame:
     slack = F.col("cost") - gap * F.col("size")  # above 0: not linked with the hub
     members = found.where(F.size("delta") > 0).dropDuplicates(["hub", "node"])
     members = members.withColumn("far", slack > 0)
-    far_hubs = members.where("far").select("hub").distinct()
+    far_hubs = stage(members.where("far").select("hub").distinct(), "far-hubs")
     members = stage(members.join(far_hubs, "hub", "left_semi"), "deltas")
     # The least overlap that a link needs: of any member with a far one, and of a far one with any.
     n = F.size("delta")
@@ -233,7 +236,8 @@ def links_beside_hubs(found: DataFrame, percent: int) -> DataFrame:
         "hub", "node", "far", n.alias("n"), (n - needs + 1).alias("prefix"),
         (n - far_needs + 1).alias("far_prefix"), F.explode("delta").alias("shingle"),
     )
-    common = entries.groupBy("hub", "shingle").agg(F.count("*").alias("often")).where("often > 1")
+    common = entries.groupBy("hub", "shingle").agg(F.count("*").alias("often"))
+    common = stage(common.where("often > 1"), "common-shingles")
     own = Window.partitionBy("hub", "node")
     ranked = entries.join(common, ["hub", "shingle"]).withColumn(
         "rank",
@@ -297,11 +301,11 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        least = stage(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stage(large.where("a <> b").distinct(), "large-stars")
         # now a > b: the smaller neighbours of a are its b
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = stage(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b"))
@@ -341,7 +345,7 @@ def near_duplicates(
     roots = components(edges)
     groups = classes.select("node", "check", "first_id").join(roots, "node", "left")
     groups = groups.withColumn("root", F.coalesce("root", "node"))
-    firsts = groups.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    firsts = stage(groups.groupBy("root").agg(F.min("first_id").alias("component_id")), "firsts")
     groups = groups.join(firsts, "root").select("node", "check", "component_id")
     return (
         marks.select("doc_id", "n_shingles", "node", "check")
