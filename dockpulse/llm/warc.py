@@ -225,7 +225,8 @@ def write_archives(
         F.sha1(body).alias("digest"),
     )
     kept = rows.groupBy("digest").agg(F.max("page_id").alias("keeper"))
-    joined = rows.join(kept, "digest").select("page_id", "url", "html", "keeper")
+    # Staged: a join straight after the sum would keep its layout, a hot payload in one task.
+    joined = rows.join(stage(kept, "payloads"), "digest").select("page_id", "url", "html", "keeper")
 
     def run(batches):
         writer, path = None, None
