@@ -91,7 +91,8 @@ def nearest_codes(
         nearer = F.lit(False)
         for j, d in enumerate(far):
             nearer = nearer | (d < radius) | ((d == radius) & (F.col("segment") > j))
-        met = probes.join(index, ["segment", "value"]).where(~nearer & (distance <= F.col("bound")))
+        # Spark takes the probes for as small as the queries they come from, and would broadcast them.
+        met = probes.join(index.hint("merge"), ["segment", "value"]).where(~nearer & (distance <= F.col("bound")))
         met = met.select("query_id", "first_id", distance.alias("distance"))
         order = Window.partitionBy("query_id").orderBy("distance", "first_id")
         ranked = best.unionByName(met).withColumn("n", F.row_number().over(order))
