@@ -56,14 +56,14 @@ class WordEncoder:
 
     White space always separates tokens here, so a text is the sum of its chunks. Chunks of ASCII
     and precomposed Latin letters are split by the tokenizer's own pattern and go to its model;
-    every other chunk goes through the whole tokenizer. Special strings in a text are plain text.
+    every other chunk, and one that may hold an added token such as ``<|endoftext|>``, goes through
+    the whole tokenizer, which gives added tokens their own ids.
     """
 
     PLAIN = re.compile(r"[!-~À-ÖØ-öø-ɏ]*")
 
     def __init__(self, spec: str):
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
         self.model = self.tokenizer.model
@@ -80,6 +80,11 @@ class WordEncoder:
                 self.split = regex.compile(pre[0]["pattern"]["Regex"]).findall
         if self.split is None:
             raise ValueError("the tokenizer must lower-case, split by a pattern and use bytes")
+        added = kinds.get("added_tokens") or []
+        if any(re.search(r"\s", t["content"]) for t in added):
+            raise ValueError("added tokens must hold no white space")
+        contents = [plain_form(t["content"]) for t in added if t["content"]]
+        self.added = re.compile("|".join(map(re.escape, contents)) or r"(?!)")
         self.signs = byte_signs()
 
     def pack(self, ids: list[int]) -> bytes:
@@ -96,8 +101,9 @@ class WordEncoder:
 
     def chunk(self, chunk: str) -> bytes:
         if self.PLAIN.fullmatch(chunk):
-            plain = unicodedata.normalize("NFC", chunk).lower()
-            return b"".join([self.word(w) for w in self.split(plain)])
+            plain = plain_form(chunk)
+            if not self.added.search(plain):  # in lower case, so a superset of what the library matches
+                return b"".join([self.word(w) for w in self.split(plain)])
         return self.pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
@@ -112,6 +118,10 @@ class WordEncoder:
         return b"".join([known[c] for c in parts])
 
 
+def plain_form(text: str) -> str:
+    return unicodedata.normalize("NFC", text).lower()
+
+
 def byte_signs() -> dict[int, str]:
     """The visible sign that byte-level vocabularies use for each byte, by code point."""
     visible = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -35,6 +35,32 @@ def test_encoder_with_full_caches(monkeypatch):
         assert ids == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+UNCHANGED = Tokenizer.from_file(PATH)
+
+
+@settings(max_examples=500, deadline=None)
+@given(
+    st.lists(
+        st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>", "<|"])
+        | st.text(st.sampled_from("aB's \n\x85é中Σ1.|<>"), max_size=4),
+        max_size=8,
+    ).map("".join)
+)
+def test_added_tokens_get_their_own_ids(text):
+    ids = np.frombuffer(OWN.encode(text), OWN.dtype).tolist()
+    assert ids == UNCHANGED.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_in_shards(spark):
+    rows = [(1, "a<|endoftext|>b"), (2, "<|startoftext|> It's\n<|endoftext|>"), (3, "plain")]
+    manifest = ts.write_token_shards(spark.createDataFrame(rows, "doc_id long, text string"), PATH, end_id=2)
+    start = 0
+    for r, (key, text) in zip(ts.read_token_shards(manifest).orderBy("start").collect(), rows, strict=True):
+        ids = UNCHANGED.encode(text, add_special_tokens=False).ids + [2]
+        assert tuple(r) == (key, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
 def test_perfect_hash_is_minimal():
     keys = ts.mix64(np.arange(20_000, dtype=np.uint64), 7)
     hashed = ts.PerfectHash.build(keys)
