@@ -15,14 +15,14 @@ WORDS, PERCENT = 5, 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that was learned. Texts without a letter go, and texts that no
-    learned language writes shorter than eight bits a byte."""
+    """Documents that are given a learned language. Only texts that are ``und`` go: those without a
+    letter, and all if nothing can be learned. There is no limit on the code length, as short clean
+    texts take more than eight bits a byte."""
     importable(spark)
     into = fresh(docs, "language")
     sample = language.training_sample(docs, ~held_out("doc_id"))
     found = language.predict_language(docs, sample, into=into)
-    known = (F.col(into)["lang_pred"] != "und") & (F.col(into)["bits_per_byte"] < 8)
-    return found.where(known).drop(into)
+    return found.where(F.col(into)["lang_pred"] != "und").drop(into)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

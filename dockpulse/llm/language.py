@@ -8,8 +8,8 @@ with the shortest code for the whole text wins, and the score is its posterior,
 the sum over languages.
 
 The trees are fitted on a documented sample: of every language the ``TRAIN_DOCS`` labelled documents
-that come first by a hash of their text (copies count once), each of at most ``TRAIN_DOC_CHARS``
-characters and together under ``TRAIN_CHARS`` for all languages. Only text and language are read
+that come first by a hash of their text (copies count once), of each the first ``TRAIN_DOC_CHARS``
+characters, together under ``TRAIN_CHARS`` for all languages. Only text and language are read
 there. Scoring reads every byte of every text.
 
 A text that is null or has no letter is ``und`` with score 0. If nothing can be learned every text
@@ -201,9 +201,9 @@ def training_sample(
 ) -> dict[str, list[bytes]]:
     """The documented sample, per language. The languages, labels of the table, are few."""
     rows = docs.where(usable & F.col(lang).isNotNull()).select(
-        F.col(lang).alias("lang"), F.col(text).alias("body")
+        F.col(lang).alias("lang"), F.substring(F.col(text), 1, TRAIN_DOC_CHARS).alias("body")
     )
-    rows = rows.where(F.length("body").between(1, TRAIN_DOC_CHARS))
+    rows = rows.where(F.length("body") > 0)
     counts = dict(tuple(r) for r in rows.groupBy("lang").count().collect())
     each = max(1, min(train_docs, TRAIN_CHARS // (TRAIN_DOC_CHARS * max(1, len(counts)))))
     place, limit = hash_place("body"), F.lit(SHARES)

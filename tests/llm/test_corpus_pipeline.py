@@ -46,3 +46,12 @@ def test_odd_documents_go_through(spark, empty):
         if name != "byte_bpe":
             assert docs.columns == before
     assert sorted((r["doc_id"] or 0) for r in docs.collect()) == ([] if empty else [0, 1])
+
+
+def test_short_clean_texts_are_kept(spark):
+    docs = table(spark, SF, "documents")
+    short = ["A.", "OK", "Zoë", "Xylophone", "NASA JPL", "int x = 7;", "Мир и дом", "123 !?", "", None]
+    rows = [(10**6 + i, t, None, "a", 1) for i, t in enumerate(short)]
+    both = docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    kept = dict(corpus_pipeline.STAGES)["language_id"](spark, both, SF).where("doc_id >= 1000000")
+    assert sorted(r["doc_id"] - 10**6 for r in kept.collect()) == list(range(7))

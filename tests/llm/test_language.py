@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from dockpulse.llm import language as lang
 from dockpulse.llm.common import held_out, is_held_out, table
@@ -77,3 +78,14 @@ def test_odd_rows(spark, learned):
     assert found[2]["lang_pred"] == ("de" if learned else "und")
     assert lang.predict_language(df.limit(0), sample).count() == 0
     assert lang.training_sample(df.limit(0), usable) == {}
+
+
+def test_long_labelled_texts_are_learned(spark):
+    long = ["der hund und die katze " * 1_000, "das haus und der garten " * 1_000]
+    assert min(map(len, long)) > lang.TRAIN_DOC_CHARS
+    rows = [(i, t, "de") for i, t in enumerate(long)] + [(i, f"the cat and dog {i}", "en") for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = lang.training_sample(df, F.lit(True))
+    assert sample["de"] == sorted(t[: lang.TRAIN_DOC_CHARS].encode() for t in long)
+    asked = spark.createDataFrame([("der garten und die katze",)], "text string")
+    assert lang.predict_language(asked, sample).first()["language"]["lang_pred"] == "de"
