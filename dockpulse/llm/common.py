@@ -60,11 +60,12 @@ def annotate(
     make: Callable[[], Callable[[list], Sequence[Sequence]]],
     text: str,
     keep: Sequence[str] | None = None,
+    beside: Sequence[str] = (),
 ) -> DataFrame:
     """Append the struct column ``into``, computed from the text column of each row.
 
-    ``make`` runs once per task and returns a function from a list of texts (None for null) to one
-    sequence of values per field. ``keep`` names the columns that are returned (all by default); one
+    ``make`` runs once per task and returns a function from a list of texts (None for null), and one
+    list for each column of ``beside``, to one sequence of values per field. ``keep`` names the columns that are returned (all by default); one
     called like ``into`` gives way to it, see ``fresh`` for a name that is free.
     Rows are neither dropped, moved nor joined: one narrow pass, whatever other columns there are.
     """
@@ -77,13 +78,13 @@ def annotate(
         for batch in batches:
             for part in pieces(batch, text):
                 names = part.schema.names
-                values = work(part.column(names.index(text)).to_pylist())
+                values = work(*[part.column(names.index(c)).to_pylist() for c in (text, *beside)])
                 arrays = [pa.array(v, k.type) for v, k in zip(values, kinds, strict=True)]
                 kept = [part.column(names.index(c)) for c in keep]
                 made = pa.StructArray.from_arrays(arrays, fields=kinds)
                 yield pa.RecordBatch.from_arrays([*kept, made], names=[*keep, into])
 
-    return df.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
+    return df.select(*dict.fromkeys([*keep, text, *beside])).mapInArrow(run, schema)
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:

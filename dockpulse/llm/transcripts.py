@@ -162,7 +162,7 @@ def fit_turns(
 def plain_transcripts(conversations: DataFrame) -> DataFrame:
     """``conv_id, part, transcript, roles``: turns in order, as people write them down.
 
-    The style follows the id: names, questions and answers, headings, or no marker at all; a blank line
+    The style follows a hash of the id that does not depend on the one that holds ids out: names, questions and answers, headings, or no marker at all; a blank line
     stands between turns. ``roles`` are the true ones, to compare with.
     """
     part = F.floor(F.coalesce(F.col("turn"), F.lit(0)) / PART_TURNS).cast("long")
@@ -170,7 +170,7 @@ def plain_transcripts(conversations: DataFrame) -> DataFrame:
         "conv_id", part.alias("part"), F.struct("turn", "role", "text").alias("one")
     )
     grouped = rows.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list("one")).alias("turns"))
-    style = F.crc32(F.encode(F.coalesce(F.col("conv_id").cast("string"), F.lit("")), "UTF-8")) % 4
+    style = F.pmod(F.xxhash64(F.coalesce(F.col("conv_id").cast("string"), F.lit(""))), F.lit(4))
 
     def marked(t):
         role = F.coalesce(t["role"], F.lit(""))
@@ -199,14 +199,22 @@ TURNS = T.StructType(
 
 
 def format_chats(
-    transcripts: DataFrame, model: TurnModel, text: str = "transcript", into: str = "chat", keep=None
+    transcripts: DataFrame,
+    model: TurnModel,
+    text: str = "transcript",
+    into: str = "chat",
+    keep=None,
+    part: str = "part",
 ) -> DataFrame:
-    """Append the number of turns, their roles joined by commas, and the rendered text."""
+    """Append the number of turns, their roles joined by commas, and the rendered text.
 
-    def work(texts):
-        found = [model.parse(t) for t in texts]
+    Where ``part`` is not 0 a transcript goes on with a conversation and may start with any role.
+    """
+
+    def work(texts, parts):
+        found = [model.parse(t, p == 0) for t, p in zip(texts, parts, strict=True)]
         bodies = [render(f) for f in found]
         digests = [hashlib.sha256(b.encode()).hexdigest() for b in bodies]
         return [len(f) for f in found], [",".join(r for r, _ in f) for f in found], bodies, digests
 
-    return annotate(transcripts, into, TURNS, lambda: work, text, keep)
+    return annotate(transcripts, into, TURNS, lambda: work, text, keep, [part])

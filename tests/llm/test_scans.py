@@ -61,6 +61,28 @@ def test_roles_are_recovered(spark):
     assert right > 0.9
 
 
+def test_roles_of_long_conversations(spark):
+    model = transcripts.fit_turns(table(spark, SF, "conversations"), ~held_out("conv_id"))
+    given = table(spark, SF, "conversations").where("role <> 'system'").orderBy("conv_id", "turn").collect()
+    texts = {k: [r["text"] for r in given if r["role"] == k] for k in ("user", "assistant")}
+    rows = []
+    for c in range(24):  # turn 64 is the assistant's
+        rows += [(c, 0, "system", "Answer briefly.")]
+        for t in range(1, 300):
+            role = "user" if t % 2 else "assistant"
+            rows.append((c, t, role, texts[role][(c * 300 + t) % len(texts[role])]))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = transcripts.format_chats(transcripts.plain_transcripts(df), model).collect()
+    style = lambda t: next((i for i, m in enumerate(("User: ", "Q: ", "### ")) if m in t), 3)
+    assert {style(r["transcript"]) for r in found} == {0, 1, 2, 3}
+    for k in range(4):
+        own = [r for r in found if style(r["transcript"]) == k]
+        pairs = [p for r in own for p in zip(r["roles"].split(","), r["chat"]["roles"].split(","), strict=False)]
+        assert sum(a == b for a, b in pairs) / len(pairs) > 0.9
+    styles = transcripts.plain_transcripts(table(spark, SF, "conversations")).where(held_out("conv_id"))
+    assert {style(r["transcript"]) for r in styles.collect()} == {0, 1, 2, 3}
+
+
 def test_odd_transcripts(spark):
     turns = table(spark, SF, "conversations")
     model = transcripts.fit_turns(turns, ~held_out("conv_id"))
