@@ -138,10 +138,11 @@ def op7_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     model = transcripts.fit_turns(turns, ~held_out("conv_id"))
     plain = transcripts.plain_transcripts(turns)
-    found = transcripts.format_chats(plain, model, keep=["conv_id", "part", "roles"])
+    found = transcripts.format_chats(plain, model, keep=["conv_id", "part", "piece", "roles"])
     return found.select(
         "conv_id",
         "part",
+        "piece",
         held_out("conv_id").alias("held_out"),
         "chat.n_turns",
         F.col("chat.roles").alias("roles"),

@@ -8,7 +8,8 @@ the text broken by a space.
 
 Start and change of roles, lines per turn and line lengths are counted over the usable turns of a table;
 how often markers and blank lines are right is set below. Long conversations are parsed in parts of
-``PART_TURNS`` turn numbers, so no row holds an unbounded group; a later part may start with any role.
+``PART_TURNS`` turn numbers, and a part of more rows (repeated turns, rows without an id) in pieces of
+``PART_TURNS`` rows, so no row holds an unbounded group; all but the first may start with any role.
 
 Null and empty texts have no turns. Equal paths go to the state that is first in ``STATES``.
 """
@@ -22,8 +23,10 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from dockpulse.llm.common import annotate
+from dockpulse.session import stage
 
 ROLES = ("system", "user", "assistant")
 STATES = [(role, begin) for role in ROLES for begin in (True, False)]
@@ -159,8 +162,34 @@ def fit_turns(
     )
 
 
+def with_pieces(rows: DataFrame) -> DataFrame:
+    """Append ``piece``: the number of a row in its part, in order, divided by ``PART_TURNS``.
+
+    If a part has more rows than that, all rows are dealt by range over order and place, so that a large
+    part, even of equal rows, spreads over tasks; numbers run within a task, and the counts of the tasks
+    before are added. Rows of one turn and role go by a hash of their text.
+    """
+    sizes = rows.groupBy("conv_id", "part").count()
+    if sizes.where(F.col("count") > PART_TURNS).isEmpty():
+        return rows.withColumn("piece", F.lit(0).cast("long"))
+    order = ["conv_id", "part", "one.turn", "one.role", "mixed", "place"]
+    dealt = rows.withColumn("mixed", F.xxhash64("one.text"))
+    dealt = dealt.withColumn("place", F.monotonically_increasing_id())
+    dealt = dealt.repartitionByRange(*order).sortWithinPartitions(*order).drop("mixed", "place")
+    dealt = dealt.withColumn("seq", F.monotonically_increasing_id())
+    dealt = stage(dealt, "turns-in-order").withColumn("task", F.shiftright("seq", 33))
+    runs = dealt.groupBy("conv_id", "part", "task").agg(F.min("seq").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("conv_id", "part").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first"))
+    runs = runs.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.col("task").alias("k"), "base")
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")) & (F.col("task") == F.col("k"))
+    numbered = dealt.join(runs, same)
+    piece = F.floor((F.col("seq") + F.col("base")) / PART_TURNS).cast("long")
+    return numbered.select("conv_id", "part", "one", piece.alias("piece"))
+
+
 def plain_transcripts(conversations: DataFrame) -> DataFrame:
-    """``conv_id, part, transcript, roles``: turns in order, as people write them down.
+    """``conv_id, part, piece, transcript, roles``: turns in order, as people write them down.
 
     The style follows a hash of the id that does not depend on the one that holds ids out: names, questions and answers, headings, or no marker at all; a blank line
     stands between turns. ``roles`` are the true ones, to compare with.
@@ -169,7 +198,8 @@ def plain_transcripts(conversations: DataFrame) -> DataFrame:
     rows = conversations.select(
         "conv_id", part.alias("part"), F.struct("turn", "role", "text").alias("one")
     )
-    grouped = rows.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list("one")).alias("turns"))
+    rows = with_pieces(rows)
+    grouped = rows.groupBy("conv_id", "part", "piece").agg(F.array_sort(F.collect_list("one")).alias("turns"))
     style = F.pmod(F.xxhash64(F.coalesce(F.col("conv_id").cast("string"), F.lit(""))), F.lit(4))
 
     def marked(t):
@@ -183,6 +213,7 @@ def plain_transcripts(conversations: DataFrame) -> DataFrame:
     return grouped.select(
         "conv_id",
         "part",
+        "piece",
         F.concat_ws("\n\n", F.transform("turns", marked)).alias("transcript"),
         F.concat_ws(",", F.transform("turns", lambda t: F.coalesce(t["role"], F.lit("")))).alias("roles"),
     )
@@ -205,16 +236,18 @@ def format_chats(
     into: str = "chat",
     keep=None,
     part: str = "part",
+    piece: str = "piece",
 ) -> DataFrame:
     """Append the number of turns, their roles joined by commas, and the rendered text.
 
-    Where ``part`` is not 0 a transcript goes on with a conversation and may start with any role.
+    Where ``part`` or ``piece`` is not 0 a transcript goes on with a conversation and may start with any
+    role.
     """
 
-    def work(texts, parts):
-        found = [model.parse(t, p == 0) for t, p in zip(texts, parts, strict=True)]
+    def work(texts, *places):
+        found = [model.parse(t, not any(place)) for t, *place in zip(texts, *places, strict=True)]
         bodies = [render(f) for f in found]
         digests = [hashlib.sha256(b.encode()).hexdigest() for b in bodies]
         return [len(f) for f in found], [",".join(r for r, _ in f) for f in found], bodies, digests
 
-    return annotate(transcripts, into, TURNS, lambda: work, text, keep, [part])
+    return annotate(transcripts, into, TURNS, lambda: work, text, keep, [part, piece])

@@ -83,6 +83,26 @@ def test_roles_of_long_conversations(spark):
     assert {style(r["transcript"]) for r in styles.collect()} == {0, 1, 2, 3}
 
 
+def test_large_parts_go_in_pieces_of_bounded_rows(spark):
+    rows = [(None, None, "user", f"no id {i}") for i in range(150)]
+    rows += [(None, None, "user", "the same")] * 500 + [(1, i % 3, "user", "again") for i in range(200)]
+    rows += [(2, i, "user", f"line {i}") for i in range(130)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    found = transcripts.plain_transcripts(df).collect()
+    bodies = {}
+    for r in sorted(found, key=lambda r: (r["part"], r["piece"])):
+        turns = r["transcript"].split("\n\n")
+        assert len(turns) == len(r["roles"].split(",")) <= transcripts.PART_TURNS
+        bodies.setdefault(r["conv_id"], []).extend(t.split("\n")[-1].split(": ")[-1] for t in turns)
+    wanted = {}
+    for c, _, _, text in rows:
+        wanted.setdefault(c, []).append(text)
+    assert {c: sorted(b) for c, b in bodies.items()} == {c: sorted(w) for c, w in wanted.items()}
+    assert bodies[2] == wanted[2]
+    assert {(r["part"], r["piece"]) for r in found if r["conv_id"] is None} == {(0, i) for i in range(11)}
+    assert {(r["part"], r["piece"]) for r in found if r["conv_id"] == 2} == {(0, 0), (1, 0), (2, 0)}
+
+
 def test_odd_transcripts(spark):
     turns = table(spark, SF, "conversations")
     model = transcripts.fit_turns(turns, ~held_out("conv_id"))
