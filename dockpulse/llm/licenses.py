@@ -47,6 +47,57 @@ TEMPLATES = {
     "Software is furnished to do so, subject to the following conditions:",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "reserved": "All rights reserved.",
+    # Headers and paragraphs of licence texts, and SPDX lines.
+    "AGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the "
+    "terms of the GNU Affero General Public License as published by the Free Software Foundation, either "
+    "version 3 of the License, or (at your option) any later version.",
+    "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use "
+    "this file except in compliance with the License. You may obtain a copy of the License at",
+    "Apache-2.0-warranty": "Unless required by applicable law or agreed to in writing, software distributed "
+    "under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, "
+    "either express or implied. See the License for the specific language governing permissions and "
+    "limitations under the License.",
+    "BSD-3-Clause-text": "Neither the name of the copyright holder nor the names of its contributors may be "
+    "used to endorse or promote products derived from this software without specific prior written "
+    "permission.",
+    "BSD-text": "Redistribution and use in source and binary forms, with or without modification, are "
+    "permitted provided that the following conditions are met:",
+    "CC-BY-4.0-deed": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-NC-4.0-deed": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
+    "International License.",
+    "CC-BY-SA-4.0-deed": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
+    "International License.",
+    "CC0-1.0-deed": "To the extent possible under law, the author has waived all copyright and related or "
+    "neighboring rights to this work.",
+    "GPL-2.0-header": "This program is free software; you can redistribute it and/or modify it under the "
+    "terms of the GNU General Public License as published by the Free Software Foundation; either "
+    "version 2 of the License, or (at your option) any later version.",
+    "GPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the "
+    "terms of the GNU General Public License as published by the Free Software Foundation, either "
+    "version 3 of the License, or (at your option) any later version.",
+    "LGPL-3.0-header": "This library is free software: you can redistribute it and/or modify it under the "
+    "terms of the GNU Lesser General Public License as published by the Free Software Foundation, either "
+    "version 3 of the License, or (at your option) any later version.",
+    "Unlicense-text": "This is free and unencumbered software released into the public domain.",
+    "AGPL-3.0-only-spdx": "SPDX-License-Identifier: AGPL-3.0-only",
+    "AGPL-3.0-or-later-spdx": "SPDX-License-Identifier: AGPL-3.0-or-later",
+    "Apache-2.0-spdx": "SPDX-License-Identifier: Apache-2.0",
+    "BSD-2-Clause-spdx": "SPDX-License-Identifier: BSD-2-Clause",
+    "BSD-3-Clause-spdx": "SPDX-License-Identifier: BSD-3-Clause",
+    "CC-BY-4.0-spdx": "SPDX-License-Identifier: CC-BY-4.0",
+    "CC-BY-NC-4.0-spdx": "SPDX-License-Identifier: CC-BY-NC-4.0",
+    "CC-BY-SA-4.0-spdx": "SPDX-License-Identifier: CC-BY-SA-4.0",
+    "CC0-1.0-spdx": "SPDX-License-Identifier: CC0-1.0",
+    "GPL-2.0-only-spdx": "SPDX-License-Identifier: GPL-2.0-only",
+    "GPL-2.0-or-later-spdx": "SPDX-License-Identifier: GPL-2.0-or-later",
+    "GPL-3.0-only-spdx": "SPDX-License-Identifier: GPL-3.0-only",
+    "GPL-3.0-or-later-spdx": "SPDX-License-Identifier: GPL-3.0-or-later",
+    "ISC-spdx": "SPDX-License-Identifier: ISC",
+    "LGPL-3.0-only-spdx": "SPDX-License-Identifier: LGPL-3.0-only",
+    "LGPL-3.0-or-later-spdx": "SPDX-License-Identifier: LGPL-3.0-or-later",
+    "MIT-spdx": "SPDX-License-Identifier: MIT",
+    "MPL-2.0-spdx": "SPDX-License-Identifier: MPL-2.0",
+    "Unlicense-spdx": "SPDX-License-Identifier: Unlicense",
 }
 # End of fixed values.
 

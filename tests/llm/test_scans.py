@@ -53,6 +53,33 @@ def test_licences_against_all_templates(spark):
     assert licenses.scan_licences(df, {}).where("size(licence.licences) > 0").isEmpty()
 
 
+def test_licence_headers_and_texts():
+    scanner = licenses.LicenceScanner(licenses.TEMPLATES)
+    gpl = """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version."""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be
+used to endorse or promote products derived from this software without specific prior
+written permission."""
+    for text, names in (
+        (gpl, ["GPL-2.0-header"]),
+        (gpl.replace("version 2", "version 3").replace(";", ":", 1), ["GPL-3.0-header"]),
+        (bsd, ["BSD-3-Clause-text", "BSD-text"]),
+        ("// SPDX-License-Identifier: BSD-3-Clause", ["BSD-3-Clause-spdx"]),
+        ("/* SPDX-License-Identifier: MIT */", ["MIT-spdx"]),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+         ["CC-BY-SA-4.0-deed"]),
+        ("This is free and unencumbered software released into the public domain.", ["Unlicense-text"]),
+    ):
+        assert sorted(scanner.scan(text)) == names
+
+
 def test_roles_are_recovered(spark):
     turns = table(spark, SF, "conversations")
     model = transcripts.fit_turns(turns, ~held_out("conv_id"))
