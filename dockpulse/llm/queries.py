@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockpulse.llm import (
+    alignment,
     bpe,
     codes,
+    collocations,
     decontaminate,
     language,
     licenses,
@@ -18,6 +20,7 @@ from dockpulse.llm import (
     token_shards,
     toxicity,
     transcripts,
+    vectors,
     warc,
 )
 from dockpulse.llm.common import held_out, importable, table
@@ -154,5 +157,28 @@ def op7_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(codes.SQL)
 def op10_nearest_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest codes of every hundredth vector among all vectors, ties by id."""
-    vectors = table(spark, sf_dir, "embeddings")
-    return codes.nearest_codes(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+    found = table(spark, sf_dir, "embeddings")
+    return codes.nearest_codes(found, found.where("vec_id % 100 = 0"), k=10)
+
+
+@query(collocations.SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of every language that occur most above what their parts would give."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query(vectors.SQL)
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links of every vector at a cosine of 0.95, and its component."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers overlap in every document."""
+    return alignment.token_alignment(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+        public_tokenizers.PATTERN,
+    )

@@ -1,0 +1,142 @@
+"""Alignments against plain loops over the libraries' own tokens."""
+
+import hashlib
+import json
+import random
+from collections import Counter, defaultdict
+
+import public_tokenizers as P
+import pytest
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+from dockpulse.llm import alignment
+
+A_PATH, B_PATH = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
+SCHEMA = "doc_id long, text string, alignment string, block int, n_a string"
+
+
+@pytest.fixture(scope="module")
+def sides():
+    a = Tokenizer.from_file(A_PATH)
+    a.encode_special_tokens = True
+    b = SentencePieceProcessor(model_file=B_PATH)
+    letters = alignment.byte_letters()
+    names = {i: t for t, i in json.load(open(A_PATH))["model"]["vocab"].items()}
+
+    def of(text):
+        found = a.encode(" " + text, add_special_tokens=False).ids
+        left = [(i, bytes(letters[c] for c in names[i])) for i in found]
+        right = []
+        for i in b.encode(text):
+            p = b.id_to_piece(i)
+            right.append((i, bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode()))
+        whole = (" " + text).encode()
+        return (left, right) if b"".join(x for _, x in left) == b"".join(x for _, x in right) == whole else ([], [])
+
+    return of
+
+
+def spans(tokens):
+    out, at = [], 0
+    for i, data in tokens:
+        out.append((i, at, at + len(data)))
+        at += len(data)
+    return out
+
+
+def brute(rows, sides):
+    docs, count = [], Counter()
+    for key, text in rows:
+        a, b = map(spans, sides(text) if text else ([], []))
+        links, j = [], 0
+        for i, s, e in a:
+            while j < len(b) and b[j][2] <= s:
+                j += 1
+            k = j
+            while k < len(b) and b[k][1] < e:
+                links.append((i, b[k][0]))
+                k += 1
+        count.update(set(links))
+        ends = sorted({e for *_, e in a} & {e for *_, e in b})
+        groups, low = [], 0
+        for end in ends:
+            groups.append("|".join(",".join(str(i) for i, s, e in side if low <= s and e <= end) for side in (a, b)))
+            low = end
+        text = ";".join(groups)
+        docs.append((key, len(a), len(b), len(groups), links, hashlib.sha256(text.encode()).hexdigest() if a else ""))
+    most = defaultdict(int)
+    for (i, _), n in count.items():
+        most[i] = max(most[i], n)
+    return sorted(
+        (
+            (key, na, nb, ng, len(links), sum(count[x] == most[x[0]] for x in links), sum(count[x] for x in links), sha)
+            for key, na, nb, ng, links, sha in docs
+        ),
+        key=str,
+    )
+
+
+def corpus():
+    rng = random.Random(7)
+    rows = [(i, "".join(rng.choices("abc ABC é漢😀\t\n.<>1'sx ", k=rng.randrange(1, 60)))) for i in range(60)]
+    texts = [
+        None, "", " ", "  two", "a▁b", "<|endoftext|> and <s>", "<0x41>", "ends ", "\x00\x01", "ﬁ ½ ①", "x" * 900,
+        " " * 400 + "x", "The Great Tokenization.", "The Great Tokenization.",
+    ]
+    return rows + [(100 + i, t) for i, t in enumerate(texts)] + [(None, "no id"), (5, "same id, other text")]
+
+
+def test_against_brute_force(spark, sides):
+    rows = corpus()
+    df = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], SCHEMA).repartition(3)
+    out = alignment.token_alignment(df, A_PATH, B_PATH, P.PATTERN)
+    kinds = {c: "bigint" for c in out.columns} | {"groups_sha256": "string"}
+    assert dict(out.dtypes) == kinds
+    order = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    assert sorted((tuple(r) for r in out.select(order).collect()), key=str) == brute(rows, sides)
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert alignment.token_alignment(df, A_PATH, B_PATH, P.PATTERN).collect() == []
+
+
+def test_long_texts_in_segments_and_blocks(sides, monkeypatch):
+    monkeypatch.setattr(alignment, "SEGMENT", 50)
+    rng = random.Random(8)
+    words = ["the", "Tokenization", "naïve", "漢字", "x1", "it's", "end."]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randrange(1, 200)))) for i in range(20)]
+    rows.append((20, " ".join(["plain words"] * 40) + " ﬁ ▁ " + " ".join(["after"] * 40)))  # no tokens after all
+    rows.append((21, "unbroken" * 60))
+    tool = alignment.Aligner(A_PATH, B_PATH, P.PATTERN)
+    assert len(list(tool.segments(rows[20][1]))) > 5
+    block = alignment.Block(tool)
+    for r in rows:
+        block.add(*r)
+    row = block.row(0)
+    expected = brute(rows, sides)
+    found = {d["doc_id"]: d for d in row["docs"]}
+    for key, na, nb, ng, nl, _, total, sha in expected:
+        d = found[key]
+        assert (d["n_a"], d["n_b"], d["n_groups"], d["n_links"], d["groups_sha256"]) == (na, nb, ng, nl, sha)
+    pair, n_docs = alignment.unpack(row["pairs"])
+    held, place, n = alignment.unpack(row["links"])
+    assert len(set(pair.tolist())) == len(pair) and sum(held) == len(place) == len(n)
+    at = 0
+    for (_, *_, total, _), key in zip(sorted(expected), range(22), strict=True):
+        assert (n_docs[place[at : at + held[key]]] * n[at : at + held[key]]).sum() == total
+        at += held[key]
+
+
+def test_links_and_groups_as_columns(spark, sides):
+    rows = [(1, "The Great Tokenization", "x", 1, "y"), (2, None, "x", 1, "y"), (3, "a▁b", "x", 1, "y")]
+    out = alignment.token_links(spark.createDataFrame(rows, SCHEMA), A_PATH, B_PATH, P.PATTERN, into="found")
+    found = {r["doc_id"]: r["found"] for r in out.collect()}
+    a, b = map(spans, sides(rows[0][1]))
+    x = found[1]
+    assert x["a_ids"] == [i for i, *_ in a] and x["b_ends"] == [e for *_, e in b]
+    overlaps = {(i, j) for i, (_, s, e) in enumerate(a) for j, (_, t, f) in enumerate(b) if s < f and t < e}
+    assert set(zip(x["link_a"], x["link_b"], strict=True)) == overlaps and len(x["link_a"]) == len(overlaps)
+    assert hashlib.sha256(x["groups"].encode()).hexdigest() == brute([(1, rows[0][1])], sides)[0][-1]
+    assert found[2]["a_ids"] is None and found[3]["groups"] is None
