@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import zlib
 from collections.abc import Callable, Iterator, Sequence
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-PIECE_BYTES = 8 << 20  # text that a task holds as Python objects at a time
+PIECE_BYTES = 2 << 20  # text that a task holds as Python objects at a time
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,39 @@ def importable(spark: SparkSession) -> None:
         known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
 
 
+def quoted(name: str) -> str:
+    """A column's name for ``select``, whatever signs it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def release_memory() -> None:
+    """Give back what a task has freed. Workers serve many tasks, and the allocators keep what they had."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+class SizedCache(dict):
+    """Results by text, emptied at ``most`` bytes of keys and values; long texts are not kept."""
+
+    LONGEST = 256
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.size = most, 0
+
+    def keep(self, text: str | bytes, value: object, size: int) -> None:
+        if len(text) > self.LONGEST:
+            return
+        size += len(text) + 150  # an entry and its two objects
+        if self.size + size > self.most:
+            self.clear()
+            self.size = 0
+        self[text] = value
+        self.size += size
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or the first of ``name_``, ``name__``, ... that is no column of ``df``."""
     taken = {c.lower() for c in df.columns}
@@ -40,9 +74,9 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def pieces(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: int | str) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts of a piece stay near ``PIECE_BYTES``; a row is never cut."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.names.index(column))), 0)
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
     start = held = 0
     for i, size in enumerate(sizes.to_pylist()):
         if held and held + size > PIECE_BYTES:
@@ -73,18 +107,21 @@ def annotate(
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(into, fields)])
     kinds = [pa.field(f.name, to_arrow_type(f.dataType)) for f in fields]
 
+    # mapInArrow resolves names as they are, so columns travel under plain ones
+    place = {c: i for i, c in enumerate(dict.fromkeys([*keep, text, *beside]))}
+
     def run(batches):
         work = make()
         for batch in batches:
-            for part in pieces(batch, text):
-                names = part.schema.names
-                values = work(*[part.column(names.index(c)).to_pylist() for c in (text, *beside)])
+            for part in pieces(batch, place[text]):
+                values = work(*[part.column(place[c]).to_pylist() for c in (text, *beside)])
                 arrays = [pa.array(v, k.type) for v, k in zip(values, kinds, strict=True)]
-                kept = [part.column(names.index(c)) for c in keep]
                 made = pa.StructArray.from_arrays(arrays, fields=kinds)
-                yield pa.RecordBatch.from_arrays([*kept, made], names=[*keep, into])
+                yield pa.RecordBatch.from_arrays([*(part.column(place[c]) for c in keep), made], names=[*keep, into])
+        del work
+        release_memory()
 
-    return df.select(*dict.fromkeys([*keep, text, *beside])).mapInArrow(run, schema)
+    return df.select(*[F.col(quoted(c)).alias(f"c{i}") for c, i in place.items()]).mapInArrow(run, schema)
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:

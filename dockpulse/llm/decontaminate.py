@@ -23,10 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dockpulse.llm.common import annotate, fresh
+from dockpulse.llm.common import annotate, fresh, quoted
+from dockpulse.session import stage
 
 WINDOW = 13
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 2 << 20  # of items: about 250 MB of tables in a worker
 
 _KEPT = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 _LOWER = {b: b + 32 for b in range(0x41, 0x5B)}
@@ -138,6 +139,8 @@ def find_windows(
 
             return work
 
+        if parts:  # one block's tables in a task at a time
+            found = stage(found, "searched")
         parts.append(fresh(found, f"{into}_part{len(parts)}"))
         found = annotate(found, parts[-1], HITS, make, text, [*dict.fromkeys([*keep, text]), *parts[:-1]])
     starts, ends, items = (
@@ -153,7 +156,7 @@ def find_windows(
         spans.alias("spans"),
         F.array_sort(F.array_distinct(items)).alias("items"),
     )
-    return found.select(*keep, struct.alias(into))
+    return found.select(*map(quoted, keep), struct.alias(into))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -18,10 +18,10 @@ is ``und``. Equal code lengths go to the language that is first by name.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 import numpy as np
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,10 +33,11 @@ ORDER = 4
 TRAIN_DOCS = 400
 TRAIN_DOC_CHARS = 20_000
 TRAIN_CHARS = 64_000_000
+MOST_LANGUAGES = 200
 SCORE_BYTES = 1 << 20  # bytes of text that are scored together
 HASH = np.uint64(0x9E3779B97F4A7C15)
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")  # numerals such as ½ or Ⅷ are none
 
 
 class GramTable:
@@ -199,12 +200,14 @@ def training_sample(
     lang: str = "lang",
     train_docs: int = TRAIN_DOCS,
 ) -> dict[str, list[bytes]]:
-    """The documented sample, per language. The languages, labels of the table, are few."""
+    """The documented sample, per language, of the ``MOST_LANGUAGES`` with the most usable rows."""
     rows = docs.where(usable & F.col(lang).isNotNull()).select(
         F.col(lang).alias("lang"), F.substring(F.col(text), 1, TRAIN_DOC_CHARS).alias("body")
     )
     rows = rows.where(F.length("body") > 0)
-    counts = dict(tuple(r) for r in rows.groupBy("lang").count().collect())
+    usual = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    counts = dict(tuple(r) for r in usual.collect())
+    rows = rows.where(F.col("lang").isin(*counts))
     each = max(1, min(train_docs, TRAIN_CHARS // (TRAIN_DOC_CHARS * max(1, len(counts)))))
     place, limit = hash_place("body"), F.lit(SHARES)
     for name, n in counts.items():

@@ -218,7 +218,7 @@ u AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS unit FROM documents
       SELECT doc_id, unnest(regexp_split_to_array(text, '\n[ \t\r]*(?:\n[ \t\r]*)+')) FROM documents),
 uw AS (SELECT doc_id, row_number() OVER () AS unit, {_WORDS.format("unit")} AS ws FROM u),
 ub AS (SELECT DISTINCT doc_id, unit, ws[i] || ' ' || ws[i + 1] AS b
-       FROM (SELECT doc_id, unit, ws, unnest(range(1, len(ws))) AS i FROM uw WHERE len(ws) < 400)),
+       FROM (SELECT doc_id, unit, ws, unnest(range(1, len(ws))) AS i FROM uw)),
 us AS (SELECT unit, count(*) AS n FROM ub GROUP BY unit),
 m AS (SELECT doc_id, ub.unit, name, count(*) AS s FROM ub JOIN tb USING (b) GROUP BY ALL),
 h AS (SELECT doc_id, unit, name, 2 * s / (us.n + ts.n) AS dice

@@ -16,6 +16,8 @@ shingle. Two documents are linked if their sets share at least ``percent`` perce
    are linked with the hub they are in one group already. For all others a prefix index over the
    deltas, rarest shingles first, gives exactly the pairs that can reach the bound, and the bound
    itself confirms them. No pair is dropped, and members that share nothing beside the hub never meet.
+   Where many share a shingle, the far member whose delta is the smallest is a second hub: all others are compared
+   with it first, and two that are both linked with it are in one group and do not meet again.
 5. Union-find over the links within each task, then rounds of star contraction between tasks.
 
 Sums by bucket, hub or node are staged before they are joined back. Joined directly they would share
@@ -38,21 +40,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from dockpulse.llm.common import annotate
+from dockpulse.llm.common import SizedCache, annotate, release_memory
 from dockpulse.llm.files import mix64
 from dockpulse.session import stage
 
 BANDS, ROWS = 40, 5
 SLOTS = BANDS * ROWS
 CHUNK = 1 << 15  # shingles whose permutations are held together
-KNOWN_WORDS = 400_000
+KNOWN_BYTES = 32 << 20
 
 
-class WordHashes(dict):
+class WordHashes(SizedCache):
+    def __init__(self):
+        super().__init__(KNOWN_BYTES)
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        found = xxhash.xxh3_64_intdigest(word)
+        self.keep(word, found, 40)
         return found
 
 
@@ -192,6 +196,8 @@ def compared(pairs: DataFrame, words: int, percent: int) -> DataFrame:
             kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())]
             arrays = [pa.array(v, k) for v, k in zip(out, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=PAIRS.fieldNames())
+        del known, last
+        release_memory()
 
     return pairs.select("hub", "node", "flagged", "hub_text", "text").mapInArrow(run, PAIRS)
 
@@ -247,7 +253,6 @@ def links_beside_hubs(found: DataFrame, percent: int) -> DataFrame:
     ranked = stage(ranked.where("rank <= prefix or (far and rank <= far_prefix)"), "prefixes")
     left = ranked.where("far and rank <= far_prefix").select("hub", "shingle", F.col("node").alias("x"))
     right = ranked.where("rank <= prefix").select("hub", "shingle", F.col("node").alias("y"))
-    met = left.join(right, ["hub", "shingle"]).where("x <> y").select("hub", "x", "y").distinct()
 
     def side(name):
         return members.select(
@@ -255,13 +260,32 @@ def links_beside_hubs(found: DataFrame, percent: int) -> DataFrame:
             F.col("cost").alias(f"cost_{name}"), F.col("delta").alias(f"delta_{name}"),
         )
 
-    shared = F.size(F.array_intersect("delta_x", "delta_y"))
-    return (
-        met.join(side("x"), ["hub", "x"])
-        .join(side("y").drop("size"), ["hub", "y"])
-        .where(gap * F.col("size") + step * shared >= F.col("cost_x") + F.col("cost_y"))
-        .select(F.col("x").alias("a"), F.col("y").alias("b"))
-    )
+    def linked(met):
+        shared = F.size(F.array_intersect("delta_x", "delta_y"))
+        return (
+            met.join(side("x"), ["hub", "x"])
+            .join(side("y").drop("size"), ["hub", "y"])
+            .where(gap * F.col("size") + step * shared >= F.col("cost_x") + F.col("cost_y"))
+            .select("hub", "x", "y")
+        )
+
+    place = ["hub", "shingle"]
+    seconds = ranked.where("far and rank <= far_prefix").groupBy(*place)
+    seconds = stage(seconds.agg(F.min_by("node", F.struct("n", "node")).alias("x")), "second-hubs")
+    stars = seconds.join(ranked.select(*place, F.col("node").alias("y")), place).where("x <> y")
+    near = stage(linked(stars.select("hub", "x", "y").distinct()), "second-links")
+    # who is linked with the second hub of a shingle, the hub itself among them
+    inside = stars.join(near, ["hub", "x", "y"]).select(*place, F.col("y").alias("node"))
+    inside = stage(inside.unionByName(seconds.select(*place, F.col("x").alias("node"))), "second-members")
+
+    def split(side, name):
+        own = inside.withColumnRenamed("node", name)
+        return [side.join(own, [*place, name], how) for how in ("left_semi", "left_anti")]
+
+    (left_in, left_out), (_, right_out) = split(left, "x"), split(right, "y")
+    rest = left_out.join(right, place).unionByName(left_in.join(right_out, place)).where("x <> y")
+    found = near.unionByName(linked(rest.select("hub", "x", "y").distinct()))
+    return found.select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
 def forest(edges: DataFrame) -> DataFrame:

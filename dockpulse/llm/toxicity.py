@@ -4,14 +4,17 @@ Writers hide words behind signs (``1d10t``), spaces or dots (``i d i o t``) and
 (``idiooot``). Each odd-looking token, and each run of single characters, becomes a lattice of what
 its characters may stand for, and Viterbi finds the likeliest letters under a character model (trigrams
 over the Latin letters, counted over every document). The restored text is then scored by logistic
-regression over the beginnings of its words and its short words. Runs of over 24 letters and digits
-with a digit among the first 25 are codes, such as digests, and not taken for disguised words.
+regression over the beginnings of its words and its short words. Single characters are joined over any run
+of gaps and white space, and any letter that stands twice may have been meant once; tokens of any length go
+through the lattice.
 
 Only the regression reads labels. It is fitted on a documented sample: the ``TRAIN_DOCS`` usable labelled
 documents that come first by a hash of their id. From them the word beginnings that stand out among
 toxic documents are chosen (``LEAST_TOXIC`` toxic documents, ``LEAST_Z`` deviations above chance, at
 most ``MOST_FEATURES``) and weighed. Scoring reads every whole text, and nothing but the text.
 
+An id that stands at several texts lends the sample one of them, that which is first by hash, so the sample
+has one row an id; each row is scored by its own text. Without documents there is no sample and no score.
 Null and empty texts have no features; their score is the bias. Labels that are null, or stand at no
 document, are left out; an id with several labels is toxic if one is. Without labels all scores are 0.
 """
@@ -30,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dockpulse.llm.common import annotate, hash_cutoff, hash_place, pieces
+from dockpulse.llm.common import SizedCache, annotate, hash_cutoff, hash_place, release_memory
 from dockpulse.session import stage
 
 TRAIN_DOCS = 30_000
@@ -39,13 +42,14 @@ LEAST_TOXIC, LEAST_Z = 3, 4.0
 FEATURE_BITS = 20
 RIDGE = 0.3
 STEPS = 400
-KNOWN_TOKENS = 400_000
+KNOWN_BYTES = 48 << 20
+COUNTED = 1 << 20  # characters that are counted together
 
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿœ"
 EDGE, OTHER = 0, 1
 CLASS_OF = {c: i + 2 for i, c in enumerate(LETTERS)}
 CLASSES = len(LETTERS) + 2
-CODES = np.full(0x181, OTHER, np.int64)  # by code point; the last cell stands for all beyond
+CODES = np.full(0x181, OTHER, np.int32)  # by code point; the last cell stands for all beyond
 for _c, _i in CLASS_OF.items():
     CODES[ord(_c)] = _i
 for _c in " \t\n\r\f\v\x85\xa0":
@@ -56,15 +60,16 @@ SIGNS = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b",
     "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
-GAPS = " .-_*~'"
+GAPS = " .-_*~'/"
 SIGN_COST, GAP_COST, REPEAT_COST = -3.0, -1.5, -0.7
 WILD_COST = -1.0 - math.log(26)
 
 WORD = re.compile(r"[^\W\d_]+")
-SPACED = re.compile(r"(?<!\S)\S(?:[ .\-_*]\S){2,}(?!\S)")
+LONE, GAP = r"[^\W_]|[@$!|+(€£]", r"[\s.\-_*~'/]"
+SPACED = re.compile(rf"(?<![^\W_@$!|+(€£])(?:{LONE})(?:{GAP}+(?:{LONE})){{2,}}(?![^\W_@$!|+(€£])")
+GAP_RUN = re.compile(rf"{GAP}+")
 SIGN_INSIDE = re.compile(r"[0-9@$!|+(€£*._~\-][^\W\d_]|[^\W\d_][0-9@$|+€£*]")
-CODE = re.compile(r"(?=[^\W_]{0,24}\d)[^\W_]{25,}")
-REPEATED = re.compile(r"([^\W\d_])\1\1")
+REPEATED = re.compile(r"([^\W\d_])\1")
 
 
 class CharModel:
@@ -87,13 +92,11 @@ class CharModel:
         """The likeliest reading of a lower-case token; what is no letter becomes a space."""
         log = self.rows
         states = {(EDGE, EDGE): (0.0, None)}
-        run, before = 0, ""
+        before = ""
         for i, c in enumerate(token):
-            run = run + 1 if c == before else 1
-            before, after = c, token[i + 1 : i + 2]
-            long = run > 1 and (run > 2 or after == c)
-            hidden = c == "*" and i > 0 and token[i - 1].isalpha() and after.isalpha()
-            options = readings(c, long, hidden)
+            again, before = c == before, c
+            hidden = c == "*" and i > 0 and token[i - 1].isalpha() and token[i + 1 : i + 2].isalpha()
+            options = readings(c, again, hidden)
             reached: dict[tuple[int, int], tuple] = {}
             for (a, b), (score, trail) in states.items():
                 for k, cost, letter in options:
@@ -140,11 +143,10 @@ class Reader:
 
     def __init__(self, model: CharModel, chosen: dict[int, int] | None = None):
         self.model, self.chosen = model, chosen
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = SizedCache(KNOWN_BYTES)
 
     def words(self, token: str) -> set[str]:
         words = set(WORD.findall(token))
-        token = CODE.sub(" ", token)
         if SIGN_INSIDE.search(token) or REPEATED.search(token) or " " in token:
             words.update(WORD.findall(self.model.restore(token)))
         return words
@@ -152,8 +154,6 @@ class Reader:
     def of_token(self, token: str) -> tuple[int, ...]:
         found = self.known.get(token)
         if found is None:
-            if len(self.known) >= KNOWN_TOKENS:
-                self.known.clear()
             parts = set()
             for w in self.words(token):
                 parts.update(feature(w[:n]) for n in range(3, min(len(w), 6) + 1))
@@ -161,7 +161,8 @@ class Reader:
                     parts.add(feature(w + "$"))
             if self.chosen is not None:
                 parts = {self.chosen[p] for p in parts if p in self.chosen}
-            found = self.known[token] = tuple(parts)
+            found = tuple(parts)
+            self.known.keep(token, found, 24 * len(found))
         return found
 
     def of_text(self, text: str | None) -> set[int]:
@@ -169,7 +170,7 @@ class Reader:
             return set()
         low = text.lower()
         tokens = set(low.split())
-        tokens.update(SPACED.findall(low))
+        tokens.update(GAP_RUN.sub(" ", run) for run in SPACED.findall(low))
         out: set[int] = set()
         for t in tokens:
             found = self.of_token(t)
@@ -183,14 +184,30 @@ def char_counts(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.nda
 
     def run(batches):
         total = np.zeros(CLASSES**3, np.int64)
-        for batch in batches:
-            for part in pieces(batch, "text"):
-                joined = "  ".join([t.lower() for t in part.column(0).to_pylist() if t])
-                codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        held, size, tail = [], 0, " " * 2
+
+        def count(last=False):
+            joined = "".join([tail, *held, " " if last else ""])
+            for low in range(0, len(joined) - 2, COUNTED):
+                codes = np.frombuffer(joined[low : low + COUNTED + 2].encode("utf-32-le"), np.uint32)
                 classes = CODES[np.minimum(codes, len(CODES) - 1)]
-                classes = np.concatenate([[EDGE, EDGE], classes, [EDGE]])
-                grams = (classes[:-2] * CLASSES + classes[1:-1]) * CLASSES + classes[2:]
-                total += np.bincount(grams, minlength=len(total))
+                grams = classes[:-2] * CLASSES
+                grams += classes[1:-1]
+                grams *= CLASSES
+                grams += classes[2:]
+                np.add(total, np.bincount(grams, minlength=len(total)), out=total)
+            return joined[-2:]
+
+        for batch in batches:
+            for text in batch.column(0):
+                text = text.as_py()
+                if text:
+                    held += [text.lower(), "  "]
+                    size += len(text)
+                if size >= COUNTED:
+                    tail, held, size = count(), [], 0
+        count(last=True)
+        release_memory()
         grams = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(grams, pa.int64()), pa.array(total[grams], pa.int64())], names=["gram", "n"]
@@ -210,8 +227,10 @@ def training_sample(
     place = hash_place("doc_id")
     marked = marked.where(place < hash_cutoff(marked.count(), train_docs))
     marked = marked.orderBy(place, "doc_id").limit(train_docs)
-    rows = docs.select("doc_id", F.col("text").alias("text"))
-    return stage(rows.join(F.broadcast(marked), "doc_id").select("text", "label"), "labelled")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    found = rows.join(F.broadcast(marked), "doc_id").groupBy("doc_id", "label")
+    one = found.agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    return stage(one.select("text", "label"), "labelled")
 
 
 def choose_features(sample: DataFrame, model, most: int = MOST_FEATURES) -> list[int]:
@@ -226,6 +245,8 @@ def choose_features(sample: DataFrame, model, most: int = MOST_FEATURES) -> list
                 found = np.fromiter(reader.of_text(text), np.int64)
                 counts[0, found] += 1
                 counts[1, found] += label
+        del reader
+        release_memory()
         ids = np.flatnonzero(counts[0])
         values = [ids, counts[0, ids], counts[1, ids]]
         yield pa.RecordBatch.from_arrays(
@@ -288,7 +309,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column) -> Toxicity
                 [pa.array(found, pa.list_(pa.int32())), batch.column(1)], names=["found", "label"]
             )
 
-    rows = sample.mapInArrow(run, "found array<int>, label int").collect()  # at most TRAIN_DOCS
+    rows = sample.mapInArrow(run, "found array<int>, label int").collect()  # at most TRAIN_DOCS, one an id
     if not rows:
         return ToxicityModel(model, [], None)
     marks = np.array([r["label"] for r in rows], float)

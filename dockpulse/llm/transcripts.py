@@ -144,8 +144,11 @@ def fit_turns(
         F.col(conv_id).alias("c"), F.col(turn).alias("t"), F.col(role).alias("r"), F.col(text).alias("body")
     )
     starts = rows.where("t = 0").groupBy("r").count().collect()
-    after = rows.select("c", (F.col("t") - 1).alias("t"), F.col("r").alias("next"))
-    changes = rows.select("c", "t", "r").join(after, ["c", "t"]).groupBy("r", "next").count().collect()
+    # repeated turns are counted before they meet, so a place has one row a role
+    at = stage(rows.groupBy("c", "t", "r").agg(F.count("*").alias("n")), "turn-roles")
+    after = at.select("c", (F.col("t") - 1).alias("t"), F.col("r").alias("next"), F.col("n").alias("m"))
+    changes = at.join(after, ["c", "t"]).groupBy("r", "next")
+    changes = changes.agg(F.sum(F.col("n") * F.col("m")).alias("n")).collect()
     lines = rows.select("r", F.explode(F.split(F.coalesce("body", F.lit("")), "\n")).alias("line"))
     size = F.floor(F.log2(F.length("line") + 1)).cast("int")
     lengths = lines.groupBy("r", F.least(size, F.lit(LENGTHS - 1)).alias("k")).count().collect()

@@ -89,3 +89,18 @@ def test_long_labelled_texts_are_learned(spark):
     assert sample["de"] == sorted(t[: lang.TRAIN_DOC_CHARS].encode() for t in long)
     asked = spark.createDataFrame([("der garten und die katze",)], "text string")
     assert lang.predict_language(asked, sample).first()["language"]["lang_pred"] == "de"
+
+
+def test_numerals_are_no_letters(spark):
+    rows = [(1, "the cat and the dog"), (2, "½ ①②③ ² Ⅷ 12"), (3, "ª"), (4, "漢"), (5, "ʰ")]
+    docs = spark.createDataFrame([(k, t, "en") for k, t in rows], "doc_id long, text string, lang string")
+    sample = lang.training_sample(docs.where("doc_id = 1"), lang.F.lit(True))
+    found = {r["doc_id"]: r["language"]["lang_pred"] for r in lang.predict_language(docs, sample).collect()}
+    assert found == {1: "en", 2: "und", 3: "en", 4: "en", 5: "en"}
+
+
+def test_languages_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(lang, "MOST_LANGUAGES", 2)
+    rows = [("a b", "en")] * 5 + [("c d", "de")] * 4 + [("e f", f"junk{i}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    assert sorted(lang.training_sample(docs, lang.F.lit(True))) == ["de", "en"]

@@ -141,3 +141,20 @@ def test_components_of_paths_and_stars(spark):
     for node in [*range(401), *range(1000, 1300), 1400]:
         root = node // 50 * 50 if node < 401 else 1000
         assert found.get(node, node) == root
+
+
+def test_two_families_in_one_bucket_give_links_in_proportion(spark, monkeypatch):
+    """Copies far from the hub but near each other meet their own hub, not each other."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(300)]
+    other = base[:225] + [f"v{i}" for i in range(75)]
+    rows, n = [], 120
+    for i in range(2 * n):
+        words = list(base if i < n else other)
+        words[rng.randrange(20)] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    met = []
+    own = neardup.forest
+    monkeypatch.setattr(neardup, "forest", lambda edges: own(met.append(edges.count()) or edges))
+    check(spark, rows, 2)
+    assert max(met) < 12 * n

@@ -22,6 +22,7 @@ def model():
     "hidden, word",
     [("1d10t", "idiot"), ("i d i o t", "idiot"), ("m.o.r.o.n", "moron"), ("stuuuuupid", "stupid"),
      ("st*pid", "stupid"), ("p@thet1c", "pathetic"), ("tr4sh", "trash"), ("i-d-1-0-t", "idiot"),
+     ("stuupid", "stupid"), ("idioot", "idiot"), ("youareanidi0tandastup1dperson", "youareanidiotandastupidperson"),
      ("trash", "trash"), ("all", "all"), ("", "")],
 )
 def test_restored(model, hidden, word):
@@ -52,6 +53,10 @@ def test_reader_handles_codes_and_long_texts(model):
     assert reader.of_text(None) == reader.of_text("") == set()
     same = reader.of_text("you idiot")
     assert tx.feature("idiot$") in same & reader.of_text("you 1d10t") & reader.of_text("you i d i o t !")
+    for spelling in ("i  d  i  o  t", "i\td\ti\to\tt", "i\nd\ni\no\nt", "i/d/i/o/t", "you i.d.i.o.t, yes", "1 d 1 0 t"):
+        assert tx.feature("idiot$") in reader.of_text(spelling)
+    assert tx.feature("idiot$") not in reader.of_text("i. d. - - and 1, 2")
+    assert len(tx.SizedCache.LONGEST * "x") == 256 and not any(len(k) > 256 for k in reader.known)
     assert reader.of_text("0a1b" * 20_000) is not None
     assert reader.of_text("a " * 50_000) is not None
 
@@ -67,6 +72,26 @@ def test_held_out_accuracy(spark):
     assert right / sum(r["toxic"] for r in rows) > 0.85
 
 
+def test_counts_of_characters_over_pieces(spark, monkeypatch):
+    texts = ["You are an idiot", None, "", "x" * 3000, "é½漢 " * 200]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    ids, n = tx.char_counts(docs)
+    joined = "  " + "".join(t.lower() + "  " for t in texts if t) + " "
+    k = [int(tx.CODES[min(ord(c), 0x180)]) for c in joined]
+    expected = {}
+    for a, b, c in zip(k, k[1:], k[2:]):
+        g = (a * tx.CLASSES + b) * tx.CLASSES + c
+        expected[g] = expected.get(g, 0) + 1
+    assert dict(zip(ids.tolist(), n.astype(int).tolist(), strict=True)) == expected
+
+
+def test_the_sample_has_one_row_an_id(spark):
+    docs = spark.createDataFrame([(1, f"text {i % 3}") for i in range(3000)] + [(3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, toxic int")
+    sample = tx.training_sample(docs, labels, tx.F.lit(True)).collect()
+    assert len(sample) == 2 and {r["label"] for r in sample} == {0, 1}
+
+
 def test_odd_tables(spark):
     docs = spark.createDataFrame(
         [(1, "you idiot", 0), (2, None, 1), (None, "you", 1), (4, "", 0), (1, "you idiot", 0)],
