@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockpulse.llm import bpe, decontaminate, language, neardup, toxicity
-from dockpulse.llm.common import fresh, held_out, importable, table
+from dockpulse.llm.common import fresh, held_out, importable, quoted, table
 from dockpulse.session import stage
 
 TOXIC_FROM = 0.3
@@ -41,7 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = neardup.near_duplicates(docs, words=WORDS, percent=PERCENT)
     n = fresh(docs, "rows_of_id")
     kept = found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias(n))
-    rows = docs.join(kept, "doc_id").select(*docs.columns, n)
+    rows = docs.join(kept, "doc_id").select(*map(quoted, docs.columns), n)
     alone = rows.where(F.col(n) == 1).drop(n)
     again = rows.where(F.col(n) > 1).drop(n).dropDuplicates(["doc_id", "text"])
     return alone.unionByName(again).unionByName(docs.where("doc_id is null"))
