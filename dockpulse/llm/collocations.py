@@ -4,16 +4,17 @@ A count transducer is a minimal acyclic automaton over words: a path is a phrase
 where it ends is its count. It is built incrementally from sorted phrases: what lies behind the
 prefix shared with the next phrase is frozen, and equal frozen states are one.
 
-1. Shards. Tasks cut texts into pieces and words and count phrases over about ``SHARD_WORDS`` words; the
-   shard's phrases are sorted, cut by prefix range, and one transducer is built for each range and
-   language. A range is a part of the hash space of a phrase's first three words, so phrases
-   that start alike are together, and a frequent word does not make a range large.
-2. Union. The transducers of a range are walked in order side by side, weights of equal phrases
+1. Screen. Tasks cut texts into pieces and words. Over about ``SHARD_WORDS`` words they count the hashes of words and
+   of pairs (``CODE_BITS`` bits, never the texts), which Spark adds by range of the hash. What reaches the least
+   count sets a bit in a table of ``FILTER_BITS`` bits, whatever the input. A bit set by chance costs a phrase that
+   step 3 drops, so counts stay exact.
+2. Shards. Screened words and pairs, and phrases of three to five words whose pairs are screened, are counted again by
+   their texts. The shard's phrases are sorted, cut by prefix range, and one transducer is built for each range
+   and language. A range is a part of the hash space of a phrase's first three words, so phrases that start
+   alike are together, and a frequent word does not make a range large.
+3. Union. The transducers of a range are walked in order side by side, weights of equal phrases
    are added, and ``UNION`` of them at a time become one, however many shards there are. Phrases
    with the least count go on.
-3. Three rounds: words; pairs of words that are frequent; phrases of three to five words whose pairs are.
-   Which words and pairs are frequent is known from a table of ``FILTER_BITS`` bits of their hashes, whatever the
-   input; a false bit costs a phrase that step 2 drops, so counts stay exact.
 4. Parts. Every cut of a candidate asks for its two parts. Asks go to the prefix range of the part, in shares of
    bounded size, sorted, and are composed with the range's transducer: both are walked together, and
    the state where an ask ends is its count. A phrase whose count equals that of a candidate one
@@ -39,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from dockpulse.llm.common import release_memory
 from dockpulse.llm.files import mix64
 from dockpulse.session import stage
 
@@ -47,7 +49,8 @@ PREFIX = 3
 SHARD_WORDS = 2_000_000
 WINDOW_BYTES = 4 << 20
 RANGE_BYTES = 16 << 20  # of text for each prefix range
-FILTER_BITS = 27
+FILTER_BITS, CODE_BITS = 27, 40
+CODES = 8_000_000  # hashes that a task adds up together
 UNION = 64
 ASKS = 200_000
 
@@ -185,6 +188,32 @@ def range_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
 
 
+def code_of(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - CODE_BITS)
+
+
+def summed_codes(codes: np.ndarray, counts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each code once, rising, with its count; counts beyond ``least`` are all the same."""
+    order = np.argsort(codes)
+    codes, counts = codes[order], counts[order]
+    starts = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.zeros(0, np.int64)
+    sums = np.add.reduceat(counts, starts) if len(codes) else counts
+    return codes[starts], np.minimum(sums, least)
+
+
+def pack_codes(codes: np.ndarray, counts: np.ndarray) -> bytes:
+    """Columns of numbers: 8 high bits of all codes, 32 low bits, counts."""
+    n = np.array([len(codes)], "<u8")
+    return b"".join([n.tobytes(), (codes >> np.uint64(32)).astype("u1").tobytes(), codes.astype("<u4").tobytes(), counts.astype("<u4" if counts.max() > 255 else "u1").tobytes()])
+
+
+def unpack_codes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(data, "<u8", 1)[0])
+    high, low = np.frombuffer(data, "u1", n, 8).astype(np.uint64), np.frombuffer(data, "<u4", n, 8 + n)
+    counts = np.frombuffer(data, "u1" if len(data) == 8 + 6 * n else "<u4", n, 8 + 5 * n)
+    return high << np.uint64(32) | low, counts.astype(np.int64)
+
+
 class HashFilter:
     """Bits of hashes that may be frequent."""
 
@@ -197,10 +226,10 @@ class HashFilter:
 
 
 class Shard:
-    """Words of a part of the corpus, as numbers; 0 ends a piece."""
+    """Words of a part of the corpus, as numbers."""
 
-    def __init__(self, least: int, most: int, keep: HashFilter | None, ranges: int):
-        self.least, self.most, self.keep, self.ranges = least, most, keep, ranges
+    def __init__(self, ranges: int, keep: HashFilter | None = None):
+        self.ranges, self.keep = ranges, keep
         self.clear()
 
     def clear(self) -> None:
@@ -221,52 +250,71 @@ class Shard:
     def full(self) -> bool:
         return self.size >= SHARD_WORDS or self.vocabulary >= 8 * SHARD_WORDS
 
+    def of_languages(self, rank: np.ndarray) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+        """``lang``, its words (``rank[0]`` ends a piece), and which of them were counted before."""
+        for lang, parts in self.held.items():
+            ids = np.concatenate([x for p, _ in parts for x in (p, np.zeros(1, np.int32))])
+            old = np.concatenate([np.arange(len(p) + 1) < o for p, o in parts])
+            yield lang, rank[ids], old
+
+    def screened(self, least: int) -> tuple[dict[str, int], list[tuple[int, bytes]]]:
+        """Words of each language, and by range the codes and counts of words and pairs; then it is empty."""
+        hashes = np.fromiter(map(word_hash, self.numbers), np.uint64, len(self.numbers))
+        totals, codes, counts = {}, [], []
+        for lang, words, old in self.of_languages(np.arange(len(hashes))):
+            n = np.bincount(words[(words != 0) & ~old], minlength=len(hashes))
+            totals[lang] = int(n.sum())
+            codes.append(code_of(phrase_hashes([hashes], lang))[n > 0])
+            counts.append(n[n > 0])
+            at = np.flatnonzero((words[:-1] != 0) & (words[1:] != 0) & ~old[1:])
+            pair = code_of(phrase_hashes([hashes[words[at]], hashes[words[at + 1]]], lang))
+            pair, n = np.unique(pair, return_counts=True)
+            codes.append(pair)
+            counts.append(n)
+        self.clear()
+        if not codes:
+            return totals, []
+        code, count = summed_codes(np.concatenate(codes), np.concatenate(counts), least)
+        place = (code * np.uint64(self.ranges)) >> np.uint64(CODE_BITS)
+        edges = np.searchsorted(place, np.arange(self.ranges + 1, dtype=np.uint64)).tolist()
+        parts = [(i, low, high) for i, (low, high) in enumerate(zip(edges, edges[1:], strict=False)) if low < high]
+        return totals, [(i, pack_codes(code[low:high], count[low:high])) for i, low, high in parts]
+
     def transducers(self) -> Iterator[tuple[str, int, bytes]]:
         """``lang, range, automaton`` of what was added; the shard is empty afterwards."""
         names = sorted(self.numbers)
         order = np.fromiter(map(self.numbers.__getitem__, names), np.int64, len(names))
-        rank = np.empty(len(names), np.int64)
+        rank = np.empty(len(names), np.int64)  # numbers in the order of the words
         rank[order] = np.arange(len(names))
         hashes = np.fromiter(map(word_hash, names), np.uint64, len(names))
-        end = int(rank[0])
-        for lang, parts in self.held.items():
-            ids = np.concatenate([x for p, _ in parts for x in (p, np.zeros(1, np.int32))])
-            old = np.concatenate([np.arange(len(p) + 1) < o for p, o in parts])
-            words = rank[ids]  # numbers in the order of the words
-            found = self.counted(words, words == end, old, hashes, lang)
+        for lang, words, old in self.of_languages(rank):
+            found = self.counted(words, words == rank[0], old, hashes, lang)
             yield from self.cut(found, names, hashes, lang)
         self.clear()
 
     def counted(self, words, ends, old, hashes, lang) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Tables of phrases (one row each) with counts, from ``least`` to ``most`` words."""
-        if self.most == 1:
-            n = np.bincount(words[~ends & ~old], minlength=len(hashes))
-            there = np.flatnonzero(n)
-            return [(there[:, None], n[there])]
-        if self.most == 2:  # both words are frequent
-            may = self.keep(phrase_hashes([hashes], lang))[words] & ~ends
-            may = may[:-1] & may[1:]
-        else:
-            may = ~ends[:-1] & ~ends[1:]
-            at = np.flatnonzero(may)
-            may[at] = self.keep(phrase_hashes([hashes[words[at]], hashes[words[at + 1]]], lang))
-        out = []
+        """Tables of phrases (one row each) with counts, by length."""
+        n = np.bincount(words[~ends & ~old], minlength=len(hashes))
+        there = np.flatnonzero((n > 0) & self.keep(phrase_hashes([hashes], lang)))
+        out = [(there[:, None], n[there])]
+        may = ~ends[:-1] & ~ends[1:]
+        at = np.flatnonzero(may)
+        may[at] = self.keep(phrase_hashes([hashes[words[at]], hashes[words[at + 1]]], lang))
         at = np.flatnonzero(may)
         code = words[at]
-        for n in range(2, self.most + 1):
+        for n in range(2, LONGEST + 1):
             if n > 2:  # the phrase of n - 1 words here, and the pair at its end
                 on = np.flatnonzero(may[np.minimum(at + n - 2, len(may) - 1)] & (at + n - 2 < len(may)))
                 at, code = at[on], code[on]
             code = code * len(hashes) + words[at + n - 1]
             _, first, code = np.unique(code, return_index=True, return_inverse=True)
-            if n >= self.least:
-                count = np.bincount(code[~old[at + n - 1]], minlength=len(first))
-                starts = at[first[count > 0]]
-                out.append((np.stack([words[starts + i] for i in range(n)], 1), count[count > 0]))
+            count = np.bincount(code[~old[at + n - 1]], minlength=len(first))
+            starts = at[first[count > 0]]
+            out.append((np.stack([words[starts + i] for i in range(n)], 1), count[count > 0]))
         return out
 
     def cut(self, found, names, hashes, lang) -> Iterator[tuple[str, int, bytes]]:
-        wide = np.full((sum(len(x) for x, _ in found), self.most), -1)
+        wide = np.full((sum(len(x) for x, _ in found), LONGEST), -1)
         count = np.concatenate([n for _, n in found])
         place = np.zeros(len(wide), np.int64)
         low = 0
@@ -276,7 +324,7 @@ class Shard:
             head = [hashes[table[:, i]] for i in range(min(PREFIX, table.shape[1]))]
             place[low:high] = range_of(phrase_hashes(head, lang), self.ranges)
             low = high
-        order = np.lexsort([*(wide[:, i] for i in range(self.most - 1, -1, -1)), place])
+        order = np.lexsort([*(wide[:, i] for i in range(LONGEST - 1, -1, -1)), place])
         place = place[order]
         starts = np.flatnonzero(np.append(True, place[1:] != place[:-1])).tolist() if len(place) else []
         for low, high in zip(starts, [*starts[1:], len(place)], strict=False):
@@ -303,36 +351,96 @@ def windows(text: bytes) -> Iterator[tuple[list[bytes], int]]:
         start = stop
 
 
-SHARDS = "lang string, range long, automaton binary"
+def shards_of(batches: Iterable[pa.RecordBatch], shard: Shard) -> Iterator[Shard]:
+    """The shard, each time it is full and at the end, from batches of (text, lang)."""
+    for batch in batches:
+        langs = batch.column(1)
+        for i, text in enumerate(batch.column(0).cast(pa.binary())):
+            if text.is_valid:
+                for words, old in windows(text.as_py()):
+                    shard.add(langs[i].as_py(), words, old)
+                    if shard.full():
+                        yield shard
+    yield shard
+
+
+def in_batches(rows: Iterable[tuple], names: list[str], kinds: list, data: int) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of bounded size; ``data`` is the column of bytes."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 100 + len(row[data] or b"")
+        if size > WINDOW_BYTES:
+            yield batch_of(held, names, kinds)
+            held, size = [], 0
+    if held:
+        yield batch_of(held, names, kinds)
+
+
+def batch_of(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+
+def screen(docs: DataFrame, least: int, ranges: int) -> tuple[DataFrame, object]:
+    """Words of each language (``lang, total``), and the broadcast table of what may be frequent."""
+    names, kinds = ["lang", "total", "range", "codes"], [pa.string(), pa.int64(), pa.int64(), pa.binary()]
+
+    def count(batches):
+        def rows():
+            for shard in shards_of(batches, Shard(ranges)):
+                totals, parts = shard.screened(least)
+                yield from ((lang, n, None, None) for lang, n in totals.items())
+                yield from ((None, None, place, data) for place, data in parts)
+
+        yield from in_batches(rows(), names, kinds, 3)
+        release_memory()
+
+    counted = docs.mapInArrow(count, "lang string, total long, range long, codes binary")
+    counted = stage(counted, "screened")
+    totals = counted.where("lang is not null").groupBy("lang").agg(F.sum("total").alias("total"))
+    dealt = counted.where("range is not null").select("range", "codes").repartition("range").sortWithinPartitions("range")
+
+    def add(batches):
+        key, held, size = None, [], 0
+
+        def finish():
+            codes, counts = summed_codes(*(np.concatenate(c) for c in zip(*held, strict=True)), least)
+            bit = (codes[counts >= least] >> np.uint64(CODE_BITS - FILTER_BITS)).astype(np.int64)
+            arrays = [pa.array(bit >> 6), pa.array(np.left_shift(np.int64(1), bit & 63))]
+            return pa.RecordBatch.from_arrays(arrays, names=["word", "bits"])
 
+        for batch in batches:
+            for place, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != place and held:
+                    yield finish()
+                    held, size = [], 0
+                key = place
+                held.append(unpack_codes(data))
+                size += len(held[-1][0])
+                if size > CODES:
+                    held = [summed_codes(*(np.concatenate(c) for c in zip(*held, strict=True)), least)]
+                    size = 0
+        if held:
+            yield finish()
+        release_memory()
 
-def shard_transducers(docs: DataFrame, least: int, most: int, ranges: int, keep=None) -> DataFrame:
-    """``lang, range, automaton`` of every shard. ``docs`` has (text, lang); ``keep`` is a broadcast filter."""
+    bits = dealt.mapInArrow(add, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    rows = bits.toPandas()  # 2 ** 21 rows at most
+    table = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    table[rows["word"].to_numpy()] = rows["bits"].to_numpy(np.int64).view(np.uint64)
+    return totals, docs.sparkSession.sparkContext.broadcast(table)
 
-    def run(batches):
-        shard = Shard(least, most, keep and HashFilter(keep.value), ranges)
-
-        def flush():
-            columns = list(zip(*shard.transducers(), strict=True)) or [[], [], []]
-            low = 0
-            for high in range(1, len(columns[0]) + 1):  # batches of bounded size
-                if high == len(columns[0]) or sum(map(len, columns[2][low:high])) > WINDOW_BYTES:
-                    kinds = (pa.string(), pa.int64(), pa.binary())
-                    part = [pa.array(c[low:high], k) for c, k in zip(columns, kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays(part, names=["lang", "range", "automaton"])
-                    low = high
 
-        for batch in batches:
-            langs = batch.column(1)
-            for i, text in enumerate(batch.column(0).cast(pa.binary())):
-                if text.is_valid:
-                    for words, old in windows(text.as_py()):
-                        shard.add(langs[i].as_py(), words, old)
-                        if shard.full():
-                            yield from flush()
-        yield from flush()
+def shard_transducers(docs: DataFrame, ranges: int, keep) -> DataFrame:
+    """``lang, range, automaton`` of every shard. ``docs`` has (text, lang); ``keep`` is the broadcast table."""
 
-    return docs.select("text", "lang").mapInArrow(run, SHARDS)
+    def run(batches):
+        shards = shards_of(batches, Shard(ranges, HashFilter(keep.value)))
+        rows = (row for shard in shards for row in shard.transducers())
+        yield from in_batches(rows, ["lang", "range", "automaton"], [pa.string(), pa.int64(), pa.binary()], 2)
+        release_memory()
+
+    return docs.mapInArrow(run, "lang string, range long, automaton binary")
 
 
 FREQUENT = "lang string, range long, phrase string, words int, n long, automaton binary"
@@ -340,66 +448,36 @@ FREQUENT = "lang string, range long, phrase string, words int, n long, automaton
 
 def summed(shards: DataFrame, least: int) -> DataFrame:
     """The union of all shards' transducers by range: a row per phrase with at least ``least``
-    occurrences, and a row (``phrase`` null) with the range's transducer and the sum of all its counts."""
+    occurrences, and a row (``phrase`` null) with the range's transducer."""
     ranged = shards.repartition("lang", "range").sortWithinPartitions("lang", "range")
 
     def run(batches):
         def finish(key, held):
-            total, kept = 0, []
-            for phrase, n in union(held):
-                total += n
-                if n >= least:
-                    kept.append((phrase, n))
-            whole = Transducer.build(kept).to_bytes()
-            rows = [(*key, b" ".join(p).decode(), len(p), n, None) for p, n in kept]
-            return [*rows, (*key, None, 0, total, whole)]
-
-        def batch_of(rows):
-            kinds = (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.binary())
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-            return pa.RecordBatch.from_arrays(columns, names=["lang", "range", "phrase", "words", "n", "automaton"])
-
-        key, held, rows = None, [], []
-        for batch in batches:
-            for lang, place, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key != (lang, place):
-                    if held:
-                        rows += finish(key, held)
-                    if len(rows) > 10_000:
-                        yield batch_of(rows)
-                        rows = []
-                    key, held = (lang, place), []
-                held.append(Transducer.from_bytes(data))
-                if len(held) >= UNION:
-                    held = [Transducer.build(union(held))]
-        if held:
-            rows += finish(key, held)
-        if rows:
-            yield batch_of(rows)
+            kept = [(phrase, n) for phrase, n in union(held) if n >= least]
+            yield from ((*key, b" ".join(p).decode(), len(p), n, None) for p, n in kept)
+            yield (*key, None, 0, 0, Transducer.build(kept).to_bytes())
+
+        def rows():
+            key, held = None, []
+            for batch in batches:
+                for lang, place, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if key != (lang, place):
+                        if held:
+                            yield from finish(key, held)
+                        key, held = (lang, place), []
+                    held.append(Transducer.from_bytes(data))
+                    if len(held) >= UNION:
+                        held = [Transducer.build(union(held))]
+            if held:
+                yield from finish(key, held)
+
+        names = ["lang", "range", "phrase", "words", "n", "automaton"]
+        kinds = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.binary()]
+        yield from in_batches(rows(), names, kinds, 5)
 
     return ranged.mapInArrow(run, FREQUENT)
 
 
-def hash_filter(frequent: DataFrame):
-    """A broadcast table of ``FILTER_BITS`` bits, whatever the number of phrases."""
-
-    def run(batches):
-        for batch in batches:
-            bits = []
-            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = [np.array([word_hash(w)], np.uint64) for w in phrase.encode().split(b" ")]
-                bits.append(int(phrase_hashes(words, lang)[0]) >> (64 - FILTER_BITS))
-            bit = np.array(bits, np.int64)
-            arrays = [pa.array(bit >> 6), pa.array(np.left_shift(np.int64(1), bit & 63))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["word", "bits"])
-
-    set_bits = frequent.select("lang", "phrase").mapInArrow(run, "word long, bits long")
-    rows = set_bits.groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()  # 2 ** 21 rows at most
-    table = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    table[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
-    return frequent.sparkSession.sparkContext.broadcast(table)
-
-
 def part_counts(candidates: DataFrame, automata: DataFrame, ranges: int) -> DataFrame:
     """``lang, phrase, a, cut, side, part, n``: the count of both parts of every cut of every candidate."""
 
@@ -434,7 +512,7 @@ def part_counts(candidates: DataFrame, automata: DataFrame, ranges: int) -> Data
     dealt = both.repartition(*keys).sortWithinPartitions(*keys, F.col("automaton").isNull(), "part")
 
     def answer(batches):
-        key, held = None, []  # the automata of the range, one for each round
+        key, held = None, []  # the range's automaton
         for batch in batches:
             columns = {c: batch.column(batch.schema.names.index(c)).to_pylist() for c in (*keys, "part", "automaton")}
             places = list(zip(*(columns[c] for c in keys), strict=True))
@@ -464,15 +542,10 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     rows = docs.select(F.col(text).alias("text"), named)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = 1 + size // RANGE_BYTES
-    keep, rounds = None, []
-    for low, high in ((1, 1), (2, 2), (3, LONGEST)):
-        shards = shard_transducers(rows, low, high, ranges, keep)
-        rounds.append(stage(summed(shards, least), "phrases"))
-        keep = hash_filter(rounds[-1].where("phrase is not null"))
-    totals = rounds[0].where("phrase is null").groupBy("lang").agg(F.sum("n").alias("total"))
-    found = rounds[1].unionByName(rounds[2])
-    candidates = found.where("phrase is not null").select("lang", "phrase", F.col("n").alias("a"))
-    automata = rounds[0].unionByName(found).where("automaton is not null").select("lang", "range", "automaton")
+    totals, keep = screen(rows, least, ranges)
+    found = stage(summed(shard_transducers(rows, ranges, keep), least), "phrases")
+    candidates = found.where("words > 1").select("lang", "phrase", F.col("n").alias("a"))
+    automata = found.where("automaton is not null").select("lang", "range", "automaton")
     parts = stage(part_counts(candidates, automata, ranges), "parts")
 
     words = F.size(F.split("phrase", " "))

@@ -119,17 +119,28 @@ def test_windows_and_shards_count_each_phrase_once(monkeypatch):
     monkeypatch.setattr(c, "SHARD_WORDS", 25)
     rows = [(t, "en") for t, _ in corpus(5, 60) if t]
     found, _ = counts(rows)
-    for low, high in ((1, 1), (2, 2), (3, 5)):
-        shard, total = c.Shard(low, high, Everything(), 3), Counter()
-        flushed = 0
-        for text, lang in rows:
-            for words, old in c.windows(text.encode()):
-                shard.add(lang, words, old)
-                if shard.full():
-                    flushed += 1
-                    for *_, data in shard.transducers():
-                        total.update(table_of(c.Transducer.from_bytes(data)))
-        for *_, data in shard.transducers():
-            total.update(table_of(c.Transducer.from_bytes(data)))
-        expected = {tuple(w.encode() for w in p): n for p, n in found["en"].items() if low <= len(p) <= high}
-        assert flushed > 3 and dict(total) == expected
+    shard, total = c.Shard(3, Everything()), Counter()
+    screen, codes = c.Shard(3), Counter()
+    flushed = 0
+    for text, lang in rows:
+        for words, old in c.windows(text.encode()):
+            shard.add(lang, words, old)
+            screen.add(lang, words, old)
+            if shard.full():
+                flushed += 1
+                for *_, data in shard.transducers():
+                    total.update(table_of(c.Transducer.from_bytes(data)))
+                for _, data in screen.screened(10**6)[1]:
+                    codes.update(dict(zip(*(x.tolist() for x in c.unpack_codes(data)), strict=True)))
+    for *_, data in shard.transducers():
+        total.update(table_of(c.Transducer.from_bytes(data)))
+    for _, data in screen.screened(10**6)[1]:
+        codes.update(dict(zip(*(x.tolist() for x in c.unpack_codes(data)), strict=True)))
+    expected = {tuple(w.encode() for w in p): n for p, n in found["en"].items()}
+    assert flushed > 3 and dict(total) == expected
+    short = Counter()
+    for p, n in expected.items():
+        if len(p) <= 2:
+            hashes = [c.np.array([c.word_hash(w)], c.np.uint64) for w in p]
+            short[int(c.code_of(c.phrase_hashes(hashes, "en"))[0])] += n
+    assert codes == short
