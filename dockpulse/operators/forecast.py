@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockpulse.functions.scalars import rule_count
@@ -39,7 +40,8 @@ def training_split(
     ``hash`` puts a row on the same side in every run and on every cluster size, and so does
     ``md5``, which other systems can compute as well. ``time`` tests on the last part of the
     period, by the last of ``keys``; rows before it whose target, by the time in ``target_at``,
-    lies in it are on neither side. ``random`` draws each row.
+    lies in it are on neither side. ``random`` draws each row. ``exact`` tests on the ``ceil(test * n)``
+    rows that come first by md5 and then by ``keys``, which must be unique.
     """
     if by == "random":
         train, held = df.randomSplit([1 - test, test], seed)
@@ -51,6 +53,10 @@ def training_split(
         digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
         slot = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 1_000_000
         is_test = slot < round(test * 1_000_000)
+    elif by == "exact":
+        digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+        place = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+        is_test = smallest(df, place, 60, keys, test)
     elif by == "time":
         micros = F.unix_micros(F.col(keys[-1]).cast("timestamp"))
         first, last = df.agg(F.min(micros), F.max(micros)).first()
@@ -67,6 +73,40 @@ def training_split(
     return df.where(~is_test), df.where(is_test)
 
 
+REFINE_BITS, REFINED_ROWS = 12, 10_000
+
+
+def smallest(df: DataFrame, place: Column, bits: int, keys: Sequence[str], share: float) -> Column:
+    """Which rows are among the ``ceil(share * n)`` that come first by ``place`` (``bits`` wide) and ``keys``.
+
+    Each round counts the rows of ``2 ** REFINE_BITS`` equal parts of the range that holds the boundary and goes
+    on in the part with the boundary, until that has few rows. Only these are sorted.
+    """
+    rows = df.select(place.alias("place"), *keys)
+    low, width, left = 0, bits, None
+    while True:
+        inside = rows.where((F.col("place") >= low) & (F.col("place") < low + (1 << width)))
+        shift = max(0, width - REFINE_BITS)
+        part = F.shiftright(F.col("place") - F.lit(low), shift)
+        counts = sorted(tuple(r) for r in inside.groupBy(part.alias("part")).count().collect())
+        if left is None:
+            left = math.ceil(round(share * sum(n for _, n in counts), 9))
+        if left == 0:
+            return F.lit(False)
+        for found, n in counts:  # noqa: B007
+            if left <= n:
+                break
+            left -= n
+        low, width = low + (found << shift), shift
+        if n <= REFINED_ROWS or width == 0:
+            break
+    inside = rows.where((F.col("place") >= low) & (F.col("place") < low + (1 << width)))
+    order = ["place", *keys]
+    last = inside.orderBy(*order).limit(left).agg(F.max(F.struct(*order)).alias("last")).first()["last"]
+    edge = F.struct(*[F.lit(last[c]).cast(rows.schema[c].dataType) for c in order])
+    return F.struct(place.alias("place"), *[F.col(k) for k in keys]) <= edge
+
+
 def fit_forecaster(
     train: DataFrame,
     features: Sequence[str] = FEATURE_COLS,

@@ -45,10 +45,11 @@ def series_window(
     if limit == 0 or (at_most is not None and at_most <= limit):
         return df.select("*", *columns(plain))
     counts = df.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_rows"))
-    hot = stage(counts.where(F.col("_rows") > limit), "hot-keys")
+    hot = counts.where(F.col("_rows") > limit)
     rows = hot.agg(F.sum("_rows")).first()[0]
-    if not rows:
+    if not rows:  # nothing is written for keys that are not there
         return df.select("*", *columns(plain))
+    hot = stage(hot, "hot-keys")
     # How the hot keys meet the rows is left to Spark: it knows the size of the staged table.
     same = df[key].eqNullSafe(hot["_hot"])
     calm = df.join(hot, same, "left_anti").select("*", *columns(plain))

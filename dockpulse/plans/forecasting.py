@@ -91,6 +91,21 @@ def training_split_by_md5(spark, sf_dir):
     return _sides(train, test)
 
 
+@query(
+    f"""WITH {TRAIN}, placed AS (
+      SELECT seq, station_id, CAST('0x' || substr(md5(station_id || '|' || seq), 1, 15) AS BIGINT) AS place
+      FROM train)
+    SELECT seq, row_number() OVER (ORDER BY place, station_id, seq)
+      <= (count(*) OVER () + 4) // 5 AS is_test
+    FROM placed"""
+)
+def training_split_exact(spark, sf_dir):
+    """One training row in five, rounded up, is tested, to the row."""
+    rows = training_rows(spark, sf_dir).select("station_id", "seq")
+    train, test = forecast.training_split(stage(rows, "training"), ["station_id", "seq"], by="exact")
+    return _sides(train, test)
+
+
 def fitted(spark, sf_dir):
     """Model of the earlier part of the period, and the scored later part.
 

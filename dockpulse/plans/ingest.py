@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -107,6 +107,7 @@ def explode_feed(spark, sf_dir):
 
 
 AS_OF = datetime(2024, 1, 16)
+MOMENTS = [datetime(2024, 1, 1) + timedelta(hours=60 * i + 12) for i in range(12)]
 
 
 def _snapshot_sql(where: str) -> str:
@@ -130,3 +131,23 @@ def snapshot_csv_merge(spark, sf_dir):
         snapshot = latest.snapshot_features(latest.latest_state(obs, as_of=moment))
         snapshots.write_snapshot_csv(snapshot, f"{folder}/snapshot_{i}.csv")
     return clean.merge_snapshots([snapshots.read_snapshots(spark, f"{folder}/snapshot_*.csv")])
+
+
+_MOMENTS_SQL = ", ".join(f"(TIMESTAMP '{m}')" for m in MOMENTS)
+
+
+@query(
+    f"""WITH {OBS}, moments(as_of) AS (VALUES {_MOMENTS_SQL}), ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY as_of, station_id
+        ORDER BY observed_at DESC, seq DESC) AS rn FROM obs JOIN moments ON observed_at <= as_of)
+    SELECT as_of, {TEXT_ID}, {ISO} AS timestamp, parking_count,
+      CAST(hour(observed_at) AS INT) AS hour,
+      CAST(isodow(observed_at) - 1 AS INT) AS day_of_week,
+      CAST(isodow(observed_at) >= 6 AS INT) AS is_weekend
+    FROM ranked WHERE rn = 1"""
+)
+def snapshot_sweep(spark, sf_dir):
+    """The snapshots of twelve moments from one pass over the events."""
+    states = latest.states_at(observations(spark, sf_dir), MOMENTS)
+    wide = latest.snapshot_features(states, keep=["as_of"])
+    return wide.withColumn("station_id", F.col("station_id").cast("string"))

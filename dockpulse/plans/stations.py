@@ -269,3 +269,25 @@ def format_time(spark, sf_dir):
 )
 def key_codec(spark, sf_dir):
     return scalars.key_codec(observations(spark, sf_dir)).select("seq", "state_key", "key_id")
+
+
+@query(
+    f"""WITH {OBS}, sides AS (
+      SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY observed_at DESC, seq DESC) AS rn,
+        row_number() OVER (PARTITION BY station_id, event_type <> 'error'
+          ORDER BY observed_at DESC, seq DESC) AS good FROM obs)
+    SELECT CAST(c.station_id AS VARCHAR) AS station_id, c.station_name, c.parking_count, c.observed_at AS current_at,
+      CAST(trunc(p.parking_count * CAST(0.85 AS DOUBLE)) AS INT) AS predicted_count, 'simple' AS model,
+      p.observed_at AS predicted_at,
+      CAST(trunc(p.parking_count * CAST(0.85 AS DOUBLE)) AS INT) - c.parking_count AS change
+    FROM sides AS c JOIN sides AS p ON p.station_id = c.station_id AND p.event_type <> 'error' AND p.good = 1
+    WHERE c.rn = 1"""
+)
+def station_two_sides(spark, sf_dir):
+    """Current states joined with forecasts that were made apart: from each station's last row that is no error."""
+    rows = observations(spark, sf_dir, "event_type")
+    current = latest.latest_state(rows)
+    made = latest.latest_state(rows.where(F.col("event_type") != "error"))
+    ahead = scalars.rule_prediction(made).withColumn("model", F.lit(RULE_TAG))
+    found = serving.station_change(serving.station_list(current, ahead))
+    return found.withColumn("station_id", F.col("station_id").cast("string"))

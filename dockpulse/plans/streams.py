@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from dockpulse.plans.ingest import WIRE
 from dockpulse.plans.registry import ISO, RAW, RULE, TEXT_ID, query
-from dockpulse.plans.stations import SERIES_COLS, SERIES_NAMES, SERVE
+from dockpulse.plans.stations import SERIES_COLS, SERIES_NAMES, SERVE, W
 from dockpulse.session import shared_path
 from dockpulse.sources import observations as messages
 from dockpulse.sources.warehouse import (
@@ -41,7 +43,7 @@ def run_station_job(spark, sf_dir):
     return folder
 
 
-def run_in_slices(spark, sf_dir, slices=3):
+def run_in_slices(spark, sf_dir, slices=3, timeout=None):
     """The events sent in slices of time; the job runs after each, over one checkpoint."""
     folder = shared_path(spark, "slices")
     events = table(spark, sf_dir, "events")
@@ -59,6 +61,7 @@ def run_in_slices(spark, sf_dir, slices=3):
             obs_path=f"{folder}/observations",
             checkpoint=f"{folder}/checkpoint",
             trigger=None,
+            timeout=timeout,
         ).awaitTermination()
     return folder
 
@@ -89,6 +92,24 @@ def stream_carried_history(spark, sf_dir):
     return scored_columns(read_scored(spark, f"{run_in_slices(spark, sf_dir)}/observations"))
 
 
+SILENT = timedelta(hours=4)
+_AFTER_GAPS = SERVE.split(", back AS")[1].replace("PARTITION BY station_id", "PARTITION BY station_id, part")
+
+
+@query(
+    f"""WITH {SERVE.split(", back AS")[0]}, gaps AS (
+      SELECT *, coalesce(observed_at - lag(observed_at) {W} > INTERVAL 4 HOUR, FALSE) AS gap FROM obs),
+    parts AS (SELECT * EXCLUDE (gap), sum(CAST(gap AS INT)) {W} AS part FROM gaps), back AS
+    {_AFTER_GAPS.replace("FROM obs)", "FROM parts)")}
+    SELECT {TEXT_ID}, seq, parking_count, {SERIES_COLS}, history,
+      {RULE} AS predicted_count, 'simple' AS model
+    FROM serve"""
+)
+def stream_expiring_history(spark, sf_dir):
+    """Three runs of the job in which a station that was silent for four hours starts a new history."""
+    return scored_columns(read_scored(spark, f"{run_in_slices(spark, sf_dir, timeout=SILENT)}/observations"))
+
+
 def scored_columns(scored):
     return scored.select(
         "station_id",

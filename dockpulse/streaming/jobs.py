@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -50,15 +51,19 @@ def station_job(
     model: PipelineModel | None = None,
     trigger: str | None = "30 seconds",
     order: str = "event",
+    timeout: timedelta | None = None,
 ) -> StreamingQuery:
     """Clean, score and store a stream of decoded observations.
 
-    ``order="arrival"`` lets the message that came last win, as the source numbered them.
+    ``order="arrival"`` lets the message that came last win, as the source numbered them. With
+    ``timeout``, the history of a station that was silent for longer starts anew.
     """
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
         query = query_id(df, checkpoint)
-        upsert_batch(df, batch_id, state_path, obs_path, model, query, order=order)
+        upsert_batch(
+            df, batch_id, state_path, obs_path, model, query, order=order, timeout=timeout
+        )
 
     return build_query(clean(observations), on_batch, trigger, checkpoint)
 

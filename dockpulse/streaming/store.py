@@ -1,15 +1,24 @@
-"""The latest state of every station, as numbered parquet versions in one folder.
+"""The latest state of every station, laid out by key in one folder.
 
-A batch writes only the stations it changed (``delta``); now and then the whole table is
-written (``full``). A version counts once Spark has left its success mark, so readers never
-see half a write, and a batch that is run again finds its version and stops.
+Stations are dealt to hash buckets. A commit writes only the buckets of the stations it changed, each whole,
+below a folder of its own, and then publishes a manifest that says where every bucket stands. So a
+batch reads and rewrites the buckets it touches, a lookup opens one bucket, and a reader that holds a manifest
+sees one state throughout.
+
+Manifests are numbered, and a number is taken by creating its file, which fails if it is there: of two
+writers one wins, and the other reads the new state, merges its change into that and tries the next number. The
+manifest also holds the last batch of each streaming query, so a batch that is run again is found and skipped.
+The newest ``KEEP`` manifests and what they name stay, for readers under way.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
+import json
+import os
+import uuid
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,56 +35,64 @@ STATE = T.StructType(
         T.StructField("history", T.ArrayType(T.IntegerType())),
     ]
 )
-VERSIONED = T.StructType([*STATE.fields, T.StructField("version", T.LongType())])
-
-COMPACT_EVERY = 20
-
-
-class Version(NamedTuple):
-    number: int
-    kind: str
-    query: str
-    batch: int
 
-    @property
-    def folder(self) -> str:
-        return f"{self.number:012d}.{self.kind}.{self.query}.{self.batch}"
+BUCKETS = 16
+KEEP = 20
 
 
 class StationStore:
-    def __init__(self, spark: SparkSession, path: str, compact_every: int = COMPACT_EVERY):
+    """``buckets`` counts for a new folder; one that is there keeps its number."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.compact_every = compact_every
+        self.buckets = buckets
 
-    def versions(self) -> list[Version]:
-        """Complete versions, oldest first."""
-        root, fs = hadoop_path(self.spark, self.path)
+    def versions(self) -> list[int]:
+        """Numbers of the published manifests, oldest first."""
+        root, fs = hadoop_path(self.spark, f"{self.path}/manifests")
         if not fs.exists(root):
             return []
-        found = []
-        for status in fs.listStatus(root):
-            name = status.getPath().getName()
-            if fs.exists(hadoop_path(self.spark, f"{self.path}/{name}/_SUCCESS")[0]):
-                number, kind, query, batch = name.split(".")
-                found.append(Version(int(number), kind, query, int(batch)))
-        return sorted(found)
+        names = [s.getPath().getName() for s in fs.listStatus(root)]
+        return sorted(int(n.removesuffix(".json")) for n in names if n[0].isdigit())
+
+    def manifest(self, number: int | None = None) -> dict:
+        """The newest manifest, or that of ``number``; before the first one an empty one."""
+        if number is None:
+            known = self.versions()
+            if not known:
+                return {"number": -1, "buckets": self.buckets, "folders": {}, "done": {}}
+            number = known[-1]
+        found, fs = hadoop_path(self.spark, self._manifest_path(number))
+        stream = fs.open(found)
+        try:
+            text = bytes(stream.readAllBytes())
+        finally:
+            stream.close()
+        return json.loads(text)
 
     def holds(self, query: str, batch: int) -> bool:
-        return any((v.query, v.batch) == (query, batch) for v in self.versions())
-
-    def read(self) -> DataFrame:
-        """One row per station; empty before the first write."""
-        live = self._live(self.versions())
-        if not live:
+        return self.manifest()["done"].get(query, -1) >= batch
+
+    def read(self, only: Iterable[int] | None = None, manifest: dict | None = None) -> DataFrame:
+        """One row per station; with ``only``, of these buckets."""
+        seen = manifest or self.manifest()
+        wanted = None if only is None else set(only)
+        paths = [
+            self._bucket_path(folder, int(b))
+            for b, folder in sorted(seen["folders"].items())
+            if wanted is None or int(b) in wanted
+        ]
+        if not paths:
             nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in STATE.fields]
             return self.spark.range(1).where(F.lit(False)).select(*nothing)
-        rows = self.spark.read.schema(VERSIONED).parquet(*[f"{self.path}/{v.folder}" for v in live])
-        if len(live) == 1:
-            return rows.drop("version")
-        rest = [c for c in STATE.fieldNames() if c != "station_id"]
-        newest = F.max_by(F.struct(*rest), "version").alias("_row")
-        return rows.groupBy("station_id").agg(newest).select("station_id", "_row.*")
+        return self.spark.read.schema(STATE).parquet(*paths)
+
+    def station(self, station_id: str) -> DataFrame:
+        """The row of one station, from its bucket."""
+        seen = self.manifest()
+        place = self.spark.range(1).select(bucket_of(F.lit(station_id), seen["buckets"])).first()[0]
+        return self.read([place], seen).where(F.col("station_id") == F.lit(station_id))
 
     def current(self) -> DataFrame:
         return self.read().drop("predicted_count", "model", "history")
@@ -85,32 +102,96 @@ class StationStore:
             "station_id", "predicted_count", "model", "timestamp", "observed_at"
         )
 
+    def touched(self, rows: DataFrame) -> list[int]:
+        """Buckets that hold the stations of ``rows``; there are no more than the store has."""
+        place = bucket_of(F.col("station_id"), self.manifest()["buckets"])
+        return sorted(r[0] for r in rows.select(place.alias("bucket")).distinct().collect())
+
     def write(self, changed: DataFrame, query: str, batch: int) -> None:
-        """Add a version with the ``changed`` stations, whole once every so many versions."""
-        done = self.versions()
-        number = done[-1].number + 1 if done else 0
-        whole = number % self.compact_every == 0
-        rows = changed
-        if whole and done:
-            kept = self.read().join(changed.select("station_id"), "station_id", "left_anti")
-            rows = kept.unionByName(changed)
-        version = Version(number, "full" if whole else "delta", query, batch)
-        columns = [F.col(f.name).cast(f.dataType) for f in STATE.fields]
-        rows.select(*columns, F.lit(number).cast("long").alias("version")).write.mode(
-            "overwrite"
-        ).parquet(f"{self.path}/{version.folder}")
-        if whole:
-            self._forget(done)
-
-    def _forget(self, done: list[Version]) -> None:
-        """Remove versions that were already replaced by the whole table before this one."""
-        live = self._live(done)
-        for version in done:
-            if live and version.number < live[0].number:
-                delete_path(self.spark, f"{self.path}/{version.folder}")
-
-    @staticmethod
-    def _live(done: list[Version]) -> list[Version]:
-        """The newest whole table and the changes after it."""
-        start = max((v.number for v in done if v.kind == "full"), default=0)
-        return [v for v in done if v.number >= start]
+        """Replace the rows of the stations in ``changed``."""
+        self.commit(lambda _: changed, self.touched(changed), query, batch)
+
+    def commit(
+        self, change: Callable[[DataFrame], DataFrame], touched: list[int], query: str, batch: int
+    ) -> None:
+        """Publish ``change(before)``: the new rows of stations in the buckets ``touched``.
+
+        If another writer was faster, ``change`` is asked again with the state that it left.
+        """
+        while True:
+            seen = self.manifest()
+            if seen["done"].get(query, -1) >= batch:
+                return
+            folder = uuid.uuid4().hex
+            before = self.read(touched, seen)
+            rows = replaced(before, change(before))
+            dated = rows.withColumn("bucket", bucket_of(F.col("station_id"), seen["buckets"]))
+            if touched:
+                dated.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(
+                    f"{self.path}/data/{folder}"
+                )
+            root, fs = hadoop_path(self.spark, f"{self.path}/data/{folder}")
+            there = [b for b in touched if fs.exists(hadoop_path(self.spark, self._bucket_path(folder, b))[0])]
+            done = {
+                "number": seen["number"] + 1,
+                "buckets": seen["buckets"],
+                "folders": {**seen["folders"], **{str(b): folder for b in there}},
+                "done": {**seen["done"], query: batch},
+            }
+            if self._publish(done):
+                self._forget()
+                return
+            delete_path(self.spark, f"{self.path}/data/{folder}")
+
+    def _bucket_path(self, folder: str, bucket: int) -> str:
+        return f"{self.path}/data/{folder}/bucket={bucket}"
+
+    def _manifest_path(self, number: int) -> str:
+        return f"{self.path}/manifests/{number:012d}.json"
+
+    def _publish(self, manifest: dict) -> bool:
+        """Whether the number was free. The file appears whole: it is written beside and then put in place."""
+        target, fs = hadoop_path(self.spark, self._manifest_path(manifest["number"]))
+        draft, _ = hadoop_path(self.spark, f"{self.path}/manifests/_{uuid.uuid4().hex}")
+        fs.mkdirs(target.getParent())
+        stream = fs.create(draft, False)
+        try:
+            stream.write(json.dumps(manifest).encode())
+        finally:
+            stream.close()
+        try:
+            if fs.getScheme() == "file":  # a local rename would replace what is there
+                os.link(draft.toUri().getPath(), target.toUri().getPath())
+                return True
+            return fs.rename(draft, target)
+        except FileExistsError:
+            return False
+        finally:
+            fs.delete(draft, False)
+
+    def _forget(self) -> None:
+        """Remove manifests before the newest ``KEEP``, and folders that only these name."""
+        numbers = self.versions()
+        if len(numbers) <= KEEP:
+            return
+        kept = {f for n in numbers[-KEEP:] for f in self.manifest(n)["folders"].values()}
+        for number in numbers[:-KEEP]:
+            for folder in set(self.manifest(number)["folders"].values()) - kept:
+                delete_path(self.spark, f"{self.path}/data/{folder}")
+            delete_path(self.spark, self._manifest_path(number))
+
+
+def bucket_of(station_id: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(station_id.cast("string")), F.lit(buckets)).cast("int")
+
+
+def replaced(before: DataFrame, changed: DataFrame) -> DataFrame:
+    """``before`` with the rows of the stations in ``changed`` in place of their own; one shuffle."""
+    names = STATE.fieldNames()
+    rest = [c for c in names if c != "station_id"]
+    columns = [F.col(f.name).cast(f.dataType) for f in STATE.fields]
+    both = before.select(*columns, F.lit(0).alias("_new")).unionByName(
+        changed.select(*columns, F.lit(1).alias("_new"))
+    )
+    last = F.max_by(F.struct(*rest), "_new").alias("_row")
+    return both.groupBy("station_id").agg(last).select("station_id", "_row.*")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from datetime import timedelta
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -24,7 +25,7 @@ from dockpulse.operators.series import previous_counts, serve_columns
 from dockpulse.schemas import HISTORY_DEPTH, OBSERVATION
 from dockpulse.session import dropping_stages, hadoop_path
 from dockpulse.sources.observations import with_event_order
-from dockpulse.streaming.store import COMPACT_EVERY, STATE, StationStore
+from dockpulse.streaming.store import BUCKETS, STATE, StationStore
 
 ORDER = ("observed_at", "seq")
 PLACE = ("source_part", "source_block", "seq")  # offsets count within a partition or file only
@@ -53,20 +54,35 @@ def stateful_lags(
     value: str = "parking_count",
     depth: int = HISTORY_DEPTH,
     batch_rows: int | None = None,
+    timeout: timedelta | None = None,
 ) -> DataFrame:
     """Add ``previous``: earlier values from this batch, then from the ``history`` in ``state``.
 
     Earlier batches come first whatever their times; within the batch ``order_cols`` decide.
+    With ``timeout``, a station that was silent for longer starts anew: values from before the gap in
+    event time do not count. A kept history has no such gap, so only the time of the state is carried.
     """
     seen = batch.select(key).distinct()
-    slots = state.join(seen, key, "left_semi").select(key, F.posexplode("history"))
-    carried = slots.select(key, (-F.col("pos")).alias("_slot"), F.col("col").alias(value))
+    slots = state.join(seen, key, "left_semi").select(key, "observed_at", F.posexplode("history"))
+    carried = slots.select(key, "observed_at", (-F.col("pos")).alias("_slot"), F.col("col").alias(value))
     rows = batch.withColumn("_slot", F.lit(1)).unionByName(carried, allowMissingColumns=True)
     at_most = None if batch_rows is None else batch_rows + depth
-    wide = previous_counts(
-        rows, key, ["_slot", *order_cols], value, depth - 1, at_most=at_most
+    order = ["_slot", *order_cols]
+    if timeout is None:
+        wide = previous_counts(rows, key, order, value, depth - 1, at_most=at_most)
+        return wide.where(F.col("_slot") == 1).drop("_slot")
+    timed = rows.withColumn("_seen", F.struct(F.col(value).alias("n"), F.col("observed_at").alias("at")))
+    wide = previous_counts(timed, key, order, "_seen", depth - 1, at_most=at_most)
+    times = F.transform("previous", lambda p: p["at"])
+    later = F.concat(F.array("observed_at"), F.slice(times, 1, depth - 2))
+    longest = F.lit(timeout)
+    gaps = F.zip_with(later, times, lambda b, a: F.coalesce(b - a > longest, F.lit(False)))
+    first_gap = F.array_position(gaps, True)
+    held = F.transform(
+        "previous", lambda p, i: F.when((first_gap == 0) | (i + 1 < first_gap), p["n"])
     )
-    return wide.where(F.col("_slot") == 1).drop("_slot")
+    wide = wide.withColumn("previous", held)
+    return wide.where(F.col("_slot") == 1).drop("_slot", "_seen")
 
 
 def score_batch(
@@ -75,9 +91,12 @@ def score_batch(
     model: PipelineModel | None,
     order_cols: Sequence[str] = ORDER,
     batch_rows: int | None = None,
+    timeout: timedelta | None = None,
 ) -> DataFrame:
     """Serving features, forecast and the history after each row."""
-    lagged = stateful_lags(batch, state, order_cols=order_cols, batch_rows=batch_rows)
+    lagged = stateful_lags(
+        batch, state, order_cols=order_cols, batch_rows=batch_rows, timeout=timeout
+    )
     wide = serve_columns(lagged, "parking_count")
     register = F.concat(F.array("parking_count"), F.col("previous"))
     wide = wide.withColumn("history", F.array_compact(register)).drop("previous")
@@ -91,16 +110,18 @@ def upsert_batch(
     obs_path: str,
     model: PipelineModel | None = None,
     query: str = "batch",
-    compact_every: int = COMPACT_EVERY,
+    buckets: int = BUCKETS,
     order: str = "event",
+    timeout: timedelta | None = None,
 ) -> None:
     """Append the scored rows of a batch, then bring the state of its stations up to date.
 
     Rows go to ``day=/batch=`` folders, and a batch that is run again replaces its own; once
-    its state is complete it does nothing.
+    its state is complete it does nothing. Only the state's buckets with stations of the batch are read
+    and written again. ``timeout`` is that of ``stateful_lags``.
     """
     spark = df.sparkSession
-    store = StationStore(spark, state_path, compact_every)
+    store = StationStore(spark, state_path, buckets)
     if store.holds(query, batch_id):
         return
     if order == "arrival":
@@ -110,10 +131,11 @@ def upsert_batch(
         count = rows.count()
         if not count:
             return
-        before = store.read()
-        with kept(score_batch(rows, before, model, order_cols, count)) as scored:
+        touched = store.touched(rows)
+        before = store.read(touched)
+        with kept(score_batch(rows, before, model, order_cols, count, timeout)) as scored:
             append_scored(scored, obs_path, f"{query}-{batch_id}")
-            store.write(merge_state(before, scored, order_cols), query, batch_id)
+            store.commit(lambda now: merge_state(now, scored, order_cols), touched, query, batch_id)
 
 
 def numbered(df: DataFrame) -> DataFrame:

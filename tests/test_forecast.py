@@ -1,5 +1,6 @@
 """Split, fit, score, evaluate and keep a forecast."""
 
+import hashlib
 import math
 
 import pytest
@@ -138,3 +139,21 @@ def test_time_split_leaves_out_rows_that_see_the_tested_part(spark):
     train, test = forecast.training_split(rows, ["observed_at"], by="time", target_at="target_at")
     assert train.count() + test.count() == 98
     assert train.agg(F.max("target_at")).first()[0] < test.agg(F.min("observed_at")).first()[0]
+
+
+@pytest.mark.parametrize("refined", [1, 10_000])
+def test_exact_split_takes_the_share_rounded_up(spark, monkeypatch, refined):
+    monkeypatch.setattr(forecast, "REFINED_ROWS", refined)
+    for n in (0, 1, 4, 5, 6, 35, 101):
+        rows = spark.range(n).select((F.col("id") % 3).alias("station_id"), F.col("id").alias("seq"))
+        train, test = forecast.training_split(rows, ["station_id", "seq"], by="exact")
+        place = {i: int(hashlib.md5(f"{i % 3}|{i}".encode()).hexdigest()[:15], 16) for i in range(n)}
+        first = sorted(range(n), key=lambda i: (place[i], i % 3, i))[: -(-n // 5)]
+        assert sorted(r["seq"] for r in test.collect()) == sorted(first)
+        assert train.count() == n - len(first)
+
+
+def test_rows_of_one_place_are_split_by_their_keys(spark):
+    rows = spark.range(50).withColumnRenamed("id", "seq")
+    mark = forecast.smallest(rows, F.lit(7).cast("long"), 60, ["seq"], 0.1)
+    assert sorted(r["seq"] for r in rows.where(mark).collect()) == [0, 1, 2, 3, 4]

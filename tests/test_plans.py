@@ -53,7 +53,9 @@ def test_filters_reach_the_scan(plans):
 
 def test_serving_reads_its_table_once(spark, plans, tmp_path):
     assert plans["station_list"].count("FileScan") == 1
-    StationStore(spark, str(tmp_path)).write(StationStore(spark, str(tmp_path)).read(), "q", 0)
+    row = spark.sql("""SELECT 'a' station_id, 'A' station_name, 1 parking_count, 2 rack_total, 't' timestamp,
+      TIMESTAMP_NTZ '2024-01-01 00:00:00' observed_at, 1L seq, 1 predicted_count, 'm' model, array(1) history""")
+    StationStore(spark, str(tmp_path)).write(row, "q", 0)
     assert plan(jobs.stations(spark, str(tmp_path))).count("FileScan") == 1
 
 

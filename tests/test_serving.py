@@ -1,12 +1,15 @@
 """Serving questions and scalar functions."""
 
 import json
+import random
+from datetime import timedelta
 
 import pytest
-from conftest import START, rows
+from conftest import START, rows, series
 from pyspark.sql import functions as F
 
 from dockpulse.functions.scalars import change_badges, format_time, key_codec, rule_prediction
+from dockpulse.operators import latest
 from dockpulse.operators.serving import (
     fleet_stats,
     search_by_name,
@@ -98,3 +101,18 @@ def test_rule_cuts_toward_zero_and_never_exceeds_the_count(spark):
     assert df.where("predicted_count > parking_count").isEmpty()
     got = {r["parking_count"]: r["predicted_count"] for r in df.where("parking_count < 8").collect()}
     assert got == {n: int(n * 0.85) for n in range(8)}
+
+
+def test_states_at_several_moments_are_those_of_each(spark):
+    rng = random.Random(4)
+    seen = series(spark, [rng.randrange(9) for _ in range(40)], "a").unionByName(series(spark, [1, 2], "b", 30))
+    seen = seen.unionByName(seen.limit(5)).unionByName(series(spark, [7], "c").withColumn("observed_at", F.lit(None).cast("timestamp_ntz")))
+    moments = [START + timedelta(seconds=s) for s in (-5, 0, 15, 30, 30, 400, 900, 905, 5000)]
+    found = latest.states_at(seen, moments)
+    expected = []
+    for moment in sorted(set(moments)):
+        expected += [(moment, *r) for r in rows(latest.latest_state(seen, as_of=moment), "station_id", "parking_count", "seq")]
+    assert rows(found, "as_of", "station_id", "parking_count", "seq") == sorted(expected, key=str)
+    assert latest.states_at(seen, []).isEmpty()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("WindowGroupLimit") == 2

@@ -2,6 +2,8 @@
 
 import json
 import time
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 
 import pytest
@@ -20,6 +22,8 @@ from dockpulse.sources.observations import (
     with_event_order,
 )
 from dockpulse.streaming import jobs
+from dockpulse import jobs as run_jobs
+from dockpulse.streaming import store as store_module
 from dockpulse.streaming.store import StationStore
 from dockpulse.streaming.upsert import read_scored, upsert_batch
 
@@ -158,7 +162,7 @@ def test_a_batch_that_broke_off_is_done_over(spark, site):
     state, obs = str(site.folder / "state"), str(site.folder / "obs")
     upsert_batch(decoded(spark, ("a", 5, 0)), 0, state, obs)
     upsert_batch(decoded(spark, ("a", 6, 1)), 1, state, obs)
-    (site.folder / "state" / site.store.versions()[-1].folder / "_SUCCESS").unlink()
+    (site.folder / "state" / "manifests" / f"{site.store.versions()[-1]:012d}.json").unlink()
     assert site.state("history") == [("a", [5])]
     upsert_batch(decoded(spark, ("a", 6, 1)), 1, state, obs)
     assert site.state("history") == [("a", [6, 5])]
@@ -186,17 +190,82 @@ def test_an_empty_batch_writes_nothing(spark, site):
     assert site.store.versions() == [] and site.store.read().isEmpty()
 
 
-def test_compaction_keeps_every_station(spark, site):
+def test_only_touched_buckets_are_written_and_old_ones_go(spark, site, monkeypatch):
+    monkeypatch.setattr(store_module, "KEEP", 3)
     state, obs = str(site.folder / "state"), str(site.folder / "obs")
     for batch in range(9):
         rows_in = decoded(spark, (f"s{batch}", batch, batch), ("a", batch, batch))
-        upsert_batch(rows_in, batch, state, obs, compact_every=3)
-    kinds = [v.kind for v in site.store.versions()]
-    assert kinds.count("full") == 2 and len(kinds) == 6
+        upsert_batch(rows_in, batch, state, obs, buckets=32)
+    assert site.store.versions() == [6, 7, 8]
+    last, one = site.store.manifest(), site.store.manifest(7)
+    assert last["buckets"] == 32 and len(last["folders"]) > 4
+    moved = {b for b, f in last["folders"].items() if one["folders"].get(b) != f}
+    assert 1 <= len(moved) <= 2
+    kept = {f for n in (6, 7, 8) for f in site.store.manifest(n)["folders"].values()}
+    assert {p.name for p in (site.folder / "state" / "data").iterdir()} == kept
     expected = [("a", 8)] + [(f"s{i}", i) for i in range(9)]
     assert site.state("parking_count") == expected
 
 
+def test_a_lookup_and_a_batch_of_one_station_read_one_bucket(spark, site):
+    state, obs = str(site.folder / "state"), str(site.folder / "obs")
+    upsert_batch(decoded(spark, *[(f"s{i}", i, i) for i in range(100)]), 0, state, obs)
+    assert len(site.store.manifest()["folders"]) == 16
+    found = site.store.station("s7")
+    assert len({f.split("bucket=")[1].split("/")[0] for f in found.inputFiles()}) == 1
+    assert rows(found, "station_id", "parking_count") == [("s7", 7)]
+    assert site.store.touched(found) == site.store.touched(decoded(spark, ("s7", 1, 1))) and len(site.store.touched(found)) == 1
+    assert rows(run_jobs.station(spark, state, "s7"), "station_id", "parking_count") == [("s7", 7)]
+    assert run_jobs.station(spark, state, "nobody").isEmpty()
+
+
+def test_two_writers_lose_no_station(spark, site):
+    state, obs = str(site.folder / "state"), str(site.folder / "obs")
+    both = threading.Barrier(2)
+
+    def work(me):
+        for batch in range(4):
+            both.wait()
+            rows_in = decoded(spark, (f"{me}{batch}", batch, batch), ("shared", 10 * me + batch, 10 * batch + me))
+            upsert_batch(rows_in, batch, state, obs, query=f"writer{me}", buckets=2)
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(work, (1, 2)))
+    expected = [(f"{me}{b}", b) for me in (1, 2) for b in range(4)] + [("shared", 23)]
+    assert site.state("parking_count") == sorted(expected, key=str)
+    assert site.store.versions() == list(range(8))
+    assert site.store.holds("writer1", 3) and site.store.holds("writer2", 3) and not site.store.holds("writer3", 0)
+
+
+def test_a_writer_that_comes_second_merges_into_the_new_state(spark, site):
+    store, asked = site.store, []
+
+    def change(before):
+        asked.append(rows(before, "station_id"))
+        if len(asked) == 1:
+            store.write(fresh("b"), "other", 0)
+        return fresh("a")
+
+    def fresh(name):
+        shown = decoded(spark, (name, 1, 1))
+        return shown.selectExpr("*", "null observed_at", "1 seq", "1 predicted_count", "'m' model", "array(1) history")
+
+    store.commit(change, list(range(16)), "q", 0)
+    assert asked == [[], [("b",)]] and rows(store.read(), "station_id") == [("a",), ("b",)]
+
+
+def test_a_silent_station_starts_a_new_history(spark, site):
+    state, obs = str(site.folder / "state"), str(site.folder / "obs")
+    batches = [[("a", 1, 0), ("a", 2, 50), ("a", 3, 200)], [("a", 4, 290), ("b", 9, 0)], [("a", 5, 500), ("a", 6, 510), ("b", 8, 100)]]
+    for i, batch in enumerate(batches):
+        upsert_batch(decoded(spark, *batch), i, state, obs, timeout=timedelta(seconds=100))
+    found = rows(site.scored(), "station_id", "parking_count", "history")
+    assert found == [
+        ("a", 1, [1]), ("a", 2, [2, 1]), ("a", 3, [3]), ("a", 4, [4, 3]), ("a", 5, [5]), ("a", 6, [6, 5]),
+        ("b", 8, [8, 9]), ("b", 9, [9]),
+    ]
+
+
 def test_bad_time_gets_the_rule_and_a_good_one_the_model(spark, site):
     train = spark.range(200).select(
         *[(F.col("id") % 10).cast("double").alias(c) for c in FEATURE_COLS],
