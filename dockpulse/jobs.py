@@ -105,4 +105,4 @@ def station(spark: SparkSession, state: str, station_id: str) -> DataFrame:
 
 
 def stats(spark: SparkSession, state: str) -> DataFrame:
-    return serving.fleet_stats(StationStore(spark, state).current())
+    return StationStore(spark, state).stats()

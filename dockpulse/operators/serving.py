@@ -66,14 +66,17 @@ def station_documents(stations: DataFrame) -> DataFrame:
     return stations.select("station_id", F.to_json(document).alias("document"))
 
 
-def fleet_stats(current: DataFrame, low: int = LOW_STOCK) -> DataFrame:
-    """One row of totals over every current row, with or without a prediction."""
+def fleet_totals(current: DataFrame, *by: str, low: int = LOW_STOCK) -> DataFrame:
+    """The sums behind ``fleet_stats``; with ``by``, one row per value. Sums of parts can be added up."""
     bikes = F.coalesce(F.col("parking_count"), F.lit(0))
-    totals = current.agg(
+    return current.groupBy(*by).agg(
         F.count("*").alias("total_stations"),
         F.coalesce(F.sum(bikes), F.lit(0)).alias("total_bikes"),
         F.count_if(bikes < low).alias("low_stock_count"),
     )
+
+
+def stats_of(totals: DataFrame) -> DataFrame:
     mean = F.coalesce(F.try_divide("total_bikes", "total_stations"), F.lit(0.0))
     return totals.select(
         "total_stations",
@@ -84,6 +87,11 @@ def fleet_stats(current: DataFrame, low: int = LOW_STOCK) -> DataFrame:
     )
 
 
+def fleet_stats(current: DataFrame, low: int = LOW_STOCK) -> DataFrame:
+    """One row of totals over every current row, with or without a prediction."""
+    return stats_of(fleet_totals(current, low=low))
+
+
 def search_by_name(df: DataFrame, text: str, col: str = "station_name") -> DataFrame:
     """Rows whose name holds ``text`` in any case; empty text keeps all rows."""
     if not text:

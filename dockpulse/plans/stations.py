@@ -148,14 +148,15 @@ def latest_state(spark, sf_dir):
     return current_state(spark, sf_dir)
 
 
-@query(
-    f"""WITH {LATEST} SELECT count(*) AS total_stations,
+STATS = f"""SELECT count(*) AS total_stations,
       CAST(sum(parking_count) AS BIGINT) AS total_bikes,
       round(sum(parking_count) / count(*), 1) AS average_bikes,
       CAST(sum(parking_count) AS DOUBLE) / count(*) AS mean_bikes,
       CAST(count_if(parking_count < {LOW_STOCK}) AS BIGINT) AS low_stock_count
     FROM latest"""
-)
+
+
+@query(f"WITH {LATEST} {STATS}")
 def fleet_stats(spark, sf_dir):
     return serving.fleet_stats(current_state(spark, sf_dir))
 

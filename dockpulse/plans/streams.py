@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from dockpulse.plans.ingest import WIRE
 from dockpulse.plans.registry import ISO, RAW, RULE, TEXT_ID, query
-from dockpulse.plans.stations import SERIES_COLS, SERIES_NAMES, SERVE, W
+from dockpulse.plans.stations import LATEST, SERIES_COLS, SERIES_NAMES, SERVE, STATS, W
 from dockpulse.session import shared_path
 from dockpulse.sources import observations as messages
 from dockpulse.sources.warehouse import (
@@ -150,3 +150,33 @@ def stream_low_stock(spark, sf_dir):
 )
 def stream_rule_prediction(spark, sf_dir):
     return run_to_files(spark, jobs.rule_stream(decoded_stream(spark, sf_dir)), "rule")
+
+
+@query(
+    f"""WITH {RAW}, results AS (
+      SELECT 'raw' AS result, station_id, station_name, parking_count, NULL AS predicted FROM raw
+      UNION ALL SELECT 'low_stock', station_id, station_name, parking_count, NULL FROM raw
+        WHERE parking_count < 10
+      UNION ALL SELECT 'rule', station_id, station_name, parking_count, {RULE} FROM raw)
+    SELECT result, {TEXT_ID}, station_name, parking_count, CAST(predicted AS INT) AS predicted_count
+    FROM results"""
+)
+def stream_three_results(spark, sf_dir):
+    """Every row, low stock and the rule forecast, from one read of the stream."""
+    folder = shared_path(spark, "results")
+    decoded = decoded_stream(spark, sf_dir)
+    jobs.fan_out(decoded, f"{folder}/rows", f"{folder}/checkpoint", None).awaitTermination()
+    parts = []
+    for name, result in jobs.RESULTS.items():
+        rows = jobs.read_result(spark, f"{folder}/rows", name, result(decoded).schema)
+        if "predicted_count" not in rows.columns:
+            rows = rows.withColumn("predicted_count", F.lit(None).cast("int"))
+        shown = ["station_id", "station_name", "parking_count", "predicted_count"]
+        parts.append(rows.select(F.lit(name).alias("result"), *shown))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(f"WITH {LATEST} {STATS}")
+def stream_fleet_stats(spark, sf_dir):
+    """The statistics that three runs of the job kept beside the state; the state is not scanned for them."""
+    return StationStore(spark, f"{run_in_slices(spark, sf_dir)}/state").stats()

@@ -6,14 +6,16 @@ from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from dockpulse.functions.scalars import rule_prediction
 from dockpulse.operators.clean import clean
 from dockpulse.schemas import STREAM_LOW_STOCK
-from dockpulse.streaming.upsert import upsert_batch
+from dockpulse.session import hadoop_path
+from dockpulse.streaming.upsert import kept, upsert_batch
 
 
 def build_query(
@@ -84,6 +86,49 @@ def rule_stream(decoded: DataFrame) -> DataFrame:
     )
 
 
+RESULTS = {"raw": lambda decoded: decoded, "low_stock": low_stock, "rule": rule_stream}
+
+
+def fan_out(
+    decoded: DataFrame,
+    folder: str,
+    checkpoint: str,
+    trigger: str | None = "30 seconds",
+    results: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
+) -> StreamingQuery:
+    """Several results of one stream from one query: a batch is read and decoded once.
+
+    Each result goes to ``folder/<name>/batch=<query>-<number>``. The mark that Spark leaves in a
+    folder once it is whole commits that result, so a batch that is run again writes only what was missing.
+    ``read_result`` reads the folders that have the mark.
+    """
+    results = results or RESULTS
+
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        batch = f"{query_id(df, checkpoint)}-{batch_id}"
+        missing = [n for n in results if not whole(df.sparkSession, f"{folder}/{n}/batch={batch}")]
+        with kept(df) as rows:
+            for name in missing:
+                results[name](rows).write.mode("overwrite").parquet(f"{folder}/{name}/batch={batch}")
+
+    return build_query(decoded, on_batch, trigger, checkpoint)
+
+
+def whole(spark: SparkSession, path: str) -> bool:
+    mark, fs = hadoop_path(spark, f"{path}/_SUCCESS")
+    return fs.exists(mark)
+
+
+def read_result(spark: SparkSession, folder: str, name: str, schema: StructType) -> DataFrame:
+    """The rows of one result of ``fan_out`` in committed batches; before the first one an empty table."""
+    root, fs = hadoop_path(spark, f"{folder}/{name}")
+    found = [s.getPath().toString() for s in fs.listStatus(root)] if fs.exists(root) else []
+    paths = [p for p in found if whole(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
+
+
 def plain_streams(
     decoded: DataFrame,
     sink: str = "console",
@@ -94,9 +139,9 @@ def plain_streams(
 
     A file sink writes below ``folder``. Wait with ``spark.streams.awaitAnyTermination()``.
     """
-    frames = {"raw": decoded, "low_stock": low_stock(decoded), "rule": rule_stream(decoded)}
     started = {}
-    for name, frame in frames.items():
+    for name, result in RESULTS.items():
+        frame = result(decoded)
         options = {"path": f"{folder}/{name}"} if folder else {}
         checkpoint = f"{folder}/checkpoints/{name}" if folder else None
         started[name] = build_query(frame, sink, trigger, checkpoint, **options)

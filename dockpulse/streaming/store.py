@@ -8,6 +8,8 @@ sees one state throughout.
 Manifests are numbered, and a number is taken by creating its file, which fails if it is there: of two
 writers one wins, and the other reads the new state, merges its change into that and tries the next number. The
 manifest also holds the last batch of each streaming query, so a batch that is run again is found and skipped.
+Beside each bucket stand its totals, so the statistics of the fleet are sums over the manifest: a commit takes out
+the old totals of the buckets it rewrites and puts in the new ones, and no reader scans the state for them.
 The newest ``KEEP`` manifests and what they name stay, for readers under way.
 """
 
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dockpulse.operators.serving import fleet_totals, stats_of
 from dockpulse.schemas import OBSERVATION
 from dockpulse.session import delete_path, hadoop_path
 
@@ -38,6 +41,7 @@ STATE = T.StructType(
 
 BUCKETS = 16
 KEEP = 20
+TOTALS = "total_stations long, total_bikes long, low_stock_count long"
 
 
 class StationStore:
@@ -61,7 +65,7 @@ class StationStore:
         if number is None:
             known = self.versions()
             if not known:
-                return {"number": -1, "buckets": self.buckets, "folders": {}, "done": {}}
+                return {"number": -1, "buckets": self.buckets, "folders": {}, "done": {}, "totals": {}}
             number = known[-1]
         found, fs = hadoop_path(self.spark, self._manifest_path(number))
         stream = fs.open(found)
@@ -102,6 +106,15 @@ class StationStore:
             "station_id", "predicted_count", "model", "timestamp", "observed_at"
         )
 
+    def stats(self) -> DataFrame:
+        """Statistics of the fleet from the totals in the manifest, without a scan of the state."""
+        seen = self.manifest()
+        known = seen.get("totals", {})
+        if known.keys() != seen["folders"].keys():  # buckets written before totals were kept
+            return stats_of(fleet_totals(self.read(manifest=seen)))
+        sums = [sum(part) for part in zip(*known.values())] or [0, 0, 0]
+        return stats_of(self.spark.createDataFrame([sums], TOTALS))
+
     def touched(self, rows: DataFrame) -> list[int]:
         """Buckets that hold the stations of ``rows``; there are no more than the store has."""
         place = bucket_of(F.col("station_id"), self.manifest()["buckets"])
@@ -137,12 +150,21 @@ class StationStore:
                 "buckets": seen["buckets"],
                 "folders": {**seen["folders"], **{str(b): folder for b in there}},
                 "done": {**seen["done"], query: batch},
+                "totals": {**seen.get("totals", {}), **self._totals(folder, there)},
             }
             if self._publish(done):
                 self._forget()
                 return
             delete_path(self.spark, f"{self.path}/data/{folder}")
 
+    def _totals(self, folder: str, buckets: list[int]) -> dict[str, list[int]]:
+        """Totals of each bucket just written: one column is read, and one row per bucket comes back."""
+        if not buckets:
+            return {}
+        schema = T.StructType([STATE["parking_count"], T.StructField("bucket", T.IntegerType())])
+        rows = self.spark.read.schema(schema).parquet(f"{self.path}/data/{folder}")
+        return {str(r[0]): list(r[1:]) for r in fleet_totals(rows, "bucket").collect()}
+
     def _bucket_path(self, folder: str, bucket: int) -> str:
         return f"{self.path}/data/{folder}/bucket={bucket}"
 

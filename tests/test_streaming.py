@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from dockpulse.operators.clean import clean, dedupe_stream
 from dockpulse.operators.forecast import fit_forecaster
 from dockpulse.operators.series import ts_features
+from dockpulse.operators.serving import fleet_stats
 from dockpulse.schemas import FEATURE_COLS
 from dockpulse.sources.feeds import explode_feed, read_feed
 from dockpulse.sources.observations import (
@@ -444,3 +445,77 @@ def test_nothing_written_is_an_empty_table(spark, site):
     site.run()
     assert site.scored().count() == 0
     assert {"day", "batch", "history", "predicted_count"} <= set(site.scored().columns)
+
+
+def fan(site, results=None):
+    folder = site.folder / "fan"
+    query = jobs.fan_out(site.stream(), str(folder / "rows"), str(folder / "checkpoint"), None, results)
+    query.awaitTermination()
+    return query
+
+
+def result(site, name):
+    schema = jobs.RESULTS[name](site.stream()).schema
+    return jobs.read_result(site.spark, str(site.folder / "fan" / "rows"), name, schema)
+
+
+def test_three_results_come_from_one_read(site):
+    assert result(site, "rule").count() == 0
+    site.send(("a", 12, 1), ("b", 9, 2), ("c", None, 3))
+    site.send(("a", 3, 4))
+    query = fan(site)
+    read = [p["numInputRows"] for p in query.recentProgress]
+    assert sum(read) == 4  # each message once, not once per result
+    assert result(site, "raw").count() == 4
+    assert rows(result(site, "low_stock"), "station_id", "parking_count") == [("a", 3), ("b", 9)]
+    got = rows(result(site, "rule"), "station_id", "predicted_count")
+    assert got == [("a", 10), ("a", 2), ("b", 7), ("c", None)]
+
+
+def test_a_batch_that_failed_half_way_writes_only_what_was_missing(site):
+    def broken(decoded):
+        raise RuntimeError("sink down")
+
+    site.send(("a", 12, 1))
+    with pytest.raises(Exception, match="sink down"):
+        fan(site, {**jobs.RESULTS, "rule": broken})
+    assert [result(site, n).count() for n in jobs.RESULTS] == [1, 1 - 1, 0]
+    before = result(site, "raw").inputFiles()
+    fan(site)
+    assert result(site, "raw").inputFiles() == before
+    assert [result(site, n).count() for n in jobs.RESULTS] == [1, 0, 1]
+
+
+def test_rows_of_an_attempt_without_a_mark_are_not_read(site):
+    site.send(("a", 12, 1))
+    fan(site)
+    torn = site.folder / "fan" / "rows" / "raw" / "batch=other-1"
+    result(site, "raw").write.parquet(str(torn))
+    (torn / "_SUCCESS").unlink()
+    assert result(site, "raw").count() == 1
+
+
+def test_kept_statistics_follow_the_state(site):
+    assert tuple(site.store.stats().first()) == (0, 0, 0.0, 0.0, 0)
+    for second, sent in enumerate(([("a", 9), ("b", 2)], [("a", 1)], [("c", 0), ("b", 30)])):
+        site.send(*[(station, count, second) for station, count in sent])
+        site.run()
+        scanned = fleet_stats(site.store.current()).first()
+        assert site.store.stats().first() == scanned
+    assert tuple(scanned) == (3, 31, 10.3, 31 / 3, 2)
+    assert not site.store.stats().inputFiles()  # no file of the state is read
+
+
+def test_statistics_of_a_state_without_kept_totals_are_scanned(site):
+    site.send(("a", 9, 0), ("b", 2, 0))
+    site.run()
+    for path in (site.folder / "state" / "manifests").glob("0*.json"):
+        old = json.loads(path.read_text())
+        del old["totals"]
+        path.write_text(json.dumps(old))
+    for crc in (site.folder / "state" / "manifests").glob(".*.crc"):
+        crc.unlink()
+    assert tuple(site.store.stats().first())[:2] == (2, 11)
+    site.send(("a", 1, 5))
+    site.run()
+    assert tuple(site.store.stats().first())[:2] == (2, 3)
