@@ -8,7 +8,7 @@ from dockpulse import jobs
 from dockpulse.operators.forecast import load_model
 from dockpulse.session import build_session
 from dockpulse.sources.observations import decode_json, read_observations
-from dockpulse.streaming.jobs import plain_streams, station_job
+from dockpulse.streaming.jobs import fan_out, plain_streams, station_job
 
 
 SHOWN = 20
@@ -33,6 +33,8 @@ def parser() -> argparse.ArgumentParser:
     kept = ("state", "observations", "checkpoint")
     add("stream", *kept, model=None, order="event", **source, **pace)
     add("plain", **source, **pace)
+    add("results", "out", "checkpoint", **source, **pace)
+    add("compact", "state", "observations", before=None)
     add("snapshot", "state", "out")
     add("merge", "snapshots", "out")
     add("train", "snapshots", "model", split="hash")
@@ -80,6 +82,11 @@ def run(spark, args) -> None:
         started = plain_streams(decoded, trigger=trigger)
         for query in started.values():
             query.awaitTermination()
+    elif args.job == "results":
+        fan_out(messages(spark, args), args.out, args.checkpoint, trigger).awaitTermination()
+    elif args.job == "compact":
+        days = jobs.compact(spark, args.state, args.observations, args.before)
+        print(f"{len(days)} days compacted")
     elif args.job == "snapshot":
         jobs.collect_snapshot(spark, args.state, args.out)
     elif args.job == "merge":

@@ -19,6 +19,7 @@ from dockpulse.session import stage
 from dockpulse.sources.feeds import explode_feed, read_feed
 from dockpulse.sources.observations import encode_json, keyed_json, with_event_order
 from dockpulse.sources.snapshots import read_snapshots, write_snapshot_csv
+from dockpulse.streaming.compact import Compactor
 from dockpulse.streaming.jobs import build_query
 from dockpulse.streaming.store import StationStore
 
@@ -104,5 +105,12 @@ def station(spark: SparkSession, state: str, station_id: str) -> DataFrame:
     return serving.station_change(serving.listed(StationStore(spark, state).station(station_id)))
 
 
+def compact(
+    spark: SparkSession, state: str, observations: str, before: str | None = None
+) -> list[str]:
+    """Rewrite the scored observations of the days before ``before`` into few files; those days."""
+    return Compactor(spark, observations).run(StationStore(spark, state), before)
+
+
 def stats(spark: SparkSession, state: str) -> DataFrame:
     return StationStore(spark, state).stats()

@@ -19,6 +19,7 @@ from dockpulse.sources.warehouse import (
     table_stream,
 )
 from dockpulse.streaming import jobs
+from dockpulse.streaming.compact import Compactor
 from dockpulse.streaming.store import StationStore
 from dockpulse.streaming.upsert import read_scored
 
@@ -43,8 +44,8 @@ def run_station_job(spark, sf_dir):
     return folder
 
 
-def run_in_slices(spark, sf_dir, slices=3, timeout=None):
-    """The events sent in slices of time; the job runs after each, over one checkpoint."""
+def run_in_slices(spark, sf_dir, slices=3, timeout=None, after=None):
+    """The events sent in slices of time; the job runs after each, over one checkpoint, and then ``after``."""
     folder = shared_path(spark, "slices")
     events = table(spark, sf_dir, "events")
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
@@ -63,6 +64,8 @@ def run_in_slices(spark, sf_dir, slices=3, timeout=None):
             trigger=None,
             timeout=timeout,
         ).awaitTermination()
+        if after:
+            after(folder)
     return folder
 
 
@@ -92,6 +95,17 @@ def stream_carried_history(spark, sf_dir):
     return scored_columns(read_scored(spark, f"{run_in_slices(spark, sf_dir)}/observations"))
 
 
+@query(SCORED)
+def stream_compacted_observations(spark, sf_dir):
+    """The same after compaction: first of every day, then of the days that a later run added rows to."""
+    def compacted(folder):
+        store = StationStore(spark, f"{folder}/state")
+        Compactor(spark, f"{folder}/observations").run(store, least=1)
+
+    folder = run_in_slices(spark, sf_dir, after=compacted)
+    return scored_columns(read_scored(spark, f"{folder}/observations"))
+
+
 SILENT = timedelta(hours=4)
 _AFTER_GAPS = SERVE.split(", back AS")[1].replace("PARTITION BY station_id", "PARTITION BY station_id, part")
 

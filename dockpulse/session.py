@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
@@ -105,3 +106,37 @@ def hadoop_path(spark: SparkSession, path: str):
 def delete_path(spark: SparkSession, path: str) -> None:
     found, fs = hadoop_path(spark, path)
     fs.delete(found, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, such as a manifest, whole."""
+    found, fs = hadoop_path(spark, path)
+    stream = fs.open(found)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file unless it is there; whether it was created.
+
+    The file appears whole: it is written beside its place and then put there.
+    """
+    target, fs = hadoop_path(spark, path)
+    draft, _ = hadoop_path(spark, f"{target.getParent().toString()}/_{uuid.uuid4().hex}")
+    fs.mkdirs(target.getParent())
+    stream = fs.create(draft, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    try:
+        if fs.getScheme() == "file":  # a local rename would replace what is there
+            os.link(draft.toUri().getPath(), target.toUri().getPath())
+            return True
+        return fs.rename(draft, target)
+    except FileExistsError:
+        return False
+    finally:
+        fs.delete(draft, False)

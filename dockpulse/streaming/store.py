@@ -16,7 +16,6 @@ The newest ``KEEP`` manifests and what they name stay, for readers under way.
 from __future__ import annotations
 
 import json
-import os
 import uuid
 from collections.abc import Callable, Iterable
 
@@ -26,7 +25,7 @@ from pyspark.sql import types as T
 
 from dockpulse.operators.serving import fleet_totals, stats_of
 from dockpulse.schemas import OBSERVATION
-from dockpulse.session import delete_path, hadoop_path
+from dockpulse.session import create_once, delete_path, hadoop_path, read_text
 
 STATE = T.StructType(
     [
@@ -67,13 +66,7 @@ class StationStore:
             if not known:
                 return {"number": -1, "buckets": self.buckets, "folders": {}, "done": {}, "totals": {}}
             number = known[-1]
-        found, fs = hadoop_path(self.spark, self._manifest_path(number))
-        stream = fs.open(found)
-        try:
-            text = bytes(stream.readAllBytes())
-        finally:
-            stream.close()
-        return json.loads(text)
+        return json.loads(read_text(self.spark, self._manifest_path(number)))
 
     def holds(self, query: str, batch: int) -> bool:
         return self.manifest()["done"].get(query, -1) >= batch
@@ -152,7 +145,7 @@ class StationStore:
                 "done": {**seen["done"], query: batch},
                 "totals": {**seen.get("totals", {}), **self._totals(folder, there)},
             }
-            if self._publish(done):
+            if create_once(self.spark, self._manifest_path(done["number"]), json.dumps(done)):
                 self._forget()
                 return
             delete_path(self.spark, f"{self.path}/data/{folder}")
@@ -171,26 +164,6 @@ class StationStore:
     def _manifest_path(self, number: int) -> str:
         return f"{self.path}/manifests/{number:012d}.json"
 
-    def _publish(self, manifest: dict) -> bool:
-        """Whether the number was free. The file appears whole: it is written beside and then put in place."""
-        target, fs = hadoop_path(self.spark, self._manifest_path(manifest["number"]))
-        draft, _ = hadoop_path(self.spark, f"{self.path}/manifests/_{uuid.uuid4().hex}")
-        fs.mkdirs(target.getParent())
-        stream = fs.create(draft, False)
-        try:
-            stream.write(json.dumps(manifest).encode())
-        finally:
-            stream.close()
-        try:
-            if fs.getScheme() == "file":  # a local rename would replace what is there
-                os.link(draft.toUri().getPath(), target.toUri().getPath())
-                return True
-            return fs.rename(draft, target)
-        except FileExistsError:
-            return False
-        finally:
-            fs.delete(draft, False)
-
     def _forget(self) -> None:
         """Remove manifests before the newest ``KEEP``, and folders that only these name."""
         numbers = self.versions()

@@ -25,6 +25,7 @@ from dockpulse.operators.series import previous_counts, serve_columns
 from dockpulse.schemas import HISTORY_DEPTH, OBSERVATION
 from dockpulse.session import dropping_stages, hadoop_path
 from dockpulse.sources.observations import with_event_order
+from dockpulse.streaming.compact import Compactor
 from dockpulse.streaming.store import BUCKETS, STATE, StationStore
 
 ORDER = ("observed_at", "seq")
@@ -192,11 +193,16 @@ def merge_state(
 
 
 def read_scored(spark, obs_path: str, day: str | None = None) -> DataFrame:
-    """Scored observations so far; with ``day`` only that day's folder is listed and read.
+    """Scored observations so far; with ``day`` only that day's folders are listed and read.
 
-    Before the first row is written the table is empty.
+    Each row is read once, whether its day is compacted or not. Before the first row is written the
+    table is empty.
     """
+    compactor = Compactor(spark, obs_path)
     found, fs = hadoop_path(spark, obs_path)
+    if fs.exists(found) and compactor.manifest()["days"]:
+        rows = compactor.read(day)
+        return compactor.read().where(F.lit(False)) if rows is None else rows
     if not fs.exists(found):
         nothing = spark.createDataFrame([], StructType([*OBSERVATION.fields]))
         rows = with_event_order(numbered(nothing))

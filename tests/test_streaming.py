@@ -25,8 +25,9 @@ from dockpulse.sources.observations import (
 from dockpulse.streaming import jobs
 from dockpulse import jobs as run_jobs
 from dockpulse.streaming import store as store_module
+from dockpulse.streaming.compact import Compactor
 from dockpulse.streaming.store import StationStore
-from dockpulse.streaming.upsert import read_scored, upsert_batch
+from dockpulse.streaming.upsert import append_scored, read_scored, upsert_batch
 
 SERIES = [c for c in FEATURE_COLS if c.startswith("parking_count_")]
 
@@ -519,3 +520,63 @@ def test_statistics_of_a_state_without_kept_totals_are_scanned(site):
     site.send(("a", 1, 5))
     site.run()
     assert tuple(site.store.stats().first())[:2] == (2, 3)
+
+
+def compacted(site, **options):
+    return Compactor(site.spark, str(site.folder / "obs")).run(site.store, **options)
+
+
+def loose(site):
+    return sorted(p.name for p in (site.folder / "obs").glob("day=*/batch=*"))
+
+
+def test_compacted_days_hold_every_row_once(spark, site):
+    for second in range(3):
+        site.send(("a", second, second), ("b", second, second), ("a", 9, 86400 + second))
+    site.run()
+    cols = ["station_id", "observed_at", "parking_count", *SERIES, "batch"]
+    before = rows(site.scored(), *cols)
+    under_way = site.scored()  # planned before the run, read after it
+    assert compacted(site, before="2025-12-27") == ["2025-12-26"]
+    assert rows(site.scored(), *cols) == before == rows(under_way, *cols)
+    assert len(read_scored(spark, str(site.folder / "obs"), "2025-12-26").inputFiles()) == 1
+    assert read_scored(spark, str(site.folder / "obs"), "2026-01-01").count() == 0
+    site.send(("a", 5, 10), ("b", 5, 11))  # late rows for the closed day
+    site.send(("a", 6, 12))
+    site.run()
+    later = rows(site.scored(), *cols)
+    assert len(later) == len(before) + 3
+    assert compacted(site) == ["2025-12-26", "2025-12-27"]
+    assert rows(site.scored(), *cols) == later
+    assert compacted(site) == []  # takes away what is no longer needed
+    assert loose(site) == []
+    assert rows(site.scored(), *cols) == later and len(site.scored().inputFiles()) == 2
+    assert site.scored().select("day").distinct().count() == 2
+
+
+def test_batches_without_state_are_not_compacted(spark, site):
+    """They may be run again, and would then stand beside their compacted rows."""
+    site.send(("a", 1, 0))
+    site.send(("a", 2, 1))
+    site.run()
+    rows_in = site.scored().drop("day", "batch")
+    append_scored(rows_in, str(site.folder / "obs"), "other-0")
+    assert compacted(site) == ["2025-12-26"]
+    append_scored(rows_in, str(site.folder / "obs"), "other-0")
+    assert site.scored().groupBy("batch").count().where("count > 0").count() == 3
+    assert site.scored().count() == 4
+    compacted(site)
+    assert loose(site) == ["batch=other-0"]
+
+
+def test_of_two_compactions_one_gives_up(spark, site, monkeypatch):
+    site.send(("a", 1, 0))
+    site.send(("a", 2, 1))
+    site.run()
+    slower = Compactor(spark, str(site.folder / "obs"))
+    seen = slower.manifest()
+    assert compacted(site) == ["2025-12-26"]
+    monkeypatch.setattr(slower, "manifest", lambda: seen)
+    assert slower.run(site.store) == []
+    assert site.scored().count() == 2
+    assert len(list((site.folder / "obs" / "_compact").glob("day=*/run=*"))) == 1
