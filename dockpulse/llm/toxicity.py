@@ -49,6 +49,7 @@ LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòó
 EDGE, OTHER = 0, 1
 CLASS_OF = {c: i + 2 for i, c in enumerate(LETTERS)}
 CLASSES = len(LETTERS) + 2
+PAIRS, START = CLASSES**2, EDGE * CLASSES + EDGE
 CODES = np.full(0x181, OTHER, np.int32)  # by code point; the last cell stands for all beyond
 for _c, _i in CLASS_OF.items():
     CODES[ord(_c)] = _i
@@ -86,29 +87,41 @@ class CharModel:
 
     @cached_property
     def rows(self) -> list:
-        return self.log.tolist()  # plain numbers are much faster to look up one by one
+        return self.log.ravel().tolist()  # plain numbers are much faster to look up one by one
 
     def restore(self, token: str) -> str:
-        """The likeliest reading of a lower-case token; what is no letter becomes a space."""
+        """The likeliest reading of a lower-case token; what is no letter becomes a space.
+
+        A state is the last two classes, as one number.
+        """
         log = self.rows
-        states = {(EDGE, EDGE): (0.0, None)}
+        states = {START: (0.0, None)}
         before = ""
         for i, c in enumerate(token):
             again, before = c == before, c
             hidden = c == "*" and i > 0 and token[i - 1].isalpha() and token[i + 1 : i + 2].isalpha()
             options = readings(c, again, hidden)
-            reached: dict[tuple[int, int], tuple] = {}
-            for (a, b), (score, trail) in states.items():
+            if len(options) == len(states) == 1:  # a plain letter after plain letters
+                ((pair, (score, trail)),) = states.items()
+                ((k, cost, letter),) = options
+                value = score + cost + log[pair * CLASSES + k]
+                states = {pair * CLASSES % PAIRS + k: (value, (trail, letter))}
+                continue
+            reached: dict[int, tuple] = {}
+            for pair, (score, trail) in states.items():
+                past = pair * CLASSES
                 for k, cost, letter in options:
                     if k is None:
-                        state, value, made = (a, b), score + cost, trail
+                        state, value, made = pair, score + cost, trail
                     else:
-                        state, value = (b, k), score + cost + log[a][b][k]
+                        state = past % PAIRS + k
+                        value = score + cost + log[past + k]
                         made = (trail, letter)
-                    if state not in reached or value > reached[state][0]:
+                    held = reached.get(state)
+                    if held is None or value > held[0]:
                         reached[state] = (value, made)
             states = reached
-        _, trail = max(((s + log[a][b][EDGE], t) for (a, b), (s, t) in states.items()), key=first)
+        _, trail = max(((s + log[p * CLASSES + EDGE], t) for p, (s, t) in states.items()), key=first)
         letters = []
         while trail is not None:
             trail, letter = trail
@@ -233,20 +246,33 @@ def training_sample(
     return stage(one.select("text", "label"), "labelled")
 
 
-def choose_features(sample: DataFrame, model, most: int = MOST_FEATURES) -> list[int]:
-    """Word beginnings that stand in more toxic documents than chance would have it."""
+def sample_features(sample: DataFrame, model) -> DataFrame:
+    """The features of each text of the sample, read once for choosing and for fitting."""
 
     def run(batches):
         reader = Reader(model.value)
-        counts = np.zeros((2, 1 << FEATURE_BITS), np.int64)
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(2)]
-            for text, label in zip(*columns, strict=True):
-                found = np.fromiter(reader.of_text(text), np.int64)
-                counts[0, found] += 1
-                counts[1, found] += label
+            found = [list(reader.of_text(t)) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.list_(pa.int32())), batch.column(1)], names=["found", "label"]
+            )
         del reader
         release_memory()
+
+    return stage(sample.mapInArrow(run, "found array<int>, label int"), "features")
+
+
+def choose_features(sample: DataFrame, most: int = MOST_FEATURES) -> list[int]:
+    """Word beginnings that stand in more toxic documents than chance would have it."""
+
+    def run(batches):
+        counts = np.zeros((2, 1 << FEATURE_BITS), np.int64)
+        for batch in batches:
+            lists, labels = batch.column(0), batch.column(1).to_numpy()
+            found = lists.flatten().to_numpy()
+            marks = np.repeat(labels, lists.value_lengths().to_numpy()) == 1
+            np.add(counts[0], np.bincount(found, minlength=1 << FEATURE_BITS), out=counts[0])
+            np.add(counts[1], np.bincount(found[marks], minlength=1 << FEATURE_BITS), out=counts[1])
         ids = np.flatnonzero(counts[0])
         values = [ids, counts[0, ids], counts[1, ids]]
         yield pa.RecordBatch.from_arrays(
@@ -296,15 +322,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column) -> Toxicity
     """``usable`` says of a row of ``labels`` whether it may be learned from."""
     spark = docs.sparkSession
     model = CharModel(*char_counts(docs))
-    sample = training_sample(docs, labels, usable)
     shared = spark.sparkContext.broadcast(model)
-    features = choose_features(sample, shared)
-    chosen = {f: i for i, f in enumerate(features)}
+    sample = sample_features(training_sample(docs, labels, usable), shared)
+    features = choose_features(sample)
+    places = np.full(1 << FEATURE_BITS, -1, np.int32)
+    places[features] = np.arange(len(features), dtype=np.int32)
 
     def run(batches):
-        reader = Reader(shared.value, chosen)
         for batch in batches:
-            found = [sorted(reader.of_text(t)) for t in batch.column(0).to_pylist()]
+            found = [np.sort(places[np.array(r, np.int64)]) for r in batch.column(0).to_pylist()]
+            found = [r[r >= 0] for r in found]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.list_(pa.int32())), batch.column(1)], names=["found", "label"]
             )
