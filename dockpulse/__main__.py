@@ -37,7 +37,7 @@ def parser() -> argparse.ArgumentParser:
     add("compact", "state", "observations", before=None)
     add("snapshot", "state", "out")
     add("merge", "snapshots", "out")
-    add("train", "snapshots", "model", split="hash")
+    add("train", "snapshots", "model", split="hash", draw="node")
     add("stations", "state", search="", out=None)
     add("station", "state", "id")
     add("stats", "state")
@@ -92,7 +92,7 @@ def run(spark, args) -> None:
     elif args.job == "merge":
         jobs.merge_files(spark, args.snapshots, args.out)
     elif args.job == "train":
-        done = jobs.train(spark, args.snapshots, args.model, args.split)
+        done = jobs.train(spark, args.snapshots, args.model, args.split, args.draw)
         for report in (done.metrics, done.comparison, done.importances, done.rounds):
             report.show(report.count(), truncate=False)  # one row per part, feature or round
     elif args.job == "stations":

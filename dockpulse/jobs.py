@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dockpulse.functions.calendar import calendar_features
 from dockpulse.functions.scalars import change_badges, format_time
-from dockpulse.operators import forecast, serving
+from dockpulse.operators import boosting, forecast, serving
 from dockpulse.operators.clean import clean, dedupe_first, merge_snapshots
 from dockpulse.operators.latest import snapshot_features
 from dockpulse.operators.series import ts_features
@@ -57,9 +57,18 @@ class Trained(NamedTuple):
 
 
 def train(
-    spark: SparkSession, glob: str, model_path: str, split: str = "hash", **trees
+    spark: SparkSession,
+    glob: str,
+    model_path: str,
+    split: str = "hash",
+    draw: str = "node",
+    **trees,
 ) -> Trained:
-    """Fit and save a forecast from snapshot files; errors of both parts, also by round."""
+    """Fit and save a forecast from snapshot files; errors of both parts, also by round.
+
+    Columns are drawn for each ``node`` (Spark's own boosting), or for each ``tree`` (``fit_boosted``, which
+    also penalises leaves and stops early). ``trees`` are the settings of either.
+    """
     files = read_snapshots(spark, glob).select("station_id", "timestamp", "parking_count")
     seen = dedupe_first(clean(files), ["station_id", "timestamp"], ["parking_count"])
     seen = stage(seen, "snapshots")  # the texts are read once, not once per pass below
@@ -71,7 +80,12 @@ def train(
     parts = forecast.training_split(
         rows, ["station_id", "observed_at"], by=split, target_at="target_at"
     )
-    model = forecast.fit_forecaster(parts[0], **trees)
+    if draw == "tree":
+        model, by_round = boosting.fit_boosted(*parts, **trees)
+    elif draw == "node":
+        model, by_round = forecast.fit_forecaster(parts[0], **trees), None
+    else:
+        raise ValueError(f"draw must be 'node' or 'tree', not {draw!r}")
     forecast.save_model(model, model_path)
     errors = [
         forecast.model_metrics(model.transform(part)).withColumn("part", F.lit(name))
@@ -82,17 +96,26 @@ def train(
         errors[0].unionByName(errors[1]),
         forecast.baseline_compare(model.transform(parts[1])),
         forecast.importances(model),
-        spark.createDataFrame(
-            [
-                (name, i, error)
-                for name, part in zip(("train", "test"), parts)
-                for i, error in forecast.error_by_round(model, part)
-            ],
-            "part string, round int, rmse double",
-        ),
+        _node_rounds(spark, model, parts) if by_round is None else _tree_rounds(by_round),
     )
 
 
+def _node_rounds(spark: SparkSession, model: PipelineModel, parts: tuple) -> DataFrame:
+    return spark.createDataFrame(
+        [
+            (name, i, error)
+            for name, part in zip(("train", "test"), parts)
+            for i, error in forecast.error_by_round(model, part)
+        ],
+        "part string, round int, rmse double",
+    )
+
+
+def _tree_rounds(rounds: DataFrame) -> DataFrame:
+    pairs = [F.struct(F.lit(p).alias("part"), "round", F.col(f"{p}_rmse").alias("rmse")) for p in ("train", "test")]
+    return rounds.select(F.inline(F.array(*pairs)))
+
+
 def stations(spark: SparkSession, state: str, text: str = "") -> DataFrame:
     """Every station with its forecast, change and labels; ``text`` searches the names."""
     listed = serving.listed(StationStore(spark, state).read())

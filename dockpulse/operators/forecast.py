@@ -6,12 +6,13 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockpulse.functions.scalars import rule_count
+from dockpulse.operators.boosting import TARGET, boosted_importances
 from dockpulse.schemas import FEATURE_COLS, LABEL, MODEL_TAG, RULE_FACTOR, RULE_TAG
 from dockpulse.session import shared_dir
 
@@ -141,8 +142,8 @@ def score_with_fallback(
     rule = rule_count(value, factor)
     if model is None:
         return df.withColumns({"predicted_count": rule, "model": F.lit(RULE_TAG)})
-    assemble, trees = model.stages[0], model.stages[-1]
-    out = trees.getPredictionCol()
+    assemble, last = model.stages[0], model.stages[-1]
+    out = TARGET if isinstance(last, SQLTransformer) else last.getPredictionCol()
     missing = F.lit(False)
     kinds = dict(df.dtypes)
     for name in assemble.getInputCols():
@@ -205,7 +206,10 @@ def importances(model: PipelineModel, k: int | None = None) -> DataFrame:
     """Features by importance, highest first; a table as long as the feature list."""
     spark = SparkSession.active()
     names = model.stages[0].getInputCols()
-    values = model.stages[-1].featureImportances.toArray().tolist()
+    if isinstance(model.stages[-1], SQLTransformer):
+        values = boosted_importances(model)
+    else:
+        values = model.stages[-1].featureImportances.toArray().tolist()
     table = spark.createDataFrame(list(zip(names, values)), "feature string, importance double")
     ranked = table.orderBy(F.desc("importance"), "feature")
     return ranked if k is None else ranked.limit(k)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from dockpulse.functions.calendar import calendar_features
 from dockpulse.functions.scalars import rule_count
-from dockpulse.operators import forecast
+from dockpulse.operators import boosting, forecast
 from dockpulse.operators.series import ts_features
 from dockpulse.plans.registry import CALENDAR, RULE, query
 from dockpulse.plans.stations import SERIES_COLS, TRAIN
@@ -190,3 +190,60 @@ def importance_check(spark, sf_dir):
         F.every(F.col("importance").between(0, 1)).alias("all_shares"),
         F.round(F.sum("importance"), 6).alias("total"),
     )
+
+
+def boosted(spark, sf_dir):
+    """Trees with columns of their own on the earlier part of the period, the errors by round, and the later part.
+
+    Fitted once for each folder of tables in a session.
+    """
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _BOOSTED:
+        rows = training_rows(spark, sf_dir, target_time=True)
+        rows = stage(rows.select("seq", "observed_at", "target_at", *FEATURE_COLS, LABEL), "training")
+        train, test = forecast.training_split(rows, ["observed_at"], by="time", target_at="target_at")
+        fit = boosting.fit_boosted(train, test, patience=5)
+        scored = forecast.score_with_fallback(fit.model, test)
+        _BOOSTED[known] = stage(fit.rounds.coalesce(1), "rounds"), stage(scored, "scored")
+    return _BOOSTED[known]
+
+
+_BOOSTED: dict[tuple[str, str], tuple] = {}
+
+
+@query()
+def boosting_rounds(spark, sf_dir):
+    """Errors on both parts after every round, and which rounds the model keeps."""
+    return boosted(spark, sf_dir)[0]
+
+
+@query(
+    f"""WITH {TRAIN}, span AS (
+      SELECT epoch_us(min(observed_at)) AS lo, epoch_us(max(observed_at)) AS hi FROM train),
+    test AS (
+      SELECT target, parking_count FROM train, span WHERE epoch_us(observed_at) >
+        CAST(trunc(hi - (hi - lo) * CAST(0.2 AS DOUBLE)) AS BIGINT))
+    SELECT count(*) AS n, round(avg(abs(target - {RULE})), 6) AS rule_mae,
+      round(avg(abs(target - parking_count)), 6) AS persistence_mae,
+      TRUE AS beats_both, TRUE AS best_round_kept, TRUE AS all_by_model
+    FROM test"""
+)
+def boosting_evaluation(spark, sf_dir):
+    """The model has less error than the rule and than "no change", and ends with its best round."""
+    rounds, scored = boosted(spark, sf_dir)
+    actual, now = F.col(LABEL), F.col("parking_count")
+    rule, same = F.avg(F.abs(actual - rule_count("parking_count"))), F.avg(F.abs(actual - now))
+    model = F.avg(F.abs(actual - F.col("predicted_count")))
+    best = rounds.agg(
+        (F.max(F.when(F.col("kept"), F.col("round"))) == F.min_by("round", F.struct("test_rmse", "round"))).alias(
+            "best_round_kept"
+        )
+    )
+    errors = scored.agg(
+        F.count("*").alias("n"),
+        F.round(rule, 6).alias("rule_mae"),
+        F.round(same, 6).alias("persistence_mae"),
+        ((model < rule) & (model < same)).alias("beats_both"),
+        F.every(F.col("model") == MODEL_TAG).alias("all_by_model"),
+    )
+    return errors.withColumn("best_round_kept", F.lit(best.first()[0]))

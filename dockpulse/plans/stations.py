@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockpulse.functions import calendar, scalars
 from dockpulse.operators import clean, latest, series, serving
+from dockpulse.operators.names import NameIndex
 from dockpulse.plans.registry import CALENDAR, ISO, OBS, RULE, TEXT_ID, query
 from dockpulse.schemas import LOW_STOCK, RULE_TAG
-from dockpulse.session import using
+from dockpulse.session import shared_path, using
 from dockpulse.sources.warehouse import as_messages, as_observations, clean_events, observations
 from dockpulse.streaming import jobs
 
@@ -292,3 +296,20 @@ def station_two_sides(spark, sf_dir):
     ahead = scalars.rule_prediction(made).withColumn("model", F.lit(RULE_TAG))
     found = serving.station_change(serving.station_list(current, ahead))
     return found.withColumn("station_id", F.col("station_id").cast("string"))
+
+
+SEARCHED = ["OCK 12", "k 3", "7", "no such dock"]
+
+
+@query(
+    f"""WITH {LATEST}
+    SELECT text, station_id, station_name, parking_count
+    FROM latest, (SELECT unnest({SEARCHED}) AS text)
+    WHERE contains(lower(station_name), lower(text))"""
+)
+def station_search(spark, sf_dir):
+    """Current stations by parts of their names, through an index of the names."""
+    state = current_state(spark, sf_dir).select("station_id", "station_name", "parking_count")
+    index = NameIndex.build(state, shared_path(spark, "names"), ["station_id"])
+    parts = [index.search(text).select(F.lit(text).alias("text"), "*") for text in SEARCHED]
+    return reduce(DataFrame.unionByName, parts)

@@ -5,11 +5,17 @@ from __future__ import annotations
 from datetime import timedelta
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from dockpulse.functions.scalars import parse_timestamp
+from dockpulse.operators import forecast
+from dockpulse.operators.clean import dedupe_stream
+from dockpulse.plans.forecasting import training_rows
 from dockpulse.plans.ingest import WIRE
 from dockpulse.plans.registry import ISO, RAW, RULE, TEXT_ID, query
 from dockpulse.plans.stations import LATEST, SERIES_COLS, SERIES_NAMES, SERVE, STATS, W
-from dockpulse.session import shared_path
+from dockpulse.schemas import MODEL_TAG
+from dockpulse.session import shared_path, stage
 from dockpulse.sources import observations as messages
 from dockpulse.sources.warehouse import (
     as_messages,
@@ -194,3 +200,76 @@ def stream_three_results(spark, sf_dir):
 def stream_fleet_stats(spark, sf_dir):
     """The statistics that three runs of the job kept beside the state; the state is not scanned for them."""
     return StationStore(spark, f"{run_in_slices(spark, sf_dir)}/state").stats()
+
+
+_UNTIMED = SERVE.replace(
+    "ts AS observed_at", "CASE WHEN event_type <> 'error' THEN ts END AS observed_at"
+).replace("ORDER BY observed_at, seq", "ORDER BY observed_at NULLS FIRST, seq")
+
+
+@query(
+    f"""WITH {_UNTIMED}
+    SELECT {TEXT_ID}, seq, parking_count, {SERIES_COLS}, history,
+      CASE WHEN event_type = 'error' THEN 'simple' ELSE 'xgboost' END AS model,
+      CASE WHEN event_type = 'error' THEN {RULE} END AS rule_count, TRUE AS as_in_batch
+    FROM serve"""
+)
+def stream_model_fallback(spark, sf_dir):
+    """A stream with a fitted model. Messages of ``error`` events have no readable time: they get the rule.
+
+    ``as_in_batch``: the model gives the same forecast for the stored features outside the stream.
+    """
+    folder = shared_path(spark, "scored-by-model")
+    model = forecast.fit_forecaster(stage(training_rows(spark, sf_dir), "training"), maxIter=10)
+    rows = as_messages(observation_stream(spark, sf_dir, extra=["event_type"]))
+    time = F.when(F.col("event_type") == "error", "at noon").otherwise(F.col("timestamp"))
+    sent = rows.withColumn("timestamp", time).select(messages.json_text(WIRE).alias("value"), "seq")
+    jobs.station_job(
+        messages.decode_json(sent),
+        state_path=f"{folder}/state",
+        obs_path=f"{folder}/observations",
+        checkpoint=f"{folder}/checkpoint",
+        model=model,
+        trigger=None,
+    ).awaitTermination()
+    scored = read_scored(spark, f"{folder}/observations")
+    scored = scored.withColumns({"streamed": F.col("predicted_count"), "tag": F.col("model")})
+    again = forecast.score_with_fallback(model, scored.drop("predicted_count", "model"))
+    same = F.col("predicted_count").eqNullSafe(F.col("streamed")) & (F.col("model") == F.col("tag"))
+    return again.select(
+        "station_id",
+        "seq",
+        "parking_count",
+        *SERIES_NAMES,
+        F.array_join("history", ",").alias("history"),
+        F.col("tag").alias("model"),
+        F.when(F.col("tag") != MODEL_TAG, F.col("streamed")).alias("rule_count"),
+        same.alias("as_in_batch"),
+    )
+
+
+@query(f"WITH {RAW} SELECT {TEXT_ID}, seq, parking_count FROM raw")
+def stream_deduplicated(spark, sf_dir, slices=3):
+    """Each event once, from slices of time that repeat all that came before and their own; a restart after each."""
+    folder = shared_path(spark, "once")
+    events = table(spark, sf_dir, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    rows = as_messages(as_observations(events))
+    sent = rows.select(messages.json_text([*WIRE, "seq"]).alias("value"), "observed_at")
+    layout = "station_id string, parking_count int, timestamp string, seq long"
+    for i in range(slices if first else 0):
+        part = sent.where(F.col("observed_at") <= first + (last - first) * (i + 1) / slices).drop("observed_at")
+        part.unionByName(part).write.mode("append").parquet(f"{folder}/messages")
+        decoded = messages.decode_json(
+            table_stream(spark, f"{folder}/messages"), T._parse_datatype_string(layout)
+        )
+        timed = decoded.withColumn("at", parse_timestamp("timestamp").cast("timestamp"))
+        once = dedupe_stream(timed, ["seq"], "at", f"{(last - first).days + 2} days")
+        jobs.build_query(
+            once.select("station_id", "seq", "parking_count"),
+            "parquet",
+            None,
+            f"{folder}/checkpoint",
+            path=f"{folder}/rows",
+        ).awaitTermination()
+    return spark.read.schema("station_id string, seq long, parking_count int").parquet(f"{folder}/rows")

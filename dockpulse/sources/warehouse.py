@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,10 +41,12 @@ def as_observations(events: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def observation_stream(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    """``events`` as a stream, ``maxFilesPerTrigger`` files of the table at a time."""
+def observation_stream(
+    spark: SparkSession, sf_dir: str, extra: Sequence[str] = (), **options
+) -> DataFrame:
+    """``events`` as a stream, ``maxFilesPerTrigger`` files of the table at a time, with ``extra`` columns."""
     events = table_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", **options)
-    return as_observations(events)
+    return as_observations(events, *extra)
 
 
 def table_stream(spark: SparkSession, path: str, **options) -> DataFrame:

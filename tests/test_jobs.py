@@ -122,3 +122,19 @@ def test_rounds_of_both_parts(spark, tmp_path):
     assert {r["part"] for r in done.rounds.collect()} == {"train", "test"}
     # Seven rows a station remain; the two whose target lies in the tested part are on neither side.
     assert sum(r["n"] for r in done.metrics.collect()) == 25 * 5
+
+
+def test_training_with_columns_drawn_per_tree(spark, tmp_path):
+    for i in range(12):
+        data = [(f"s{k}", f"2025-12-26T{8 + i:02d}:00:00", (3 * k + i) % 17, 8 + i, 4, 0) for k in range(25)]
+        write_snapshot_csv(spark.createDataFrame(data, SNAPSHOT), str(tmp_path / f"snapshot_{i}.csv"))
+    files, kept = str(tmp_path / "snapshot_*.csv"), str(tmp_path / "model")
+    done = jobs.train(spark, files, kept, draw="tree", rounds=3, patience=None)
+    lines = [(r["part"], r["round"]) for r in done.rounds.collect()]
+    assert sorted(lines) == [(p, k) for p in ("test", "train") for k in (1, 2, 3)]
+    last = {r["part"]: r["rmse"] for r in done.rounds.where("round = 3").collect()}
+    for row in done.metrics.collect():
+        assert abs(row["rmse"] - last[row["part"]]) < 1e-9
+    assert len(load_model(kept).stages) == 8
+    with pytest.raises(ValueError):
+        jobs.train(spark, files, kept, draw="leaf")

@@ -17,14 +17,22 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(set(oracle_sql()) - {"gbt_evaluation"}))
+@pytest.mark.parametrize("name", sorted(set(oracle_sql()) - {"gbt_evaluation", "boosting_evaluation"}))
 def test_query_gives_the_rows_of_its_sql(spark, con, name):
     assert compare(spark, con, SF_DIR, name).startswith("ok")
 
 
-def test_the_fitted_model_beats_the_rule(spark):
+@pytest.mark.parametrize("name", ["gbt_evaluation", "boosting_evaluation"])
+def test_the_fitted_model_beats_the_rule(spark, name):
     larger = "/root/testdata/sf0.01"  # a few hundred rows are too few for a hundred trees
-    assert compare(spark, connect(larger), larger, "gbt_evaluation").startswith("ok")
+    assert compare(spark, connect(larger), larger, name).startswith("ok")
+
+
+def test_the_rounds_end_after_the_best_one(spark):
+    lines = queries()["boosting_rounds"](spark, "/root/testdata/sf0.01").orderBy("round").collect()
+    kept = [r for r in lines if r["kept"]]
+    assert kept == lines[: len(kept)] and len(lines) - len(kept) in (0, 5)
+    assert min(r["test_rmse"] for r in lines) == kept[-1]["test_rmse"]
 
 
 def test_every_sql_belongs_to_a_query():
@@ -60,7 +68,7 @@ def unclean(spark, tmp_path_factory):
 
 
 ON_EVENTS = sorted(
-    n for n, sql in oracle_sql().items() if "FROM events" in sql and not n.startswith("gbt_")
+    n for n, sql in oracle_sql().items() if "FROM events" in sql and not n.startswith(("gbt_", "boosting_"))
 )
 
 

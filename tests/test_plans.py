@@ -7,7 +7,7 @@ from dockpulse.plans import QUERIES
 from dockpulse.streaming.store import StationStore
 
 SF_DIR = "/root/testdata/sf0.001"
-PLAIN = sorted(n for n in QUERIES if not n.startswith(("stream_", "gbt_", "top_k_importance", "importance_", "ts_features_split")))
+PLAIN = sorted(n for n in QUERIES if not n.startswith(("stream_", "gbt_", "top_k_importance", "importance_", "ts_features_split", "boosting_")))
 
 
 def plan(df):
