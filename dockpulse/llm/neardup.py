@@ -226,8 +226,9 @@ def bucket_pairs(classes: DataFrame) -> DataFrame:
     return both.groupBy("hub", "node").agg(F.max("flagged").alias("flagged"))
 
 
-def links_beside_hubs(found: DataFrame, percent: int) -> DataFrame:
-    """Links between members of one hub of whom at least one is not linked with it."""
+def links_beside_hubs(found: DataFrame, direct: DataFrame, percent: int) -> DataFrame:
+    """Edges with the components of all links: the ``direct`` ones of hubs, and those between members of one
+    hub of whom at least one is not linked with it."""
     gap, step = 100 - percent, 100 + percent
     slack = F.col("cost") - gap * F.col("size")  # above 0: not linked with the hub
     members = found.where(F.size("delta") > 0).dropDuplicates(["hub", "node"])
@@ -251,9 +252,6 @@ def links_beside_hubs(found: DataFrame, percent: int) -> DataFrame:
         + F.row_number().over(own.orderBy("often", "shingle")),
     )
     ranked = stage(ranked.where("rank <= prefix or (far and rank <= far_prefix)"), "prefixes")
-    left = ranked.where("far and rank <= far_prefix").select("hub", "shingle", F.col("node").alias("x"))
-    right = ranked.where("rank <= prefix").select("hub", "shingle", F.col("node").alias("y"))
-
     def side(name):
         return members.select(
             "hub", "size", F.col("node").alias(name),
@@ -274,18 +272,19 @@ def links_beside_hubs(found: DataFrame, percent: int) -> DataFrame:
     seconds = stage(seconds.agg(F.min_by("node", F.struct("n", "node")).alias("x")), "second-hubs")
     stars = seconds.join(ranked.select(*place, F.col("node").alias("y")), place).where("x <> y")
     near = stage(linked(stars.select("hub", "x", "y").distinct()), "second-links")
-    # who is linked with the second hub of a shingle, the hub itself among them
-    inside = stars.join(near, ["hub", "x", "y"]).select(*place, F.col("y").alias("node"))
-    inside = stage(inside.unionByName(seconds.select(*place, F.col("x").alias("node"))), "second-members")
-
-    def split(side, name):
-        own = inside.withColumnRenamed("node", name)
-        return [side.join(own, [*place, name], how) for how in ("left_semi", "left_anti")]
-
-    (left_in, left_out), (_, right_out) = split(left, "x"), split(right, "y")
-    rest = left_out.join(right, place).unionByName(left_in.join(right_out, place)).where("x <> y")
-    found = near.unionByName(linked(rest.select("hub", "x", "y").distinct()))
-    return found.select(F.col("x").alias("a"), F.col("y").alias("b"))
+    # Two members of one group need not meet any more, and a shingle of a single group is done.
+    groups = components(direct.unionByName(near.select(F.col("x").alias("a"), F.col("y").alias("b"))))
+    ranked = ranked.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    ranked = stage(ranked, "grouped-prefixes")
+    several = ranked.groupBy(*place).agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    ranked = ranked.join(several.where("low <> high").select(*place), place, "left_semi")
+    left = ranked.where("far and rank <= far_prefix")
+    left = left.select(*place, F.col("node").alias("x"), F.col("root").alias("root_x"))
+    right = ranked.where("rank <= prefix")
+    right = right.select(*place, F.col("node").alias("y"), F.col("root").alias("root_y"))
+    rest = left.join(right, place).where("root_x <> root_y").select("hub", "x", "y").distinct()
+    beside = linked(rest).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    return beside.unionByName(groups.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
 
 def forest(edges: DataFrame) -> DataFrame:
@@ -365,8 +364,7 @@ def near_duplicates(
     found = stage(compared(with_text, words, percent), "compared")
     direct = found.where(F.col("cost") <= (100 - percent) * F.col("size"))
     edges = direct.select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    edges = edges.unionByName(links_beside_hubs(found, percent))
-    roots = components(edges)
+    roots = components(links_beside_hubs(found, edges, percent))
     groups = classes.select("node", "check", "first_id").join(roots, "node", "left")
     groups = groups.withColumn("root", F.coalesce("root", "node"))
     firsts = stage(groups.groupBy("root").agg(F.min("first_id").alias("component_id")), "firsts")
