@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from dockpulse.functions.scalars import rule_count
 from dockpulse.operators.boosting import TARGET, boosted_importances
 from dockpulse.schemas import FEATURE_COLS, LABEL, MODEL_TAG, RULE_FACTOR, RULE_TAG
-from dockpulse.session import shared_dir
+from dockpulse.session import dropping_stages, shared_dir, stage, using
 
 # Settings of the boosted trees.
 TREES = {
@@ -108,6 +109,31 @@ def smallest(df: DataFrame, place: Column, bits: int, keys: Sequence[str], share
     return F.struct(place.alias("place"), *[F.col(k) for k in keys]) <= edge
 
 
+DEALT_ROWS = 200_000  # fewer are fitted where they are
+PART_ROWS = 4_000_000
+
+
+@contextmanager
+def dealt(rows: DataFrame) -> Iterator[DataFrame]:
+    """The rows in equal parts, as many for each core, of ``PART_ROWS`` at most.
+
+    The trees read them five times each, and each time lasts as long as the core with most rows. Spark cuts files
+    into parts by bytes: a part more than there are cores doubles the time. Staged, because rows of a lost part must
+    come back in the same order.
+    """
+    spark, n = rows.sparkSession, rows.count()
+    if n < DEALT_ROWS:
+        yield rows
+        return
+    cores = spark.sparkContext.defaultParallelism
+    parts = cores * math.ceil(n / (cores * PART_ROWS))
+    a_file_each = {f"spark.sql.files.{name}": "1t" for name in ("maxPartitionBytes", "openCostInBytes")}
+    with dropping_stages(spark):
+        even = stage(rows.repartition(parts), "dealt")
+        with using(spark, a_file_each):
+            yield even
+
+
 def fit_forecaster(
     train: DataFrame,
     features: Sequence[str] = FEATURE_COLS,
@@ -125,7 +151,8 @@ def fit_forecaster(
         featuresCol="features", labelCol=label, predictionCol=target, **{**TREES, **gbt}
     )
     rows = train.dropna(subset=[*features, label]).select(*features, label)
-    return Pipeline(stages=[assemble, trees]).fit(rows)
+    with dealt(rows) as even:
+        return Pipeline(stages=[assemble, trees]).fit(even)
 
 
 def score_with_fallback(

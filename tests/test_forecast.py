@@ -157,3 +157,31 @@ def test_rows_of_one_place_are_split_by_their_keys(spark):
     rows = spark.range(50).withColumnRenamed("id", "seq")
     mark = forecast.smallest(rows, F.lit(7).cast("long"), 60, ["seq"], 0.1)
     assert sorted(r["seq"] for r in rows.where(mark).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_trees_read_equal_parts(spark, training, monkeypatch):
+    """Also where the rows lie unevenly, with parts of few rows, and without an effect on other reads."""
+    monkeypatch.setattr(forecast, "DEALT_ROWS", 100)
+    lopsided = training.where("seq < 150").coalesce(1).union(training.where("seq >= 150").repartition(8))
+    read, fit = [], forecast.GBTRegressor._fit
+
+    def seen(self, df):
+        read.append(sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("part")).count().collect()))
+        return fit(self, df)
+
+    monkeypatch.setattr(forecast.GBTRegressor, "_fit", seen)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    rows = lopsided.count()
+    for most, parts in ((4_000_000, 4), (rows // 5, 8)):
+        monkeypatch.setattr(forecast, "PART_ROWS", most)
+        model = forecast.fit_forecaster(lopsided, maxIter=2)
+        sizes = read.pop()
+        assert sum(sizes) == rows and len(sizes) == parts
+        assert sizes[-1] - sizes[0] <= 2 * 9  # each source part deals its last round on its own
+        assert forecast.score_with_fallback(model, training).where("model <> 'xgboost'").isEmpty()
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
+def test_few_rows_are_fitted_where_they_are(spark, training):
+    with forecast.dealt(training) as same:
+        assert same is training
