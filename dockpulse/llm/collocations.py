@@ -396,21 +396,25 @@ def screen(docs: DataFrame, least: int, ranges: int) -> tuple[DataFrame, object]
         release_memory()
 
     counted = docs.mapInArrow(count, "lang string, total long, range long, codes binary")
-    counted = stage(counted, "screened")
-    totals = counted.where("lang is not null").groupBy("lang").agg(F.sum("total").alias("total"))
-    dealt = counted.where("range is not null").select("range", "codes").repartition("range").sortWithinPartitions("range")
+    dealt = counted.repartition("range").sortWithinPartitions("range")
 
     def add(batches):
         key, held, size = None, [], 0
+        totals: dict[str, int] = {}
 
         def finish():
             codes, counts = summed_codes(*(np.concatenate(c) for c in zip(*held, strict=True)), least)
             bit = (codes[counts >= least] >> np.uint64(CODE_BITS - FILTER_BITS)).astype(np.int64)
-            arrays = [pa.array(bit >> 6), pa.array(np.left_shift(np.int64(1), bit & 63))]
-            return pa.RecordBatch.from_arrays(arrays, names=["word", "bits"])
+            word, bits = bit >> 6, np.left_shift(np.int64(1), bit & 63)
+            starts = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.zeros(0, np.int64)
+            bits = np.bitwise_or.reduceat(bits, starts) if len(word) else bits
+            return batch_of_columns(pa.nulls(len(starts), pa.string()), pa.array(word[starts]), pa.array(bits))
 
         for batch in batches:
-            for place, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for lang, total, place, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if place is None:
+                    totals[lang] = totals.get(lang, 0) + total
+                    continue
                 if key != place and held:
                     yield finish()
                     held, size = [], 0
@@ -422,9 +426,18 @@ def screen(docs: DataFrame, least: int, ranges: int) -> tuple[DataFrame, object]
                     size = 0
         if held:
             yield finish()
+        if totals:
+            values = pa.array(totals.values(), pa.int64())
+            yield batch_of_columns(pa.array(totals, pa.string()), values, pa.nulls(len(totals), pa.int64()))
         release_memory()
 
-    bits = dealt.mapInArrow(add, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    def batch_of_columns(*columns):
+        return pa.RecordBatch.from_arrays(list(columns), names=["lang", "value", "bits"])
+
+    # What is written is small, and the texts are counted once for both results.
+    added = stage(dealt.mapInArrow(add, "lang string, value long, bits long"), "screened")
+    totals = added.where("lang is not null").groupBy("lang").agg(F.sum("value").alias("total"))
+    bits = added.where("lang is null").groupBy(F.col("value").alias("word")).agg(F.bit_or("bits").alias("bits"))
     rows = bits.toPandas()  # 2 ** 21 rows at most
     table = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
     table[rows["word"].to_numpy()] = rows["bits"].to_numpy(np.int64).view(np.uint64)

@@ -144,3 +144,36 @@ def test_windows_and_shards_count_each_phrase_once(monkeypatch):
             hashes = [c.np.array([c.word_hash(w)], c.np.uint64) for w in p]
             short[int(c.code_of(c.phrase_hashes(hashes, "en"))[0])] += n
     assert codes == short
+
+
+def test_screen_writes_no_counts_to_the_shared_folder(spark, monkeypatch):
+    """Only what may be frequent and the totals are written; counts of all pairs go through one shuffle."""
+    rows = corpus(7, 300)
+    docs = spark.createDataFrame([(t, g or "und") for t, g in rows], "text string, lang string").repartition(6)
+    written, stage = [], c.stage
+
+    def seen(df, name):
+        written.append((name, df.columns))
+        return stage(df, name)
+
+    monkeypatch.setattr(c, "stage", seen)
+    least = 4
+    totals, keep = c.screen(docs, least, 5)
+    assert written == [("screened", ["lang", "value", "bits"])]
+    found, expected = counts(rows)
+    for text, lang in rows:
+        expected[lang or "und"] += 0
+    assert {r["lang"]: r["total"] for r in totals.collect() if r["total"]} == {k: n for k, n in expected.items() if n}
+    may = c.HashFilter(keep.value)
+    for lang, f in found.items():
+        for phrase, n in f.items():
+            if len(phrase) < 3 and n >= least:
+                hashes = [c.np.array([c.word_hash(w.encode())], c.np.uint64) for w in phrase]
+                assert may(c.phrase_hashes(hashes, lang))[0]
+    frequent = sum(1 for f in found.values() for p, n in f.items() if len(p) < 3 and n >= least)
+    assert 0 < sum(int(w).bit_count() for w in keep.value) <= frequent
+
+
+def test_screen_of_no_rows(spark):
+    totals, keep = c.screen(spark.createDataFrame([], "text string, lang string"), 100, 1)
+    assert totals.isEmpty() and not keep.value.any()
