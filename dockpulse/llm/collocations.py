@@ -1,8 +1,8 @@
 """Phrases that occur more often than their parts would have it, from weighted acyclic automata.
 
 A count transducer is a minimal acyclic automaton over words: a path is a phrase, the weight of the state
-where it ends is its count. It is built incrementally from sorted phrases: what lies behind the
-prefix shared with the next phrase is frozen, and equal frozen states are one.
+where it ends is its count. It is built from the tree of sorted phrases, from the leaves up: states of one height
+with equal weights and arcs are one.
 
 1. Screen. Tasks cut texts into pieces and words. Over about ``SHARD_WORDS`` words they count the hashes of words and
    of pairs (``CODE_BITS`` bits, never the texts), which Spark adds by range of the hash. What reaches the least
@@ -12,7 +12,7 @@ prefix shared with the next phrase is frozen, and equal frozen states are one.
    their texts. The shard's phrases are sorted, cut by prefix range, and one transducer is built for each range
    and language. A range is a part of the hash space of a phrase's first three words, so phrases that start
    alike are together, and a frequent word does not make a range large.
-3. Union. The transducers of a range are walked in order side by side, weights of equal phrases
+3. Union. The phrases of a range's transducers are read as tables and sorted together, weights of equal phrases
    are added, and ``UNION`` of them at a time become one, however many shards there are. Phrases
    with the least count go on.
 4. Parts. Every cut of a candidate asks for its two parts. Asks go to the prefix range of the part, in shares of
@@ -27,11 +27,9 @@ length are counted whole, in windows that overlap by the longest phrase. Other c
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections.abc import Iterable, Iterator
 from itertools import groupby
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +51,7 @@ FILTER_BITS, CODE_BITS = 27, 40
 CODES = 8_000_000  # hashes that a task adds up together
 UNION = 64
 ASKS = 200_000
+TABLE_ROWS = 200_000  # phrases whose transducers are built together, and those of a range that is larger
 
 # What ends a piece, and upper case.
 SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -65,48 +64,97 @@ Phrase = tuple[bytes, ...]
 class Transducer:
     """States are numbered from the leaves to the root, which is the last."""
 
-    def __init__(self, labels: list[bytes], finals: list[int], first: list[int], words: list[int], to: list[int]):
+    def __init__(self, labels: list[bytes], finals, first, words, to):
         self.labels, self.finals, self.first, self.words, self.to = labels, finals, first, words, to
 
     @classmethod
     def build(cls, phrases: Iterable[tuple[Phrase, int]]) -> Transducer:
         """From phrases in rising order, each once."""
-        finals, first, words, to = [], [0], [], []
-        numbers: dict[bytes, int] = {}
-        register: dict[tuple, int] = {}
-
-        def freeze(node: list) -> int:
-            key = (node[0], *node[1], *node[2])
-            found = register.get(key)
-            if found is None:
-                found = register[key] = len(finals)
-                finals.append(node[0])
-                words.extend(node[1])
-                to.extend(node[2])
-                first.append(len(words))
-            return found
-
-        path: list[list] = [[0, [], []]]  # weight, words and targets of the states of the last phrase
-        before: Phrase = ()
-        for phrase, n in phrases:
-            shared = 0
-            for x, y in zip(before, phrase):
-                if x != y:
-                    break
-                shared += 1
-            while len(path) > shared + 1:
-                target = freeze(path.pop())
-                path[-1][2].append(target)
-            for word in phrase[shared:]:
-                path[-1][1].append(numbers.setdefault(word, len(numbers)))
-                path.append([0, [], []])
-            path[-1][0] = n
-            before = phrase
-        while len(path) > 1:
-            target = freeze(path.pop())
-            path[-1][2].append(target)
-        freeze(path[0])
-        return cls(list(numbers), finals, first, words, to)
+        phrases = list(phrases)
+        names = sorted({w for p, _ in phrases for w in p})
+        numbers = {w: i for i, w in enumerate(names)}
+        rows = np.full((len(phrases), max((len(p) for p, _ in phrases), default=0)), -1)
+        for i, (p, _) in enumerate(phrases):
+            rows[i, : len(p)] = [numbers[w] for w in p]
+        return cls.of_table(names, rows, np.array([n for _, n in phrases], np.int64))
+
+    @classmethod
+    def of_table(cls, names: list[bytes], rows: np.ndarray, counts: np.ndarray) -> Transducer:
+        """From rows of places in ``names``, which rise, filled up with -1; rows rise, each is there once."""
+        for _, built in cls.of_tables(names, rows, counts, np.zeros(len(rows), np.int64)):
+            return built
+        return cls([], *(np.array(x, np.int64) for x in ([0], [0, 0], [], [])))
+
+    @classmethod
+    def of_tables(cls, names, rows, counts, key) -> Iterator[tuple[int, Transducer]]:
+        """As ``of_table``, one for each value of ``key``, which rises."""
+        if not len(rows):
+            return
+        sizes = (rows >= 0).sum(1)
+        same = key[1:] == key[:-1]
+        opens = np.append(True, ~same)
+        table = opens.cumsum() - 1
+        # the states of the trees in order, each before those behind it; a root's depth is 0
+        shared = np.zeros(len(rows), np.int64)
+        for column in rows.T:
+            same = same & (column[1:] == column[:-1]) & (column[1:] >= 0)
+            shared[1:] += same
+        top = np.where(opens, 0, shared + 1)
+        row, depth = spread(sizes - top + 1)
+        depth += top[row]
+        weight = np.where((depth == sizes[row]) & (depth > 0), counts[row], 0)
+        word, of = np.where(depth > 0, rows[row, depth - 1], 0), table[row]
+        parent, height = np.zeros((2, len(depth)), np.int64)
+        levels = [np.flatnonzero(depth == d) for d in range(rows.shape[1] + 1)]
+        for upper, lower in zip(levels, levels[1:], strict=False):
+            parent[lower] = upper[np.searchsorted(upper, lower) - 1]
+        for lower in levels[:0:-1]:
+            np.maximum.at(height, parent[lower], height[lower] + 1)
+        # arcs by the state they leave, in the order of their words
+        arcs = np.flatnonzero(depth)
+        arcs = arcs[np.argsort(parent[arcs], kind="stable")]
+        fan = np.bincount(parent[arcs], minlength=len(depth))
+        begin = fan.cumsum() - fan
+        # states of a table are equal if their weights, and the words and ends of their arcs, are
+        number, kept = np.zeros(len(depth), np.int64), []
+        known = 0
+        for h in range(int(height.max()) + 1):
+            own = np.flatnonzero(height == h)
+            lane, place = spread(fan[own])
+            arc = arcs[begin[own][lane] + place]
+            code = mix64(weight[own].astype(np.uint64) ^ mix64(of[own].astype(np.uint64), 5), 1)
+            if len(arc):
+                link = mix64(mix64(word[arc].astype(np.uint64), 2) ^ number[arc].astype(np.uint64), 3)
+                code += np.add.reduceat(mix64(link ^ place.astype(np.uint64), 4), fan[own].cumsum() - fan[own])
+            _, one, group = np.unique(code, return_index=True, return_inverse=True)
+            like = own[one[group]]
+            equal = all((v[own] == v[like]).all() for v in (weight, of, fan))
+            if equal and len(arc):
+                twin = arcs[begin[like][lane] + place]
+                equal = (word[arc] == word[twin]).all() and (number[arc] == number[twin]).all()
+            if not equal:  # two codes are the same by chance
+                group, one = own_groups(np.stack([of[own], weight[own]], 1), fan[own], word[arc], number[arc])
+            number[own] = known + group
+            known += len(one)
+            kept.append(own[one])
+        # states by table, still from the leaves to the root
+        state = np.concatenate(kept)
+        order = np.argsort(of[state], kind="stable")
+        state = state[order]
+        ends = np.append(0, np.bincount(of[state]).cumsum())
+        place = np.empty(len(state), np.int64)
+        place[order] = np.arange(len(state)) - ends[of[state]]
+        lane, at = spread(fan[state])
+        arc = arcs[begin[state][lane] + at]
+        first = np.append(0, fan[state].cumsum())
+        labels, words = np.unique(of[arc] * len(names) + word[arc], return_inverse=True)
+        split = np.searchsorted(labels, np.arange(len(ends)) * len(names))
+        words, to, labels = words - split[of[arc]], place[number[arc]], (labels % max(1, len(names))).tolist()
+        for t, value in enumerate(key[opens].tolist()):
+            low, high = ends[t], ends[t + 1]
+            span = slice(first[low], first[high])
+            known = [names[w] for w in labels[split[t] : split[t + 1]]]
+            yield value, cls(known, weight[state[low:high]], first[low : high + 1] - first[low], words[span], to[span])
 
     def to_bytes(self) -> bytes:
         """Little-endian numbers, then the labels with their lengths."""
@@ -121,18 +169,21 @@ class Transducer:
         states, arcs, labels = map(int, np.frombuffer(data, "<u8", 3))
         at, out = 24, []
         for kind, n in (("<u8", states), ("<u4", states + 1), ("<u4", arcs), ("<u4", arcs), ("<u4", labels)):
-            out.append(np.frombuffer(data, kind, n, at).tolist())
+            out.append(np.frombuffer(data, kind, n, at).astype(np.int64))
             at += n * int(kind[-1])
         finals, first, words, to, sizes = out
         names = []
-        for size in sizes:
+        for size in sizes.tolist():
             names.append(data[at : at + size])
             at += size
         return cls(names, finals, first, words, to)
 
+    def lists(self) -> Iterator[list[int]]:
+        return (np.asarray(x).tolist() for x in (self.finals, self.first, self.words, self.to))
+
     def phrases(self) -> Iterator[tuple[Phrase, int]]:
         """In the order they were built from."""
-        labels, finals, first, words, to = self.labels, self.finals, self.first, self.words, self.to
+        labels, (finals, first, words, to) = self.labels, self.lists()
         todo: list[tuple[int, Phrase]] = [(len(finals) - 1, ())]
         while todo:
             state, phrase = todo.pop()
@@ -144,8 +195,9 @@ class Transducer:
     def compose(self, asks: Iterable[Phrase]) -> Iterator[int]:
         """Weight of each ask, 0 where it leads nowhere. Sorted asks are walked on from where they part."""
         numbers = {w: i for i, w in enumerate(self.labels)}
+        finals, first, words, to = self.lists()
         arcs: dict[int, dict[int, int]] = {}
-        states: list[int | None] = [len(self.finals) - 1]
+        states: list[int | None] = [len(finals) - 1]
         before: Phrase = ()
         for ask in asks:
             shared = 0
@@ -158,19 +210,76 @@ class Transducer:
                 state = states[-1]
                 if state is not None:
                     if state not in arcs:
-                        span = slice(self.first[state], self.first[state + 1])
-                        arcs[state] = dict(zip(self.words[span], self.to[span], strict=True))
+                        span = slice(first[state], first[state + 1])
+                        arcs[state] = dict(zip(words[span], to[span], strict=True))
                     state = arcs[state].get(numbers.get(word, -1))
                 states.append(state)
             before = ask
-            yield 0 if states[-1] is None else self.finals[states[-1]]
+            yield 0 if states[-1] is None else finals[states[-1]]
+
+
+def spread(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each place of ``sizes`` as often as it says, and the numbers from 0 beside it."""
+    lane = np.repeat(np.arange(len(sizes)), sizes)
+    return lane, np.arange(len(lane)) - np.repeat(sizes.cumsum() - sizes, sizes)
+
+
+def own_groups(held, many, word, number) -> tuple[np.ndarray, np.ndarray]:
+    """The group of each state by what it holds, and the first state of each group."""
+    found: dict[tuple, int] = {}
+    keys = [
+        (*h, *word[end - n : end].tolist(), *number[end - n : end].tolist())
+        for h, n, end in zip(held.tolist(), many.tolist(), many.cumsum().tolist(), strict=True)
+    ]
+    group = np.array([found.setdefault(k, len(found)) for k in keys], np.int64)
+    return group, np.unique(group, return_index=True)[1]
+
+
+def united(automata: list[Transducer]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words that rise, and phrases of all automata as rising rows of places in them, weights added."""
+    labels = [w for a in automata for w in a.labels]
+    names = sorted(set(labels))
+    numbers = {w: i for i, w in enumerate(names)}
+    rank = np.fromiter(map(numbers.__getitem__, labels), np.int64, len(labels))
+    # all automata as one with many roots
+    low = np.cumsum([(0, 0, 0), *((len(a.finals), len(a.words), len(a.labels)) for a in automata)], 0)
+    finals = np.concatenate([a.finals for a in automata])
+    first = np.concatenate([a.first[:-1] + at for a, at in zip(automata, low[:, 1].tolist(), strict=False)])
+    many = np.concatenate([np.diff(a.first) for a in automata])
+    word = rank[np.concatenate([a.words + at for a, at in zip(automata, low[:, 2].tolist(), strict=False)])]
+    to = np.concatenate([a.to + at for a, at in zip(automata, low[:, 0].tolist(), strict=False)])
+    state, path = low[1:, 0] - 1, np.zeros((len(automata), 0), np.int64)
+    parts, counts = [], []
+    while len(state):
+        there = finals[state] > 0
+        parts.append(path[there])
+        counts.append(finals[state[there]])
+        lane, place = spread(many[state])
+        arc = first[state][lane] + place
+        state, path = to[arc], np.concatenate([path[lane], word[arc, None]], 1)
+    rows = np.full((sum(map(len, parts)), max(0, path.shape[1] - 1)), -1)
+    at = 0
+    for part in parts:
+        rows[at : at + len(part), : part.shape[1]] = part
+        at += len(part)
+    counts = np.concatenate(counts)
+    if not len(rows):
+        return names, rows, counts
+    order = np.lexsort(rows.T[::-1])
+    rows, counts = rows[order], counts[order]
+    starts = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]).any(1)))
+    return names, rows[starts], np.add.reduceat(counts, starts)
+
+
+def phrases_of(names: list[bytes], rows: np.ndarray) -> Iterator[Phrase]:
+    sizes = (rows >= 0).sum(1).tolist()
+    return (tuple([names[w] for w in r[:n]]) for r, n in zip(rows.tolist(), sizes, strict=True))
 
 
 def union(automata: list[Transducer]) -> Iterator[tuple[Phrase, int]]:
     """Phrases of all automata in order, weights added."""
-    merged = heapq.merge(*[a.phrases() for a in automata], key=itemgetter(0))
-    for phrase, same in groupby(merged, itemgetter(0)):
-        yield phrase, sum(n for _, n in same)
+    names, rows, counts = united(automata)
+    return zip(phrases_of(names, rows), counts.tolist(), strict=True)
 
 
 def word_hash(word: bytes) -> int:
@@ -326,12 +435,12 @@ class Shard:
             low = high
         order = np.lexsort([*(wide[:, i] for i in range(LONGEST - 1, -1, -1)), place])
         place = place[order]
-        starts = np.flatnonzero(np.append(True, place[1:] != place[:-1])).tolist() if len(place) else []
-        for low, high in zip(starts, [*starts[1:], len(place)], strict=False):
-            rows = wide[order[low:high]].tolist()
-            counts = count[order[low:high]].tolist()
-            phrases = ((tuple([names[w] for w in r if w >= 0]), n) for r, n in zip(rows, counts, strict=True))
-            yield lang, int(place[low]), Transducer.build(phrases).to_bytes()
+        starts = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(place) else np.zeros(0, np.int64)
+        starts = starts[np.append(True, np.diff(starts // TABLE_ROWS) > 0)] if len(starts) else starts
+        for low, high in zip(starts.tolist(), [*starts[1:].tolist(), len(place)], strict=False):
+            own = order[low:high]
+            for value, built in Transducer.of_tables(names, wide[own], count[own], place[low:high]):
+                yield lang, value, built.to_bytes()
 
 
 def windows(text: bytes) -> Iterator[tuple[list[bytes], int]]:
@@ -466,9 +575,11 @@ def summed(shards: DataFrame, least: int) -> DataFrame:
 
     def run(batches):
         def finish(key, held):
-            kept = [(phrase, n) for phrase, n in union(held) if n >= least]
-            yield from ((*key, b" ".join(p).decode(), len(p), n, None) for p, n in kept)
-            yield (*key, None, 0, 0, Transducer.build(kept).to_bytes())
+            names, rows, counts = united(held)
+            rows, counts = rows[counts >= least], counts[counts >= least]
+            for p, n in zip(phrases_of(names, rows), counts.tolist(), strict=True):
+                yield (*key, b" ".join(p).decode(), len(p), n, None)
+            yield (*key, None, 0, 0, Transducer.of_table(names, rows, counts).to_bytes())
 
         def rows():
             key, held = None, []
@@ -480,7 +591,7 @@ def summed(shards: DataFrame, least: int) -> DataFrame:
                         key, held = (lang, place), []
                     held.append(Transducer.from_bytes(data))
                     if len(held) >= UNION:
-                        held = [Transducer.build(union(held))]
+                        held = [Transducer.of_table(*united(held))]
             if held:
                 yield from finish(key, held)
 
@@ -497,18 +608,25 @@ def part_counts(candidates: DataFrame, automata: DataFrame, ranges: int) -> Data
     def cuts(batches):
         for batch in batches:
             out: list[tuple] = []
+            heads: dict[tuple[str, int], list[tuple]] = {}  # asks by language and words of the prefix
             for lang, phrase, a in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = phrase.encode().split(b" ")
+                hashes = tuple(map(word_hash, words))
                 for k in range(1, len(words)):
-                    for side, part in ((0, words[:k]), (1, words[k:])):
-                        head = [np.array([word_hash(w)], np.uint64) for w in part[:PREFIX]]
-                        place = int(range_of(phrase_hashes(head, lang), ranges)[0])
-                        out.append((lang, place, phrase, a, k, side, b" ".join(part).decode()))
-            yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], schema)
+                    for side, part, head in ((0, words[:k], hashes[:k]), (1, words[k:], hashes[k:])):
+                        head = head[:PREFIX]
+                        heads.setdefault((lang, len(head)), []).append((len(out), *head))
+                        out.append((lang, phrase, a, k, side, b" ".join(part).decode()))
+            place = np.zeros(len(out), np.int64)
+            for (lang, _), asked in heads.items():
+                own, *head = np.array(asked, np.uint64).T
+                place[own.astype(np.int64)] = range_of(phrase_hashes(head, lang), ranges)
+            columns = [list(c) for c in zip(*out, strict=True)] or [[]] * 6
+            columns.insert(1, place)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     names = ["lang", "range", "phrase", "a", "cut", "side", "part"]
     kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string()]
-    schema = pa.schema(list(zip(names, kinds, strict=True)))
     ddl = "lang string, range long, phrase string, a long, cut int, side int, part string"
     asks = stage(candidates.select("lang", "phrase", "a").mapInArrow(cuts, ddl), "asks")
     # a range that many asks want is lent to several shares of them

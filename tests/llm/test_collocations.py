@@ -2,6 +2,7 @@
 
 import random
 import re
+import sys
 from collections import Counter, defaultdict
 
 from dockpulse.llm import collocations as c
@@ -177,3 +178,54 @@ def test_screen_writes_no_counts_to_the_shared_folder(spark, monkeypatch):
 def test_screen_of_no_rows(spark):
     totals, keep = c.screen(spark.createDataFrame([], "text string, lang string"), 100, 1)
     assert totals.isEmpty() and not keep.value.any()
+
+
+def calls_in(work):
+    """The result, and how many calls of Python functions and generators it took."""
+    n = 0
+
+    def seen(frame, event, arg):
+        nonlocal n
+        n += event == "call"
+
+    sys.setprofile(seen)
+    try:
+        out = work()
+    finally:
+        sys.setprofile(None)
+    return out, n
+
+
+def test_automata_are_not_built_and_united_phrase_by_phrase():
+    rng = random.Random(8)
+    words = [f"w{i}".encode() for i in range(60)]
+    shard, found = c.Shard(40, Everything()), []
+    for _ in range(6):
+        shard.add("en", rng.choices(words, k=4000))
+        made, calls = calls_in(lambda: list(shard.transducers()))
+        phrases = sum(len(table_of(c.Transducer.from_bytes(d))) for *_, d in made)
+        assert phrases > 12_000 and calls < phrases / 4
+        found.append([c.Transducer.from_bytes(d) for _, place, d in made if place == 7])
+    automata = [a for part in found for a in part]
+    assert len(automata) == 6
+    (names, rows, counts), calls = calls_in(lambda: c.united(automata))
+    total = sum((Counter(table_of(a)) for a in automata), Counter())
+    assert dict(zip(c.phrases_of(names, rows), counts.tolist(), strict=True)) == total and calls < len(total) / 2
+
+
+def test_states_with_one_code_by_chance_stay_apart(monkeypatch):
+    rng = random.Random(9)
+    table = {tuple(rng.choices([b"a", b"b", b"c"], k=rng.randrange(1, 6))): rng.randrange(1, 4) for _ in range(120)}
+    built = c.Transducer.build(sorted(table.items()))
+    monkeypatch.setattr(c, "mix64", lambda x, seed: x ^ x)
+    again = c.Transducer.build(sorted(table.items()))
+    assert table_of(again) == table and len(again.finals) == len(built.finals)
+
+
+def test_tables_of_several_ranges():
+    names = [b"a", b"b", b"c"]
+    rows = c.np.array([[0, -1], [0, 1], [1, 1], [0, -1], [2, 0], [0, 1]])
+    built = dict(c.Transducer.of_tables(names, rows, c.np.array([1, 2, 3, 4, 5, 6]), c.np.array([2, 2, 2, 5, 5, 9])))
+    assert {k: table_of(c.Transducer.from_bytes(a.to_bytes())) for k, a in built.items()} == {
+        2: {(b"a",): 1, (b"a", b"b"): 2, (b"b", b"b"): 3}, 5: {(b"a",): 4, (b"c", b"a"): 5}, 9: {(b"a", b"b"): 6}
+    }
